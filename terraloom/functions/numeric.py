@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Digits, optional fraction and exponent: what a dataframe CSV reader turns into a number.
-NUMERIC_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+# Digits, optional fraction and exponent, or infinity: what a dataframe CSV reader turns into a number.
+NUMERIC_TEXT = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity)\s*$"
+INTEGER_TEXT = r"^\s*[+-]?\d{1,18}\s*$"
 NUMERIC_PREFIX = r"^\s*([+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?)"
 
 
@@ -22,6 +23,10 @@ def is_numeric_text(text: Column) -> Column:
     return text.rlike(NUMERIC_TEXT)
 
 
+def is_integer_text(text: Column) -> Column:
+    return text.rlike(INTEGER_TEXT)
+
+
 def to_number(text: Column) -> Column:
     """Strict text-to-double: '12d' and 'NaN' are not numbers."""
     return F.when(is_numeric_text(text), F.trim(text).try_cast("double"))
