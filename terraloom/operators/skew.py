@@ -10,6 +10,28 @@ HOT_ROWS = 2_000_000
 SALTS = 64
 
 
+def hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows, marked for a broadcast.
+
+    There are at most ``count(df) / hot_rows`` of them, so the table is safe to
+    broadcast whatever the data size.
+    """
+    counted = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    return F.broadcast(counted.where(F.col("_n") > hot_rows).select(*on, F.lit(True).alias("_hot")))
+
+
+def salt_rows(df: DataFrame, hot: DataFrame, on: Sequence[str], spread_by: Column, salts: int = SALTS) -> DataFrame:
+    """Give rows of hot keys one of ``salts`` salts, all others salt 0."""
+    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")).otherwise(0)
+    return df.join(hot, list(on), "left").withColumn("_salt", salt).drop("_hot")
+
+
+def repeat_per_salt(df: DataFrame, hot: DataFrame, on: Sequence[str], salts: int = SALTS) -> DataFrame:
+    """Repeat rows of hot keys once per salt, so each salted partition finds them."""
+    every = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    return df.join(hot, list(on), "left").withColumn("_salt", F.explode(every)).drop("_hot")
+
+
 def skew_join(
     left: DataFrame,
     right: DataFrame,
@@ -23,23 +45,13 @@ def skew_join(
 
     Keys with more than ``hot_rows`` rows on the left get a salt: their left
     rows spread over ``salts`` shuffle partitions and their right rows are
-    repeated once per salt.  There are at most ``count(left) / hot_rows`` such
-    keys, so the table of hot keys is safe to broadcast whatever the data size.
-    ``spread_by`` should be unique per left row (a row id); all columns are
-    hashed when it is not given.
+    repeated once per salt.  ``spread_by`` should be unique per left row (a row
+    id); all columns are hashed when it is not given.
     """
     if how not in ("inner", "left"):
         raise ValueError("skew_join supports inner and left joins")
     on = list(on)
-    hot = F.broadcast(
-        left.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
-        .select(*on, F.lit(True).alias("_hot"))
-    )
-    spread = F.xxhash64(spread_by) if spread_by is not None else F.xxhash64(*left.columns)
-    salted_left = left.join(hot, on, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), F.pmod(spread, F.lit(salts)).cast("int")).otherwise(0)
-    ).drop("_hot")
-    salted_right = right.join(hot, on, "left").withColumn(
-        "_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))))
-    ).drop("_hot")
-    return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
+    hot = hot_keys(left, on, hot_rows)
+    spread = spread_by if spread_by is not None else F.struct(*left.columns)
+    salted = salt_rows(left, hot, on, spread, salts)
+    return salted.join(repeat_per_salt(right, hot, on, salts), [*on, "_salt"], how).drop("_salt")
