@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("series", "clean", "enrich", "reshape", "geo", "listings", "encode", "profile")
+MODULES = ("series", "clean", "enrich", "reshape", "geo", "listings", "encode", "profile", "stored")
 
 
 def registered() -> dict:

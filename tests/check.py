@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import importlib
 import sys
 import time
 
+from terraloom.plans import registered
 from terraloom.session import build_session
 from tests.compare import connect, differences
 
@@ -14,12 +14,7 @@ def main(sf_dir: str, names: list[str]) -> int:
     spark = build_session("local[8]", 8)
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
-    entries = {}
-    for module in "series clean enrich reshape geo listings encode profile".split():
-        try:
-            entries.update(importlib.import_module(f"terraloom.plans.{module}").QUERIES)
-        except ModuleNotFoundError as missing:
-            print("skip", module, missing)
+    entries = registered()
     bad = 0
     for name, (run, sql) in entries.items():
         if names and name not in names:
