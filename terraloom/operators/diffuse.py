@@ -51,19 +51,18 @@ def clean_from(noisy: Column, noise: Column, alpha: Column) -> Column:
     return F.zip_with(noisy, noise, lambda n, e: (n - F.sqrt(1 - alpha) * e) / root)
 
 
-def gaussian_like(features: Column, seed: int) -> Column:
+def gaussian_like(features: Column, draw: Column) -> Column:
     """Standard-normal noise as long as the features.
 
-    Two hashes of the content, the step and the position drive a Box-Muller
-    pair, so a lost task draws the same noise when it is run again.
+    ``draw`` is a 64-bit hash of the row and the step; hashing it with the
+    position drives a Box-Muller pair, so a lost task draws the same noise when
+    it is run again.
     """
-    def uniform(x: Column, i: Column, which: int) -> Column:
-        bits = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.lit(which), F.col("step"), features, i), 11)
-        return (bits + F.lit(0.5)) / F.lit(float(2**53))
+    def uniform(i: Column, which: int) -> Column:
+        return (F.shiftrightunsigned(F.xxhash64(draw, i, F.lit(which)), 11) + F.lit(0.5)) / F.lit(float(2**53))
 
     return F.transform(
-        features,
-        lambda x, i: F.sqrt(F.lit(-2.0) * F.ln(uniform(x, i, 0))) * F.cos(F.lit(2 * math.pi) * uniform(x, i, 1)),
+        features, lambda _, i: F.sqrt(F.lit(-2.0) * F.ln(uniform(i, 0))) * F.cos(F.lit(2 * math.pi) * uniform(i, 1))
     )
 
 
@@ -81,15 +80,14 @@ def forward_diffuse(
     if noise is not None:
         drawn = noise(F.col("step"))
     else:
-        # The row id takes part as one more leading element that is cut off again.
-        marked = F.col(features) if row_id is None else F.concat(F.array(F.col(row_id).cast("double")), F.col(features))
-        drawn = gaussian_like(marked, seed)
-        drawn = drawn if row_id is None else F.slice(drawn, F.lit(2), F.size(F.col(features)))
+        row = F.col(features) if row_id is None else F.col(row_id)
+        stepped = stepped.withColumn("_draw", F.xxhash64(F.lit(seed), row, F.col("step")))
+        drawn = gaussian_like(F.col(features), F.col("_draw"))
     out = stepped.withColumn("noise", drawn).withColumn(
         "noisy", add_noise(F.col(features), F.col("noise"), F.col("alpha")))
     if step_slot:
         out = out.withColumn("noisy", F.concat("noisy", F.array(F.col("step").cast("double"))))
-    return out
+    return out.drop("_draw")
 
 
 def recover_noise(df: DataFrame, noisy: str, clean: str, alpha: str = "alpha", out: str = "recovered") -> DataFrame:

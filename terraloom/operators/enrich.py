@@ -16,7 +16,8 @@ OK, NO_RESULT, RATE_LIMITED = 200, 204, 429
 
 
 def skip_completed(todo: DataFrame, completed: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return todo.join(completed.select(*keys), list(keys), "left_anti")
+    """Rows whose key is not among the completed ones; repeated completions fold before the shuffle."""
+    return todo.join(completed.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def lacking(df: DataFrame, result: str = "lat") -> DataFrame:

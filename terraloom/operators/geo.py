@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from terraloom.functions.urls import contains_any
 from terraloom.operators.enrich import first_per_key
 from terraloom.operators.skew import skew_join
 
@@ -105,7 +106,7 @@ def tiles_covering(
     if sample is not None:  # the sampling rule is the feature: it decides which tiles pass
         looked_at = first_per_key(looked_at, [tile], [url], sample)
     hits = looked_at.where(overlaps_area(area)).groupBy(tile).agg(F.lit(True).alias("_hit"))
-    listed = F.col(tile).rlike("|".join(known)) if known else F.lit(False)
+    listed = contains_any(F.col(tile), list(known))
     return (
         tiles.join(hits, tile, "left").where(listed | F.coalesce(F.col("_hit"), F.lit(False))).drop("_hit")
     )

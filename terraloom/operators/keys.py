@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from terraloom.operators.columns import quoted
+from terraloom.operators.skew import skew_join
 from terraloom.session import ensure_checkpoint_dir
 
 _ROW_BITS = 33  # low bits of monotonically_increasing_id: position inside the partition
@@ -59,6 +60,13 @@ def one_row_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return checked.select(*keys, *[F.col("_row")[c].alias(c) for c in rest])
 
 
-def reindex_left(master: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
-    """Every master row with its lookup columns, NULL where the lookup has no such key."""
-    return master.join(one_row_per_key(lookup, [key]), key, "left")
+def reindex_left(master: DataFrame, lookup: DataFrame, key: str, hot_rows: int | None = None) -> DataFrame:
+    """Every master row with its lookup columns, NULL where the lookup has no such key.
+
+    A row id is unique in the master; for a key that repeats there, ``hot_rows``
+    turns on salting of the keys with more rows than that.
+    """
+    found = one_row_per_key(lookup, [key])
+    if hot_rows is None:
+        return master.join(found, key, "left")
+    return skew_join(master, found, [key], "left", hot_rows=hot_rows)

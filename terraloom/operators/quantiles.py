@@ -1,14 +1,18 @@
-"""Exact interpolated quantiles without holding a group in one task.
+"""Exact interpolated quantiles without holding a large group in one task.
 
 Spark's ``percentile`` keeps every distinct value of a group in one buffer,
-which fails once a single group holds a large share of the data.  Here a group
-is reduced in three distributed steps:
-
-1. value frequencies - shuffled by (key, value), so a hot key spreads out and
-   map-side combining collapses repeated values;
-2. a histogram per key over magnitude bins that do not depend on the data
-   (about 6e-5 of relative width), small enough for a running total per key;
-3. only the bins that hold a wanted rank are ordered, each on its own.
+which fails once a single group holds a large share of the data.  Here the data
+are first reduced to value frequencies, shuffled by (key, value), so a hot key
+spreads out and map-side combining collapses repeated values.  Then
+
+* groups with up to ``HOT_VALUES`` distinct values are ordered by a window that
+  can spill, one group per window partition;
+* larger groups get a histogram over magnitude bins that do not depend on the
+  data (about 6e-5 of relative width), and only the bins that hold a wanted rank
+  are ordered, each on its own.
+
+Both give the same exact answer; with no large group the second part is empty
+and adaptive execution drops it.
 """
 
 from __future__ import annotations
@@ -18,6 +22,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 BINS_PER_E = 2**14
+HOT_VALUES = 1_000_000  # distinct values of one group that a single task may order
 LOG_RANGE = (-746.0, 710.0)  # natural logs of all positive doubles lie inside
 
 
@@ -38,54 +43,73 @@ def value_frequencies(df: DataFrame, keys: Sequence[str], value: str) -> DataFra
 
 
 def exact_quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float]
+    df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float], hot_values: int = HOT_VALUES
 ) -> DataFrame:
     """One row per key with one linearly interpolated quantile per entry of ``probs``."""
-    return quantiles_of_frequencies(value_frequencies(df, keys, value), keys, probs)
+    return quantiles_of_frequencies(value_frequencies(df, keys, value), keys, probs, hot_values)
 
 
-def quantiles_of_frequencies(freq: DataFrame, keys: Sequence[str], probs: Mapping[str, float]) -> DataFrame:
+def quantiles_of_frequencies(
+    freq: DataFrame, keys: Sequence[str], probs: Mapping[str, float], hot_values: int = HOT_VALUES
+) -> DataFrame:
+    """Quantiles of (keys, _v, _n) as ``value_frequencies`` makes them."""
     keys = list(keys)
+    # At most (distinct values / hot_values) groups are hot, which bounds the broadcast.  The row count adds
+    # nothing to the test but keeps this read of the frequencies equal to the others, so they are shuffled once.
+    sizes = freq.groupBy(*keys).agg(F.count(F.lit(1)).alias("_values"), F.sum("_n").alias("_rows"))
+    hot = F.broadcast(sizes.where((F.col("_values") > hot_values) & (F.col("_rows") > hot_values)).select(*keys))
+    small = _ordered_whole(freq.join(hot, keys, "left_anti"), keys, probs)
+    return small.unionByName(_ordered_in_bins(freq.join(hot, keys, "left_semi"), keys, probs))
+
+
+def _ranks(total: Column, p: float) -> tuple[Column, Column, Column]:
+    """0-based ranks of the two neighbours of a quantile and the share of the upper one."""
+    at = (total - 1) * F.lit(float(p))
+    return F.floor(at), F.ceil(at), at - F.floor(at)
+
+
+def _interpolated(keys: list[str], picked: DataFrame, probs: Mapping[str, float]) -> DataFrame:
+    """From rows (keys, _v, _from, _upto, _total) that hold the ranks _from.._upto-1 to one row per key."""
+    def at_rank(rank: Column) -> Column:
+        return F.max(F.when((rank >= F.col("_from")) & (rank < F.col("_upto")), F.col("_v")))
+
+    out = []
+    for i, p in enumerate(probs.values()):
+        low, high, share = _ranks(F.col("_total"), p)
+        out += [at_rank(low).alias(f"_low{i}"), at_rank(high).alias(f"_high{i}"), F.max(share).alias(f"_share{i}")]
+    found = picked.groupBy(*keys).agg(*out)
+    return found.select(*keys, *[
+        F.when(F.col(f"_share{i}") == 0, F.col(f"_low{i}"))
+        .otherwise(F.col(f"_low{i}") + (F.col(f"_high{i}") - F.col(f"_low{i}")) * F.col(f"_share{i}")).alias(name)
+        for i, name in enumerate(probs)
+    ])
+
+
+def _ordered_whole(freq: DataFrame, keys: list[str], probs: Mapping[str, float]) -> DataFrame:
+    group = W.partitionBy(*keys)
+    ranked = freq.withColumns({
+        "_upto": F.sum("_n").over(group.orderBy("_v").rowsBetween(W.unboundedPreceding, 0)),
+        "_total": F.sum("_n").over(group),
+    }).withColumn("_from", F.col("_upto") - F.col("_n"))
+    return _interpolated(keys, ranked, probs)
+
+
+def _ordered_in_bins(freq: DataFrame, keys: list[str], probs: Mapping[str, float]) -> DataFrame:
     binned = freq.withColumn("_bin", magnitude_bin(F.col("_v")))
     hist = binned.groupBy(*keys, "_bin").agg(F.sum("_n").alias("_m"))
-
-    per_key = W.partitionBy(*keys)
-    running = hist.select(
-        *keys, "_bin", "_m",
-        F.sum("_m").over(per_key.orderBy("_bin").rowsBetween(W.unboundedPreceding, 0)).alias("_end"),
-        F.sum("_m").over(per_key).alias("_total"),
-    )
-    # Two 0-based ranks per quantile: the neighbours it is interpolated from.
-    ranks = []
-    for name, p in probs.items():
-        at = (F.col("_total") - 1) * F.lit(float(p))
-        frac = (at - F.floor(at)).alias("frac")
-        ranks.append(F.struct(F.lit(name).alias("name"), F.lit(0).alias("side"), F.floor(at).alias("rank"), frac))
-        ranks.append(F.struct(F.lit(name).alias("name"), F.lit(1).alias("side"), F.ceil(at).alias("rank"), frac))
-    start = F.col("_end") - F.col("_m")
-    wanted = running.select(
-        *keys, "_bin", start.alias("_start"),
-        F.filter(F.array(*ranks), lambda r: (r["rank"] >= start) & (r["rank"] < F.col("_end"))).alias("_ranks"),
-    ).where(F.size("_ranks") > 0)
+    group = W.partitionBy(*keys)
+    running = hist.withColumns({
+        "_end": F.sum("_m").over(group.orderBy("_bin").rowsBetween(W.unboundedPreceding, 0)),
+        "_total": F.sum("_m").over(group),
+    }).withColumn("_start", F.col("_end") - F.col("_m"))
+    holds = F.lit(False)
+    for p in probs.values():
+        for rank in _ranks(F.col("_total"), p)[:2]:
+            holds = holds | ((rank >= F.col("_start")) & (rank < F.col("_end")))
+    wanted = running.where(holds).select(*keys, "_bin", "_start", "_total")
 
     in_bin = W.partitionBy(*keys, "_bin").orderBy("_v").rowsBetween(W.unboundedPreceding, 0)
-    hits = (
-        binned.join(wanted, [*keys, "_bin"], "inner")
-        .withColumn("_upto", F.col("_start") + F.sum("_n").over(in_bin))
-        .select(
-            *keys, "_v",
-            F.explode(F.filter(
-                "_ranks", lambda r: (r["rank"] >= F.col("_upto") - F.col("_n")) & (r["rank"] < F.col("_upto"))
-            )).alias("_r"),
-        )
-    )
-
-    def side(name: str, which: int) -> Column:
-        return F.max(F.when((F.col("_r.name") == name) & (F.col("_r.side") == which), F.col("_v")))
-
-    def interpolated(name: str) -> Column:
-        frac = F.max(F.when(F.col("_r.name") == name, F.col("_r.frac")))
-        low, high = side(name, 0), side(name, 1)
-        return F.when(frac == 0, low).otherwise(low + (high - low) * frac).alias(name)
-
-    return hits.groupBy(*keys).agg(*[interpolated(name) for name in probs])
+    ranked = binned.join(wanted, [*keys, "_bin"], "inner").withColumn(
+        "_upto", F.col("_start") + F.sum("_n").over(in_bin)
+    ).withColumn("_from", F.col("_upto") - F.col("_n"))
+    return _interpolated(keys, ranked, probs)

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from terraloom.functions import dates
+from terraloom.operators.skew import skew_join
 
 
 def season_calendar(spark: SparkSession, years: Sequence[int], seasons: Sequence[str] = dates.SEASONS) -> DataFrame:
@@ -49,12 +50,19 @@ def assign_season(df: DataFrame, ts: str, closed: str = "both") -> DataFrame:
     )
 
 
-def season_range_join(df: DataFrame, calendar: DataFrame, ts: str, closed: str = "both") -> DataFrame:
+def season_range_join(
+    df: DataFrame, calendar: DataFrame, ts: str, closed: str = "both", calendar_is_small: bool = True
+) -> DataFrame:
     """Join rows to any calendar of date ranges (columns season, year, start, end).
 
     Every range is spread over the months it touches, so the join is an
     equi-join on the month with the exact dates rechecked, not a comparison of
     every row with every range.
+
+    A season calendar has two rows per year and a date column spans at most
+    10,000 years, so the months are broadcast and the rows stay where they are.
+    For tables of ranges without such a bound pass ``calendar_is_small=False``:
+    months are few and crowded, so that join is salted.
     """
     if closed not in ("both", "left"):
         raise ValueError("closed must be 'both' or 'left'")
@@ -62,12 +70,13 @@ def season_range_join(df: DataFrame, calendar: DataFrame, ts: str, closed: str =
     months = calendar.withColumn(
         "_month", F.explode(F.sequence(F.trunc("start", "month"), F.trunc("end", "month"), F.expr("interval 1 month")))
     )
-    keyed = df.withColumn("_month", F.trunc(day, "month"))
-    upper = F.col("_day") <= F.col("end") if closed == "both" else F.col("_day") < F.col("end")
-    return (
-        keyed.withColumn("_day", day).join(months, "_month", "inner")
-        .where((F.col("_day") >= F.col("start")) & upper).drop("_month", "_day")
+    keyed = df.withColumns({"_month": F.trunc(day, "month"), "_day": day})
+    joined = (
+        keyed.join(F.broadcast(months), "_month", "inner") if calendar_is_small
+        else skew_join(keyed, months, ["_month"], "inner")
     )
+    upper = F.col("_day") <= F.col("end") if closed == "both" else F.col("_day") < F.col("end")
+    return joined.where((F.col("_day") >= F.col("start")) & upper).drop("_month", "_day")
 
 
 def season_grid(locations: DataFrame, calendar: DataFrame) -> DataFrame:

@@ -14,7 +14,8 @@ def hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS) -> Data
     """Keys with more than ``hot_rows`` rows, marked for a broadcast.
 
     There are at most ``count(df) / hot_rows`` of them, so the table is safe to
-    broadcast whatever the data size.
+    broadcast whatever the data size.  The count reads only the key columns and
+    combines on the map side.
     """
     counted = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
     return F.broadcast(counted.where(F.col("_n") > hot_rows).select(*on, F.lit(True).alias("_hot")))

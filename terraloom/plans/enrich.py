@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from terraloom.operators import enrich, keys
+from terraloom.operators.skew import HOT_ROWS
 from terraloom.plans.common import big, table
 
 
@@ -147,7 +148,7 @@ FROM (SELECT o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag =
 def reindex_left(spark: SparkSession, sf: str) -> DataFrame:
     lookup = table(spark, sf, "nation").where(F.col("n_regionkey") != 0).select(
         F.col("n_nationkey").alias("c_nationkey"), "n_name", "n_regionkey")
-    return keys.reindex_left(table(spark, sf, "customer").select("c_custkey", "c_nationkey"), lookup, "c_nationkey")
+    return keys.reindex_left(table(spark, sf, "customer").select("c_custkey", "c_nationkey"), lookup, "c_nationkey", hot_rows=HOT_ROWS)
 
 
 REINDEX_SQL = """
