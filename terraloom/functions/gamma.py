@@ -8,12 +8,17 @@ the normal quantile, which Spark lacks, run as an Arrow-batched function.
 from __future__ import annotations
 
 import math
+import sys
 from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, functions as F
 
+# Executors need not have this package installed: the functions travel with the task.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 NEWTON_STEPS = 8
 RECURRENCE_SHIFT = 8  # lift the argument before using the asymptotic series
 
