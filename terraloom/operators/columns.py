@@ -56,6 +56,11 @@ def parse_numeric(name: str, integral: bool) -> Column:
     return (text.try_cast("bigint") if integral else numeric.to_number(quoted(name))).alias(name)
 
 
+def first_rows(df: DataFrame, order_by: Sequence[str], n: int = 5) -> DataFrame:
+    """Preview of the first rows in a stated order (every task keeps only ``n``)."""
+    return df.orderBy(*[quoted(c) for c in order_by]).limit(n)
+
+
 def constant_value(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """One row with the value each column holds throughout; more than one value is an error."""
     def only(n: str) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from terraloom.functions import urls
 from terraloom.operators import geo
 from terraloom.operators.enrich import first_per_key
-from terraloom.operators.skew import HOT_ROWS, hot_keys, repeat_per_salt, salt_rows
+from terraloom.operators.skew import HOT_ROWS, any_hot, hot_keys, repeat_per_salt, salt_rows
 from terraloom.session import ensure_checkpoint_dir
 
 HIDDEN_MARKUP = r"(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>"
@@ -51,19 +51,25 @@ def walk_listing(
 
     The root is read at depth 0 and directories down to ``max_depth`` are read.
     Each level is one equi-join of the new directories with the links; seen
-    directories are left out, so loops end.  The links of a page that lists very
-    many entries are salted once, before the first level.  Long walks cut their
-    lineage with a checkpoint every few levels.
+    directories are left out, so loops end.  If a page lists very many entries, the
+    links are salted once, before the first level.  Long walks cut their lineage
+    with a checkpoint every few levels.  The links are read once per level: store
+    them as a table when they come out of a costly extraction.
     """
     edges = links.select(F.col("page_url").alias("_at"), F.col("abs_url").alias("url"), "kind").distinct()
-    hot = hot_keys(edges, ["_at"], hot_rows)
-    edges = salt_rows(edges, hot, ["_at"], F.col("url"))
+    crowded = any_hot(edges, ["_at"], hot_rows)
+    if crowded:
+        hot = hot_keys(edges, ["_at"], hot_rows)
+        edges = salt_rows(edges, hot, ["_at"], F.col("url"))
     frontier = roots.select(F.col(root).alias("root"), F.col(root).alias("_at")).distinct()
     seen = frontier
     reached = None
     for depth in range(max_depth + 1):
-        found = edges.join(repeat_per_salt(frontier, hot, ["_at"]), ["_at", "_salt"], "inner").select(
-            "root", "url", "kind", F.lit(depth).alias("depth"))
+        if crowded:
+            joined = edges.join(repeat_per_salt(frontier, hot, ["_at"]), ["_at", "_salt"], "inner")
+        else:
+            joined = edges.join(frontier, "_at", "inner")
+        found = joined.select("root", "url", "kind", F.lit(depth).alias("depth"))
         reached = found if reached is None else reached.unionByName(found)
         if depth == max_depth:
             break

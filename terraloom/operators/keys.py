@@ -10,6 +10,7 @@ from terraloom.operators.columns import quoted
 from terraloom.operators.skew import skew_join
 from terraloom.session import ensure_checkpoint_dir
 
+TARGET_CALLS = 900  # fixed value: chunks one season job is cut into
 _ROW_BITS = 33  # low bits of monotonically_increasing_id: position inside the partition
 
 
@@ -49,6 +50,13 @@ def align_by_position(left: DataFrame, right: DataFrame, left_order: Sequence[st
     return attach_row_ids(left, left_order, out).join(attach_row_ids(right, right_order, out), out, "inner")
 
 
+def attach_chunks(df: DataFrame, row_id: str = "row_id", calls: int = TARGET_CALLS, out: str = "chunk") -> DataFrame:
+    """Number of the chunk a row falls in when consecutive ids are cut into about ``calls`` chunks (first is 1)."""
+    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    size = F.greatest(F.ceil(total / F.lit(float(calls))), F.lit(1))
+    return df.withColumn(out, F.floor(quoted(row_id) / size) + 1)
+
+
 def one_row_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The frame itself, failing at run time if a key occurs twice."""
     rest = [c for c in df.columns if c not in keys]

@@ -21,6 +21,12 @@ def hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS) -> Data
     return F.broadcast(counted.where(F.col("_n") > hot_rows).select(*on, F.lit(True).alias("_hot")))
 
 
+def any_hot(df: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS) -> bool:
+    """Run the count now: worth it where many joins on the same key follow."""
+    counted = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    return not counted.where(F.col("_n") > hot_rows).isEmpty()
+
+
 def salt_rows(df: DataFrame, hot: DataFrame, on: Sequence[str], spread_by: Column, salts: int = SALTS) -> DataFrame:
     """Give rows of hot keys one of ``salts`` salts, all others salt 0."""
     salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")).otherwise(0)

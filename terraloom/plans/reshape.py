@@ -128,6 +128,24 @@ WITH a AS (
 SELECT * FROM p WHERE "left" IS DISTINCT FROM "right"
 """
 
+def chunk_positions(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders cut into about 900 chunks of consecutive ids."""
+    orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("row_id"))
+    return keys.attach_chunks(orders).groupBy("chunk").agg(F.count(F.lit(1)).alias("n"), F.min("row_id").alias("first"))
+
+
+CHUNK_SQL = """
+WITH s AS (SELECT greatest(ceil(count(*) / 900e0), 1) AS size FROM orders)
+SELECT CAST(floor(o_orderkey / size) + 1 AS BIGINT) AS chunk, count(*) AS n, min(o_orderkey) AS first FROM orders, s GROUP BY 1
+"""
+
+
+def preview(spark: SparkSession, sf: str) -> DataFrame:
+    return columns.first_rows(table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal"), ["c_acctbal", "c_custkey"])
+
+
+PREVIEW_SQL = "SELECT c_custkey, c_name, c_acctbal FROM customer ORDER BY c_acctbal, c_custkey LIMIT 5"
+
 QUERIES = {
     "widen_seasons": (widen_seasons, WIDEN_SQL),
     "join_wide": (join_wide, JOIN_WIDE_SQL),
@@ -135,5 +153,7 @@ QUERIES = {
     "constant_season": (constant_season, CONSTANT_SQL),
     "attach_row_ids": (attach_row_ids, ROW_IDS_SQL),
     "align_by_position": (align_by_position, ALIGN_SQL),
+    "chunk_positions": (chunk_positions, CHUNK_SQL),
+    "preview": (preview, PREVIEW_SQL),
     "frame_diff": (frame_diff, FRAME_DIFF_SQL),
 }
