@@ -53,14 +53,20 @@ def hash_encode(df: DataFrame, names: Sequence[str], n_buckets: int, prefix_byte
 
 
 def encode_categories(
-    df: DataFrame, keep: Sequence[str], n_buckets: int = CATEGORY_BUCKETS, prefix_bytes: int = 18
+    df: DataFrame, keep: Sequence[str], n_buckets: int = CATEGORY_BUCKETS, prefix_bytes: int = 18,
+    detect_on: DataFrame | None = None,
 ) -> DataFrame:
-    """Numeric text columns become numbers, the other text columns become buckets."""
+    """Numeric text columns become numbers, the other text columns become buckets.
+
+    Whether a column is numeric takes a pass over its values before the result
+    has a schema.  ``detect_on`` may name a cheaper frame with the same values,
+    such as the rows before repeats are folded.
+    """
     names = columns.text_columns(df, exclude=keep)
     if not names:
         return df
     # One row per text column comes back: the result schema depends on it.
-    found = {r["column"]: r for r in columns.numeric_columns(df, names).collect()}
+    found = {r["column"]: r for r in columns.numeric_columns(df if detect_on is None else detect_on, names).collect()}
     numeric = {n for n in names if found[n]["numeric"]}
     parsed = df.select(*[
         columns.parse_numeric(c, found[c]["integral"]) if c in numeric else quoted(c) for c in df.columns
@@ -68,21 +74,19 @@ def encode_categories(
     return hash_encode(parsed, [n for n in names if n not in numeric], n_buckets, prefix_bytes)
 
 
-def clean_rows(
-    df: DataFrame, row_id: str, dropped: Sequence[str], target: str, required: Sequence[str],
-    condition: str, amount: str,
-) -> DataFrame:
-    """Distinct rows with the unwanted columns, zero targets and incomplete rows removed.
-
-    Ids are given once and kept: a surviving row has the id of its first copy.
-    """
-    first = dedup_keep_first(df, row_id)
-    slim = columns.drop_columns(first, dropped)
-    kept = drop_zero(slim, target).dropna(how="any", subset=[f"`{c}`" if "." in c else c for c in required])
-    return zero_where(kept, condition, amount)
+def complete_rows(df: DataFrame, target: str, required: Sequence[str]) -> DataFrame:
+    """Rows with a target that is not 0 (or missing) and with every required value."""
+    return drop_zero(df, target).dropna(how="any", subset=[f"`{c}`" if "." in c else c for c in required])
 
 
 def clean_master(df: DataFrame, row_id: str = "row_id", n_buckets: int = CATEGORY_BUCKETS) -> DataFrame:
-    """The whole cleaning pass over the farmer table."""
-    rows = clean_rows(df, row_id, DROPPED, TARGET, REQUIRED, LOANS, LOAN_AMOUNT)
-    return encode_categories(rows, keep=KEPT_TEXT, n_buckets=n_buckets)
+    """The whole cleaning pass over the farmer table.
+
+    Ids are given once and kept: a surviving row has the id of its first copy.
+    Copies pass or fail the row filters together, so these run before the
+    repeats are folded, and the numeric test needs no shuffle at all.
+    """
+    kept = complete_rows(df, TARGET, REQUIRED)
+    rows = columns.drop_columns(dedup_keep_first(kept, row_id), DROPPED)
+    return encode_categories(
+        zero_where(rows, LOANS, LOAN_AMOUNT), keep=KEPT_TEXT, n_buckets=n_buckets, detect_on=kept)

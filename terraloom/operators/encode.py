@@ -10,6 +10,9 @@ from terraloom.functions import arrays, numeric
 from terraloom.operators.columns import quoted
 
 
+MAX_WIDTH = 100_000  # values of one category that a one-hot block may hold
+
+
 def fit_scaler(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """(col, min, max) per numeric column, from one aggregate pass."""
     fitted = df.agg(F.array(*[
@@ -25,12 +28,16 @@ def fit_vocabulary(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
     The distinct runs on (col, value) and folds repeats on the map side; only a
     vocabulary, which is as wide as its one-hot block, is numbered in one place.
+    A column with more than ``MAX_WIDTH`` values is an error: every encoded row
+    would hold an array that wide, and the vocabulary travels to every task.
     """
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(n).alias("col"), quoted(n).cast("string").alias("value")) for n in names
     ])).alias("e")).select("e.*").where(F.col("value").isNotNull())
-    numbered = F.row_number().over(W.partitionBy("col").orderBy("value")) - 1
-    return long.distinct().withColumn("idx", numbered)
+    place = F.row_number().over(W.partitionBy("col").orderBy("value"))
+    too_wide = F.raise_error(F.concat(F.col("col"), F.lit(f" has more than {MAX_WIDTH} values: hash it into buckets"))).cast("int")
+    return long.distinct().withColumn("_place", place).select(
+        "col", "value", F.when(F.col("_place") <= MAX_WIDTH, F.col("_place") - 1).otherwise(too_wide).alias("idx"))
 
 
 def _scaler_map(scaler: DataFrame) -> Column:

@@ -61,11 +61,10 @@ def one_row_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The frame itself, failing at run time if a key occurs twice."""
     rest = [c for c in df.columns if c not in keys]
     duplicated = F.raise_error(F.concat(F.lit("duplicate key: "), F.to_json(F.struct(*keys))))
-    row = F.struct(*[quoted(c) for c in rest])
-    checked = df.groupBy(*keys).agg(F.max(row).alias("_row"), F.count(F.lit(1)).alias("_n")).withColumn(
-        "_row", F.when(F.col("_n") == 1, F.col("_row")).otherwise(duplicated)
-    )
-    return checked.select(*keys, *[F.col("_row")[c].alias(c) for c in rest])
+    folded = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[F.any_value(quoted(c)).alias(c) for c in rest])
+    return folded.select(*keys, *[
+        F.when(F.col("_n") == 1, quoted(c)).otherwise(duplicated.cast(df.schema[c].dataType)).alias(c) for c in rest
+    ])
 
 
 def reindex_left(master: DataFrame, lookup: DataFrame, key: str, hot_rows: int | None = None) -> DataFrame:

@@ -116,3 +116,11 @@ def test_bin_scatter(spark, rows):
     assert rows(profile.bin_scatter(flat, "y", ["x"])) == [("x", 1, 1, 1)]
     assert profile.target_correlation(df, "y", ["x"]).first()["corr"] == pytest.approx(1.0)
     assert profile.profiled_columns(df.withColumn("SEX", F.lit(1)), "y") == ["x"]
+
+
+def test_vocabulary_width_is_checked(spark, monkeypatch):
+    monkeypatch.setattr(encode, "MAX_WIDTH", 2)
+    df = spark.createDataFrame(DATA, SCHEMA)
+    assert encode.fit_vocabulary(df, ["d"]).count() == 2
+    with pytest.raises(Exception, match="c has more than 2 values"):
+        encode.fit_vocabulary(df, ["c"]).collect()
