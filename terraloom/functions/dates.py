@@ -73,5 +73,14 @@ def epoch_days(df: DataFrame, ts: str) -> Column:
     raise TypeError(f"{ts} is {kind.simpleString()}, expected a date or a timestamp")
 
 
+def epoch_micros(df: DataFrame, ts: str) -> Column:
+    """Microseconds since 1970-01-01; a TIMESTAMP_NTZ is read as wall-clock time."""
+    col = F.col(ts)
+    if isinstance(df.schema[ts].dataType, T.TimestampType):
+        return F.unix_micros(col)
+    whole = F.unix_date(F.to_date(col)).cast("bigint") * SECONDS_PER_DAY + F.hour(col) * 3600 + F.minute(col) * 60
+    return whole * 1_000_000 + (F.date_part(F.lit("SECOND"), col) * 1_000_000).cast("bigint")
+
+
 def epoch_millis_to_days(millis: Column) -> Column:
     return millis / F.lit(SECONDS_PER_DAY * 1000.0)

@@ -30,25 +30,46 @@ def alpha_of_step(step: Column, num_steps: int, total_time: float, s: float = SM
     return alpha_at(step_time(step, num_steps, total_time), total_time, s)
 
 
-def with_steps(df: DataFrame, num_steps: int, total_time: float, s: float = SMOOTHING) -> DataFrame:
-    """Every row once per step, with its alpha: unfolded in place, nothing is joined or shuffled."""
-    stepped = df.withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(num_steps - 1))))
-    return stepped.withColumn("alpha", alpha_of_step(F.col("step"), num_steps, total_time, s))
+def schedule(num_steps: int, s: float = SMOOTHING) -> list[tuple[int, float]]:
+    """(step, alpha) of evenly spaced steps as plain numbers; the total time cancels out."""
+    out = []
+    for step in range(num_steps):
+        share = step / (num_steps - 1) if num_steps > 1 else 0.0
+        out.append((step, math.cos((share + s) / (1 + s) * math.pi / 2) ** 2))
+    return out
 
 
-def add_noise(clean: Column, noise: Column, alpha: Column) -> Column:
-    return arrays.blend(clean, F.sqrt(alpha), noise, F.sqrt(1 - alpha))
+def with_steps(df: DataFrame, num_steps: int, s: float = SMOOTHING) -> DataFrame:
+    """Every row once per step, with alpha, ``signal`` (its root) and ``spread`` (the root of 1 - alpha).
+
+    The schedule is a constant that is unfolded in place, so nothing is joined,
+    shuffled or computed again per row.
+    """
+    entries = ", ".join(
+        f"named_struct('step', {i}, 'alpha', {a!r}D, 'signal', {math.sqrt(a)!r}D, 'spread', {math.sqrt(1 - a)!r}D)"
+        for i, a in schedule(num_steps, s)
+    )
+    return df.select(*df.columns, F.inline(F.expr(f"array({entries})")))
+
+
+def add_noise(clean: Column, noise: Column, signal: Column, spread: Column) -> Column:
+    return arrays.blend(clean, signal, noise, spread)
+
+
+def _unblend(mixed: Column, part: Column, weight: Column, other: Column) -> Column:
+    """(mixed - weight * part) / other, NULLs where ``other`` is 0 and the answer is lost."""
+    solved = F.zip_with(mixed, part, lambda m, p: (m - weight * p) / other)
+    return F.when(other != 0, solved).otherwise(F.transform(mixed, lambda _: F.lit(None).cast("double")))
 
 
-def noise_from(noisy: Column, clean: Column, alpha: Column) -> Column:
-    """The noise that was added; NULL where alpha is 1 and none was."""
-    share = F.nullif(F.sqrt(1 - alpha), F.lit(0.0))
-    return F.zip_with(noisy, clean, lambda n, c: (n - F.sqrt(alpha) * c) / share)
+def noise_from(noisy: Column, clean: Column, signal: Column, spread: Column) -> Column:
+    """The noise that was added."""
+    return _unblend(noisy, clean, signal, spread)
 
 
-def clean_from(noisy: Column, noise: Column, alpha: Column) -> Column:
-    root = F.nullif(F.sqrt(alpha), F.lit(0.0))
-    return F.zip_with(noisy, noise, lambda n, e: (n - F.sqrt(1 - alpha) * e) / root)
+def clean_from(noisy: Column, noise: Column, signal: Column, spread: Column) -> Column:
+    """The row the noise was added to."""
+    return _unblend(noisy, noise, spread, signal)
 
 
 def gaussian_like(features: Column, draw: Column) -> Column:
@@ -67,16 +88,16 @@ def gaussian_like(features: Column, draw: Column) -> Column:
 
 
 def forward_diffuse(
-    df: DataFrame, features: str, num_steps: int, total_time: float, s: float = SMOOTHING,
+    df: DataFrame, features: str, num_steps: int, s: float = SMOOTHING,
     noise: Callable[[Column], Column] | None = None, seed: int = 0, row_id: str | None = None, step_slot: bool = False,
 ) -> DataFrame:
-    """Add step, alpha, noise and noisy for every row and step.
+    """Add step, alpha, signal, spread, noise and noisy for every row and step.
 
     ``noise`` builds the noise array from the step column; without it the noise
     is drawn from a hash of the row (of ``row_id``, if given, so that equal rows
     get different noise).  ``step_slot`` appends the step to the noisy array.
     """
-    stepped = with_steps(df, num_steps, total_time, s)
+    stepped = with_steps(df, num_steps, s)
     if noise is not None:
         drawn = noise(F.col("step"))
     else:
@@ -84,21 +105,22 @@ def forward_diffuse(
         stepped = stepped.withColumn("_draw", F.xxhash64(F.lit(seed), row, F.col("step")))
         drawn = gaussian_like(F.col(features), F.col("_draw"))
     out = stepped.withColumn("noise", drawn).withColumn(
-        "noisy", add_noise(F.col(features), F.col("noise"), F.col("alpha")))
+        "noisy", add_noise(F.col(features), F.col("noise"), F.col("signal"), F.col("spread")))
     if step_slot:
         out = out.withColumn("noisy", F.concat("noisy", F.array(F.col("step").cast("double"))))
     return out.drop("_draw")
 
 
-def recover_noise(df: DataFrame, noisy: str, clean: str, alpha: str = "alpha", out: str = "recovered") -> DataFrame:
-    return df.withColumn(out, noise_from(F.col(noisy), F.col(clean), F.col(alpha)))
+def recover_noise(df: DataFrame, noisy: str, clean: str, out: str = "recovered") -> DataFrame:
+    """Add the noise of rows that carry signal and spread."""
+    return df.withColumn(out, noise_from(F.col(noisy), F.col(clean), F.col("signal"), F.col("spread")))
 
 
 def check_alignment(
     df: DataFrame, noisy: str, noise: str, clean: str, atol: float = 1e-5, rtol: float = 1e-5
 ) -> DataFrame:
     """(step, aligned): do clean rows and noise rebuild every noisy row of the step."""
-    rebuilt = add_noise(F.col(clean), F.col(noise), F.col("alpha"))
+    rebuilt = add_noise(F.col(clean), F.col(noise), F.col("signal"), F.col("spread"))
     return df.groupBy("step").agg(F.bool_and(arrays.all_close(rebuilt, F.col(noisy), atol, rtol)).alias("aligned"))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from terraloom.functions.numeric import log_with_edges
 from terraloom.operators.columns import quoted
-from terraloom.operators.quantiles import quantiles_of_frequencies, value_frequencies
+from terraloom.operators.quantiles import large_groups, quantiles_of_frequencies, value_frequencies
 from terraloom.operators.skew import HOT_ROWS, skew_join
 
 # Columns that are never profiled.
@@ -43,7 +43,7 @@ def box_summary(df: DataFrame, target: str, names: Sequence[str], hot_rows: int
     boxes = quantiles_of_frequencies(freq, keys, {"q1": 0.25, "median": 0.5, "q3": 0.75})
     reach = (F.col("q3") - F.col("q1")) * F.lit(WHISKER)
     inside = F.col("_v").between(F.col("q1") - reach, F.col("q3") + reach)
-    joined = skew_join(freq, boxes, keys, "inner", spread_by=F.col("_v"), hot_rows=hot_rows)
+    joined = skew_join(freq, boxes, keys, "inner", spread_by=F.col("_v"), hot=large_groups(freq, keys, hot_rows))
     return joined.groupBy(*keys).agg(
         F.sum("_n").alias("n"), F.max("q1").alias("q1"), F.max("median").alias("median"), F.max("q3").alias("q3"),
         F.min(F.when(inside, F.col("_v"))).alias("low_whisker"), F.max(F.when(inside, F.col("_v"))).alias("high_whisker"),

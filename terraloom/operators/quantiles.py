@@ -42,6 +42,16 @@ def value_frequencies(df: DataFrame, keys: Sequence[str], value: str) -> DataFra
     )
 
 
+def large_groups(freq: DataFrame, keys: Sequence[str], limit: int) -> DataFrame:
+    """Keys with more than ``limit`` distinct values: at most (distinct values / limit), which bounds a broadcast.
+
+    The row count adds nothing to the test but keeps this read of the frequencies
+    equal to the others, so they are shuffled once.
+    """
+    sizes = freq.groupBy(*keys).agg(F.count(F.lit(1)).alias("_values"), F.sum("_n").alias("_rows"))
+    return sizes.where((F.col("_values") > limit) & (F.col("_rows") > limit)).select(*keys)
+
+
 def exact_quantiles(
     df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float], hot_values: int = HOT_VALUES
 ) -> DataFrame:
@@ -54,10 +64,7 @@ def quantiles_of_frequencies(
 ) -> DataFrame:
     """Quantiles of (keys, _v, _n) as ``value_frequencies`` makes them."""
     keys = list(keys)
-    # At most (distinct values / hot_values) groups are hot, which bounds the broadcast.  The row count adds
-    # nothing to the test but keeps this read of the frequencies equal to the others, so they are shuffled once.
-    sizes = freq.groupBy(*keys).agg(F.count(F.lit(1)).alias("_values"), F.sum("_n").alias("_rows"))
-    hot = F.broadcast(sizes.where((F.col("_values") > hot_values) & (F.col("_rows") > hot_values)).select(*keys))
+    hot = F.broadcast(large_groups(freq, keys, hot_values))
     small = _ordered_whole(freq.join(hot, keys, "left_anti"), keys, probs)
     return small.unionByName(_ordered_in_bins(freq.join(hot, keys, "left_semi"), keys, probs))
 

@@ -47,18 +47,20 @@ def skew_join(
     spread_by: Column | None = None,
     hot_rows: int = HOT_ROWS,
     salts: int = SALTS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``left`` to a ``right`` side that has few rows per key.
 
     Keys with more than ``hot_rows`` rows on the left get a salt: their left
     rows spread over ``salts`` shuffle partitions and their right rows are
     repeated once per salt.  ``spread_by`` should be unique per left row (a row
-    id); all columns are hashed when it is not given.
+    id); all columns are hashed when it is not given.  ``hot`` may hand in the
+    keys to salt where they are known already.
     """
     if how not in ("inner", "left"):
         raise ValueError("skew_join supports inner and left joins")
     on = list(on)
-    hot = hot_keys(left, on, hot_rows)
+    hot = hot_keys(left, on, hot_rows) if hot is None else F.broadcast(hot.select(*on, F.lit(True).alias("_hot")))
     spread = spread_by if spread_by is not None else F.struct(*left.columns)
     salted = salt_rows(left, hot, on, spread, salts)
     return salted.join(repeat_per_salt(right, hot, on, salts), [*on, "_salt"], how).drop("_salt")

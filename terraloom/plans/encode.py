@@ -123,7 +123,7 @@ def _noise(features: str):
 def _diffused(spark: SparkSession, sf: str) -> DataFrame:
     part, scaler, vocabulary = _fit(spark, sf)
     encoded = encode.encode(part, NUMS, CATS, scaler, vocabulary).select("p_partkey", "features")
-    return diffuse.forward_diffuse(encoded, "features", STEPS, TOTAL, noise=_noise("features"))
+    return diffuse.forward_diffuse(encoded, "features", STEPS, noise=_noise("features"))
 
 
 _DIFFUSED_SQL = f"""{_FEATURES_SQL}, stepped AS (
@@ -201,7 +201,7 @@ def random_noise(spark: SparkSession, sf: str) -> DataFrame:
     lines = table(spark, sf, "lineitem").select(
         F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice").alias("key"),
         F.array("l_discount", "l_tax").alias("features"))
-    drawn = diffuse.forward_diffuse(lines, "features", 3, TOTAL, seed=7, row_id="key")
+    drawn = diffuse.forward_diffuse(lines, "features", 3, seed=7, row_id="key")
     return drawn.select("step", F.explode("noise").alias("e")).groupBy("step").agg(
         F.count("e").alias("n"), snap(F.avg("e"), 1).alias("mean"), snap(F.var_pop("e"), 1).alias("variance"))
 

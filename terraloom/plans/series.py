@@ -271,11 +271,8 @@ GROUP BY sd.o_orderpriority, sd.season, sd.year
 
 def rate_audit(spark: SparkSession, sf: str) -> DataFrame:
     """Calls per event type in the trailing ten minutes, against a limit of 3."""
-    events = table(spark, sf, "events").select(
-        "event_id", "event_type",
-        (F.unix_seconds(F.date_trunc("second", F.col("ts")).cast("timestamp")) * 1_000_000
-         + F.date_format("ts", "SSSSSS").cast("bigint")).alias("us"),
-    )
+    events = table(spark, sf, "events")
+    events = events.select("event_id", "event_type", dates.epoch_micros(events, "ts").alias("us"))
     return timeseries.rate_audit(events, ["event_type"], "us", limit=3, window_seconds=600).select(
         "event_id", "event_type", "calls", "over_limit"
     )

@@ -54,29 +54,32 @@ def test_alpha_schedule_golden(spark):
     got = [r[0] for r in spark.range(5).select(diffuse.alpha_of_step(F.col("id"), 5, 100.0)).collect()]
     want = [0.9998445910004082, 0.8468805280142708, 0.49376684270229254, 0.144249681202635, 0.0]
     assert got == pytest.approx(want, abs=1e-12)
+    steps = diffuse.with_steps(spark.range(1), 5).collect()
+    assert [r.alpha for r in steps] == pytest.approx(want, abs=1e-12) and [r.step for r in steps] == list(range(5))
+    assert all(r.signal**2 == pytest.approx(r.alpha) and r.spread**2 == pytest.approx(1 - r.alpha) for r in steps)
     assert spark.range(1).select(diffuse.step_time(F.col("id"), 1, 100.0)).first()[0] == 0.0
 
 
 def test_noise_round_trip(spark):
     df, scaler, vocab = fitted(spark)
     encoded = encode.encode(df, ["n"], ["c"], scaler, vocab).select("id", "features")
-    out = diffuse.forward_diffuse(encoded, "features", 4, 10.0, seed=3, row_id="id")
+    out = diffuse.forward_diffuse(encoded, "features", 4, seed=3, row_id="id")
     assert out.count() == 12
     for r in diffuse.recover_noise(out, "noisy", "features").collect():
         a = r.alpha
         assert r.noisy == pytest.approx([math.sqrt(a) * x + math.sqrt(1 - a) * e for x, e in zip(r.features, r.noise)])
         assert r.recovered == pytest.approx(r.noise, abs=1e-9)
     assert {r.step: r.aligned for r in diffuse.check_alignment(out, "noisy", "noise", "features").collect()} == {i: True for i in range(4)}
-    clean = out.where("step < 3").select("features", diffuse.clean_from(F.col("noisy"), F.col("noise"), F.col("alpha")).alias("back"))
+    clean = out.where("step < 3").select("features", diffuse.clean_from(F.col("noisy"), F.col("noise"), F.col("signal"), F.col("spread")).alias("back"))
     for r in clean.collect():
         assert r.back == pytest.approx(r.features, abs=1e-9)
-    slot = diffuse.forward_diffuse(encoded, "features", 2, 10.0, step_slot=True).where("step = 1").first()
+    slot = diffuse.forward_diffuse(encoded, "features", 2, step_slot=True).where("step = 1").first()
     assert len(slot.noisy) == len(slot.features) + 1 and slot.noisy[-1] == 1.0
 
 
 def test_drawn_noise_repeats_and_is_normal(spark):
     df = spark.range(20_000).select("id", F.array(F.lit(0.0), F.lit(0.0)).alias("f"))
-    draw = lambda d: diffuse.forward_diffuse(d, "f", 2, 1.0, seed=1, row_id="id").select("id", "step", "noise")
+    draw = lambda d: diffuse.forward_diffuse(d, "f", 2, seed=1, row_id="id").select("id", "step", "noise")
     again = draw(df.repartition(7))
     assert draw(df).exceptAll(again).isEmpty()
     e = np.array([r.noise for r in again.collect()])
