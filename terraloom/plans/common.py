@@ -25,6 +25,11 @@ def sql_snap(value: str, digits: int = 6) -> str:
     return f"(CAST(floor(({value}) * {unit} + {SNAP}) AS DOUBLE) / {unit})"
 
 
+def day_text(name: str) -> Column:
+    """A date as yyyy-MM-dd, so that both engines show it alike."""
+    return F.col(name).cast("string").alias(name)
+
+
 def big(value: Column) -> Column:
     return value.cast("bigint")
 

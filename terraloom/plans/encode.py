@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from terraloom.functions import arrays
 from terraloom.operators import diffuse, encode
@@ -60,11 +60,21 @@ def minmax_inverse(spark: SparkSession, sf: str) -> DataFrame:
 INVERSE_SQL = f"SELECT p_partkey, {sql_snap('p_size')} AS p_size, {sql_snap('p_retailprice')} AS p_retailprice FROM part"
 
 
+def _slots(df: DataFrame, name: str, digits: int) -> DataFrame:
+    """An array column as one row per slot, values snapped."""
+    rest = [c for c in df.columns if c != name]
+    long = df.select(*rest, F.posexplode(name).alias("slot", "_x"))
+    return long.select(*rest, "slot", snap(F.col("_x"), digits).alias(name))
+
+
+_SLOT_SQL = "CAST(unnest(range(0, len(f))) AS INTEGER) AS slot"
+
+
 def onehot(spark: SparkSession, sf: str) -> DataFrame:
-    """Feature arrays: two scaled numbers and two one-hot blocks, snapped for comparison."""
+    """Feature arrays, one row per slot: two scaled numbers and two one-hot blocks."""
     part, scaler, vocabulary = _fit(spark, sf)
     encoded = encode.encode(part, NUMS, CATS, scaler, vocabulary)
-    return encoded.select("p_partkey", F.transform("features", lambda x: snap(x, 8)).alias("features"))
+    return _slots(encoded.select("p_partkey", "features"), "features", 8)
 
 
 _VOCAB_ARRAYS = """
@@ -74,7 +84,10 @@ _FEATURES_SQL = f"""{_SCALED_SQL}, {_VOCAB_ARRAYS}, feats AS (
   SELECT p_partkey, list_concat(list_concat([p_size, p_retailprice], list_transform(brands, lambda b: CAST(b = p_brand AS DOUBLE))),
                                 list_transform(types, lambda t: CAST(t = p_type AS DOUBLE))) AS f
   FROM scaled, vocab)"""
-ONEHOT_SQL = f"WITH {_FEATURES_SQL} SELECT p_partkey, list_transform(f, lambda x: {sql_snap('x', 8)}) AS features FROM feats"
+ONEHOT_SQL = f"""
+WITH {_FEATURES_SQL} SELECT p_partkey, slot, {sql_snap('x', 8)} AS features
+FROM (SELECT p_partkey, {_SLOT_SQL}, unnest(f) AS x FROM feats)
+"""
 
 
 def onehot_inverse(spark: SparkSession, sf: str) -> DataFrame:
@@ -136,26 +149,28 @@ _DIFFUSED_SQL = f"""{_FEATURES_SQL}, stepped AS (
 
 
 def forward_noise(spark: SparkSession, sf: str) -> DataFrame:
-    return _diffused(spark, sf).select(
-        "p_partkey", "step", snap(F.col("alpha"), 9).alias("alpha"), F.transform("noisy", lambda x: snap(x, 6)).alias("noisy"))
+    noisy = _diffused(spark, sf).select("p_partkey", "step", snap(F.col("alpha"), 9).alias("alpha"), "noisy")
+    return _slots(noisy, "noisy", 6)
 
 
 FORWARD_SQL = f"""
 WITH {_DIFFUSED_SQL}
-SELECT p_partkey, step, {sql_snap('alpha', 9)} AS alpha, list_transform(noisy, lambda x: {sql_snap('x')}) AS noisy FROM diffused
+SELECT p_partkey, step, {sql_snap('alpha', 9)} AS alpha, slot, {sql_snap('x')} AS noisy
+FROM (SELECT p_partkey, step, alpha, {_SLOT_SQL}, unnest(noisy) AS x FROM diffused)
 """
 
 
 def recover_noise(spark: SparkSession, sf: str) -> DataFrame:
     """The recovered noise is the noise that went in (step 0 adds nearly none, hence fewer digits)."""
     back = diffuse.recover_noise(_diffused(spark, sf), "noisy", "features")
-    return back.select("p_partkey", "step", F.transform("recovered", lambda x: snap(x, 4)).alias("recovered"))
+    return _slots(back.select("p_partkey", "step", "recovered"), "recovered", 4)
 
 
 RECOVER_SQL = f"""
 WITH {_FEATURES_SQL}
-SELECT p_partkey, step, list_transform(f, lambda x: {sql_snap('sin(x * 37 + step) * 1.4', 4)}) AS recovered
-FROM (SELECT p_partkey, f, CAST(unnest(range(0, {STEPS})) AS INTEGER) AS step FROM feats)
+SELECT p_partkey, step, slot, {sql_snap('sin(x * 37 + step) * 1.4', 4)} AS recovered
+FROM (SELECT p_partkey, step, {_SLOT_SQL}, unnest(f) AS x FROM (
+  SELECT p_partkey, f, CAST(unnest(range(0, {STEPS})) AS INTEGER) AS step FROM feats))
 """
 
 
@@ -185,14 +200,18 @@ def denoise(spark: SparkSession, sf: str) -> DataFrame:
     """A scorer that predicts half of every noisy value, over Arrow batches."""
     noisy = _diffused(spark, sf).where(F.col("step") == 2).select("p_partkey", "noisy")
     parts = diffuse.denoise(noisy, "noisy", lambda batch: batch["noisy"].map(lambda a: a * 0.5), len(NUMS), 25)
-    return parts.select("p_partkey", F.transform("nums", lambda x: snap(x)).alias("nums"), F.transform("cats", lambda x: snap(x)).alias("cats"))
+
+    def labelled(block: str) -> Column:
+        return F.transform(block, lambda x, i: F.struct(F.lit(block).alias("block"), i.alias("slot"), snap(x).alias("value")))
+
+    return parts.select("p_partkey", F.inline(F.concat(labelled("nums"), labelled("cats"))))
 
 
 DENOISE_SQL = f"""
 WITH {_DIFFUSED_SQL}
-SELECT p_partkey, list_transform(noisy[1:2], lambda x: {sql_snap('x - x * 0.5')}) AS nums,
-       list_transform(noisy[3:27], lambda x: {sql_snap('x - x * 0.5')}) AS cats
-FROM diffused WHERE step = 2
+SELECT p_partkey, CASE WHEN slot < 2 THEN 'nums' ELSE 'cats' END AS block,
+       CAST(CASE WHEN slot < 2 THEN slot ELSE slot - 2 END AS INTEGER) AS slot, {sql_snap('x - x * 0.5')} AS value
+FROM (SELECT p_partkey, {_SLOT_SQL}, unnest(noisy) AS x FROM diffused WHERE step = 2) WHERE slot < 27
 """
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from terraloom.functions import dates
 from terraloom.operators import enrich, keys
 from terraloom.operators.skew import HOT_ROWS
 from terraloom.plans.common import big, table
@@ -106,22 +107,24 @@ COMPLETED_SQL = f"WITH {_OLD_NEW_SQL} SELECT id FROM old UNION SELECT id FROM ne
 
 def latest_checkpoint(spark: SparkSession, sf: str) -> DataFrame:
     events = table(spark, sf, "events").select("user_id", "event_id", "event_type", "value", "ts")
-    return enrich.latest_per_key(events, ["user_id"], ["ts", "event_id"])
+    latest = enrich.latest_per_key(events, ["user_id"], ["ts", "event_id"])
+    return latest.withColumn("ts", dates.epoch_micros(latest, "ts"))
 
 
 LATEST_SQL = """
-SELECT user_id, event_id, event_type, value, ts FROM events
-QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1
+SELECT user_id, event_id, event_type, value, epoch_us(ts) AS ts FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY events.ts DESC, event_id DESC) = 1
 """
 
 
 def checkpoint_summary(spark: SparkSession, sf: str) -> DataFrame:
     events = table(spark, sf, "events").select("event_type", "user_id", F.col("ts").alias("saved_at"))
-    return enrich.checkpoint_summary(events, ["event_type"], "user_id")
+    summary = enrich.checkpoint_summary(events, ["event_type"], "user_id")
+    return summary.withColumn("saved_at", dates.epoch_micros(summary, "saved_at"))
 
 
 SUMMARY_SQL = """
-SELECT event_type, count(DISTINCT user_id) AS completed, max(ts) AS saved_at FROM events GROUP BY 1
+SELECT event_type, count(DISTINCT user_id) AS completed, epoch_us(max(ts)) AS saved_at FROM events GROUP BY 1
 """
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from terraloom.functions import dates
 from terraloom.operators import seasons, spi, timeseries, weather
-from terraloom.plans.common import big, snap, sql_season, sql_season_year, sql_snap, table
+from terraloom.plans.common import big, day_text, snap, sql_season, sql_season_year, sql_snap, table
 
 
 def season_stats(spark: SparkSession, sf: str) -> DataFrame:
@@ -43,7 +43,7 @@ def season_range_join(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders").select("o_orderdate", "o_totalprice", "o_orderpriority")
     calendar = seasons.seasons_of(orders, "o_orderdate")
     joined = seasons.season_range_join(orders, calendar, "o_orderdate", closed="both")
-    return joined.groupBy("season", "year", "start", "end").agg(
+    return joined.groupBy("season", "year", day_text("start"), day_text("end")).agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("o_orderdate") < F.col("end")).alias("n_half_open"),
         snap(F.sum("o_totalprice"), 2).alias("total"),
@@ -58,11 +58,11 @@ WITH c AS (
   SELECT 'Rabi', y, make_date(y, 11, 1), make_date(y + 1, 4, 30)
   FROM (SELECT CAST(unnest(range(1990, 2030)) AS INTEGER) AS y)
 )
-SELECT season, year, "start", "end", count(*) AS n,
+SELECT season, year, CAST("start" AS VARCHAR) AS "start", CAST("end" AS VARCHAR) AS "end", count(*) AS n,
        count(*) FILTER (WHERE CAST(o_orderdate AS DATE) < "end") AS n_half_open,
        {sql_snap('sum(o_totalprice)', 2)} AS total
 FROM orders JOIN c ON CAST(o_orderdate AS DATE) BETWEEN "start" AND "end"
-GROUP BY season, year, "start", "end"
+GROUP BY season, year, c."start", c."end"
 """
 
 
@@ -77,7 +77,7 @@ def season_grid(spark: SparkSession, sf: str) -> DataFrame:
         lineitem.where(F.col("l_quantity") > 40), "l_shipdate"
     ).groupBy("l_suppkey", "season", "year").agg(F.sum("l_quantity").alias("quantity"))
     return weather.assign_to_grid(grid, shipped, ["l_suppkey", "season", "year"]).select(
-        "l_suppkey", "season", "year", "start", "end", "quantity"
+        "l_suppkey", "season", "year", day_text("start"), day_text("end"), "quantity"
     )
 
 
@@ -87,8 +87,8 @@ WITH o AS (
   FROM lineitem
 ), c AS (SELECT DISTINCT season, year FROM o WHERE season IS NOT NULL)
 SELECT s.s_suppkey AS l_suppkey, c.season, c.year,
-       CASE WHEN c.season = 'Kharif' THEN make_date(c.year, 6, 1) ELSE make_date(c.year, 11, 1) END AS "start",
-       CASE WHEN c.season = 'Kharif' THEN make_date(c.year, 10, 31) ELSE make_date(c.year + 1, 4, 30) END AS "end",
+       CASE WHEN c.season = 'Kharif' THEN c.year || '-06-01' ELSE c.year || '-11-01' END AS "start",
+       CASE WHEN c.season = 'Kharif' THEN c.year || '-10-31' ELSE (c.year + 1) || '-04-30' END AS "end",
        q.quantity
 FROM supplier s CROSS JOIN c
 LEFT JOIN (SELECT l_suppkey, season, year, sum(l_quantity) AS quantity FROM o
@@ -146,13 +146,13 @@ def _rolled(spark: SparkSession, sf: str) -> DataFrame:
 
 def rolling_90(spark: SparkSession, sf: str) -> DataFrame:
     return _rolled(spark, sf).select(
-        "o_orderpriority", "season", "year", "date", snap(F.col("roll"), 2).alias("roll")
+        "o_orderpriority", "season", "year", day_text("date"), snap(F.col("roll"), 2).alias("roll")
     )
 
 
 ROLLING_SQL = f"""
 WITH {_ROLL_SQL}
-SELECT o_orderpriority, season, year, date, {sql_snap('roll', 2)} AS roll FROM rolled
+SELECT o_orderpriority, season, year, CAST(date AS VARCHAR) AS date, {sql_snap('roll', 2)} AS roll FROM rolled
 """
 
 
@@ -191,7 +191,7 @@ FROM root
 
 def spi_index(spark: SparkSession, sf: str) -> DataFrame:
     scored = spi.spi_index(_rolled(spark, sf), ["o_orderpriority", "season", "year"], "roll")
-    return scored.select("o_orderpriority", "season", "year", "date", snap(F.col("spi3"), 6).alias("spi3"))
+    return scored.select("o_orderpriority", "season", "year", day_text("date"), snap(F.col("spi3"), 6).alias("spi3"))
 
 
 def _documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -212,14 +212,14 @@ def map_explode_zip(spark: SparkSession, sf: str) -> DataFrame:
     docs = _documents(spark, sf)
     days = weather.zip_parameters(docs, ["o_orderpriority", "season", "year"])
     return days.select(
-        "o_orderpriority", "season", "year", "date",
+        "o_orderpriority", "season", "year", day_text("date"),
         snap(F.col("prectotcorr"), 2).alias("prectotcorr"), "cdd10",
     )
 
 
 MAP_ZIP_SQL = f"""
 WITH {_SEASON_DAILY_SQL}
-SELECT o_orderpriority, season, year, date, {sql_snap('total', 2)} AS prectotcorr, CAST(n AS DOUBLE) AS cdd10 FROM sd
+SELECT o_orderpriority, season, year, CAST(date AS VARCHAR) AS date, {sql_snap('total', 2)} AS prectotcorr, CAST(n AS DOUBLE) AS cdd10 FROM sd
 """
 
 
@@ -255,7 +255,7 @@ scored AS (
 )"""
 SPI_SQL = f"""
 WITH {_ROLL_SQL}, {GAMMA_ROOT_SQL}, {SPI_SCORE_SQL}
-SELECT o_orderpriority, season, year, date, {sql_snap('spi3', 6)} AS spi3 FROM quantile
+SELECT o_orderpriority, season, year, CAST(date AS VARCHAR) AS date, {sql_snap('spi3', 6)} AS spi3 FROM quantile
 """
 WEATHER_SQL = f"""
 WITH {_ROLL_SQL}, {GAMMA_ROOT_SQL}, {SPI_SCORE_SQL}, means AS (
@@ -292,12 +292,12 @@ def time_column(spark: SparkSession, sf: str) -> DataFrame:
     compact = dates.compact_date(F.date_format("ts", "yyyy-MM-dd"))
     return events.select(
         "event_id", snap(dates.epoch_days(events, "ts"), 6).alias("days"),
-        compact.alias("compact"), dates.parse_compact_date(compact).alias("day"),
+        compact.alias("compact"), dates.parse_compact_date(compact).cast("string").alias("day"),
     )
 
 
 TIME_SQL = f"""
-SELECT event_id, {sql_snap("epoch_us(ts) / 86400e6")} AS days, strftime(ts, '%Y%m%d') AS compact, CAST(ts AS DATE) AS day
+SELECT event_id, {sql_snap("epoch_us(ts) / 86400e6")} AS days, strftime(ts, '%Y%m%d') AS compact, CAST(CAST(ts AS DATE) AS VARCHAR) AS day
 FROM events
 """
 

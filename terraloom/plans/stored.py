@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from terraloom.functions import text
 from terraloom.operators import enrich, weather
 from terraloom.plans import series
-from terraloom.plans.common import big, snap, sql_snap, table
+from terraloom.plans.common import big, day_text, snap, sql_snap, table
 from terraloom.plans.reshape import _STATS_SQL, STATS, _stats
 from terraloom.sources import checkpoints, documents, files, observations, sinks, tables
 from terraloom.streaming import resume
@@ -104,12 +104,12 @@ def weather_json(spark: SparkSession, sf: str) -> DataFrame:
     ))
     parsed = documents.parse_weather(docs.select("o_orderpriority", body.alias("body")), "body")
     days = weather.zip_parameters(parsed, ["o_orderpriority", "lon", "lat"], fill_value=1.0)
-    return days.select("o_orderpriority", "lon", "lat", "date", snap(F.col("prectotcorr"), 2).alias("prectotcorr"), "cdd10")
+    return days.select("o_orderpriority", "lon", "lat", day_text("date"), snap(F.col("prectotcorr"), 2).alias("prectotcorr"), "cdd10")
 
 
 WEATHER_JSON_SQL = f"""
 WITH {series._SEASON_DAILY_SQL}
-SELECT o_orderpriority, 78e0 AS lon, 21e0 AS lat, date, {sql_snap('total', 2)} AS prectotcorr, nullif(CAST(n AS DOUBLE), 1) AS cdd10 FROM sd
+SELECT o_orderpriority, 78e0 AS lon, 21e0 AS lat, CAST(date AS VARCHAR) AS date, {sql_snap('total', 2)} AS prectotcorr, nullif(CAST(n AS DOUBLE), 1) AS cdd10 FROM sd
 """
 
 
@@ -136,12 +136,13 @@ FROM customer
 
 def observation_range(spark: SparkSession, sf: str) -> DataFrame:
     """Band select and half-open range straight on the Parquet scan."""
-    return observations.read_observations(
+    obs = observations.read_observations(
         spark, f"{sf}/lineitem.parquet", "1996-06-01", "1996-10-31", ts="l_shipdate", cell=("l_suppkey", "l_partkey"), band="l_quantity")
+    return obs.withColumn("l_shipdate", F.date_format("l_shipdate", "yyyy-MM-dd"))
 
 
 OBSERVATION_SQL = """
-SELECT l_suppkey, l_partkey, l_shipdate, l_quantity FROM lineitem
+SELECT l_suppkey, l_partkey, strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate, l_quantity FROM lineitem
 WHERE l_shipdate >= TIMESTAMP '1996-06-01' AND l_shipdate < TIMESTAMP '1996-10-31'
 """
 
