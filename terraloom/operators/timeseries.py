@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from terraloom.functions import dates, numeric
-from terraloom.operators.quantiles import exact_quantiles
+from terraloom.operators import quantiles
 from terraloom.operators.seasons import assign_season
 
 COMPOSITE_DAYS = 16.0  # fixed value: days one vegetation composite stands for
@@ -15,25 +15,35 @@ COMPOSITE_DAYS = 16.0  # fixed value: days one vegetation composite stands for
 
 def season_stats(
     df: DataFrame, keys: Sequence[str], ts: str, value: str,
-    closed: str = "left", auc_scale: float = COMPOSITE_DAYS, p: float = 0.9,
+    closed: str = "left", auc_scale: float = COMPOSITE_DAYS, p: float = 0.9, hot_rows: int = quantiles.HOT_ROWS,
 ) -> DataFrame:
     """mean, max, min, stdDev, p90, slope, intercept and auc per key, season and year.
 
     Observations without a key or a value belong to no series and are left out.
+    Series up to ``hot_rows`` observations are shuffled once and get their moments
+    and their quantile in the same stage.  Longer ones get the moments from
+    map-side partial sums and the quantile from ``quantiles``' distributed way.
     """
     group = [*keys, "season", "year"]
     obs = assign_season(df.select(*keys, ts, value).dropna(how="any", subset=[*keys, value]), ts, closed)
-    y, x = F.col("_y"), F.col("_x")
-    obs = obs.select(*group, F.col(value).cast("double").alias("_y"), dates.epoch_days(obs, ts).alias("_x"))
-    moments = obs.groupBy(*group).agg(
+    obs = obs.select(*group, F.col(value).cast("double").alias("_v"), dates.epoch_days(obs, ts).alias("_x"))
+    y, x = F.col("_v"), F.col("_x")
+    moments = [
         F.avg(y).alias("mean"), F.max(y).alias("max"), F.min(y).alias("min"), F.stddev_pop(y).alias("stdDev"),
         F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"),
         (F.sum(y) * F.lit(float(auc_scale))).alias("auc"),
-    )
-    ranks = exact_quantiles(obs, group, "_y", {"p90": p})
-    return moments.join(ranks, group, "left").select(
-        *group, "mean", "max", "min", "stdDev", "p90", "slope", "intercept", "auc"
-    )
+    ]
+    probs = {"p90": p}
+    out = [*group, "mean", "max", "min", "stdDev", "p90", "slope", "intercept", "auc"]
+    kept = [c for c in out if c != "p90"]
+
+    hot = F.broadcast(quantiles.large_groups_of_rows(obs, group, hot_rows))
+    short = quantiles.with_ranks(obs.join(hot, group, "left_anti"), group)
+    short = quantiles.interpolated(short.groupBy(*group).agg(*moments, *quantiles.rank_picks(probs)), kept, probs)
+    long = obs.join(hot, group, "left_semi")
+    long = long.groupBy(*group).agg(*moments).join(
+        quantiles.quantiles_of_large_groups(long.select(*group, "_v"), group, probs), group)
+    return short.select(*out).unionByName(long.select(*out))
 
 
 def season_totals(df: DataFrame, keys: Sequence[str], ts: str, degree: str, rain: str) -> DataFrame:

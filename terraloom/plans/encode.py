@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from terraloom.functions import arrays
 from terraloom.operators import diffuse, encode
 from terraloom.plans.common import snap, sql_snap, table
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from terraloom.functions import dates
 from terraloom.operators import enrich, keys
 from terraloom.operators.skew import HOT_ROWS
-from terraloom.plans.common import big, table
+from terraloom.plans.common import table
 
 
 def resume_anti(spark: SparkSession, sf: str) -> DataFrame:
@@ -149,26 +149,34 @@ FROM (SELECT o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag =
 
 
 def reindex_left(spark: SparkSession, sf: str) -> DataFrame:
-    lookup = table(spark, sf, "nation").where(F.col("n_regionkey") != 0).select(
-        F.col("n_nationkey").alias("c_nationkey"), "n_name", "n_regionkey")
+    """Customers against the nations that have a rich supplier; the others find nothing."""
+    rich = table(spark, sf, "supplier").where(F.col("s_acctbal") > 5000).select(F.col("s_nationkey").alias("c_nationkey"))
+    lookup = table(spark, sf, "nation").select(
+        F.col("n_nationkey").alias("c_nationkey"), "n_name", "n_regionkey").join(rich, "c_nationkey", "left_semi")
     return keys.reindex_left(table(spark, sf, "customer").select("c_custkey", "c_nationkey"), lookup, "c_nationkey", hot_rows=HOT_ROWS)
 
 
 REINDEX_SQL = """
 SELECT c_custkey, c_nationkey, n_name, n_regionkey
-FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey AND n_regionkey <> 0
+FROM customer LEFT JOIN (
+  SELECT * FROM nation WHERE n_nationkey IN (SELECT s_nationkey FROM supplier WHERE s_acctbal > 5000)
+) ON c_nationkey = n_nationkey
 """
 
 
 def _places(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Customers to locate by nation and region, and a gazetteer made of the suppliers."""
+    """Customers to locate by nation and region, and a gazetteer made of the suppliers.
+
+    Customers of one segment live in places the gazetteer does not know.
+    """
     nation, region = table(spark, sf, "nation"), table(spark, sf, "region")
     named = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     master = table(spark, sf, "customer").join(named, F.col("c_nationkey") == F.col("n_nationkey")).select(
-        F.col("c_custkey").alias("row_id"), F.upper("n_name").alias("VILLAGE"), F.col("r_name").alias("DISTRICT"))
-    gazetteer = table(spark, sf, "supplier").where(F.col("s_nationkey") != 7).join(
-        named, F.col("s_nationkey") == F.col("n_nationkey")
-    ).select(
+        F.col("c_custkey").alias("row_id"),
+        F.concat(F.upper("n_name"), F.when(F.col("c_mktsegment") == "BUILDING", " NEW TOWN").otherwise("")).alias("VILLAGE"),
+        F.col("r_name").alias("DISTRICT"),
+    )
+    gazetteer = table(spark, sf, "supplier").join(named, F.col("s_nationkey") == F.col("n_nationkey")).select(
         F.concat(F.lit(" "), F.lower("n_name"), F.lit(",  "), F.col("r_name")).alias("address"),
         F.col("s_acctbal").alias("lat"), F.col("s_suppkey").cast("double").alias("lon"), F.col("s_suppkey").alias("rank"),
     )
@@ -176,7 +184,7 @@ def _places(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 
 
 _FIRST_HIT_SQL = """
-hit AS (SELECT s_nationkey, s_acctbal AS lat, CAST(s_suppkey AS DOUBLE) AS lon FROM supplier WHERE s_nationkey <> 7
+hit AS (SELECT s_nationkey, s_acctbal AS lat, CAST(s_suppkey AS DOUBLE) AS lon FROM supplier
         QUALIFY row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) = 1)
 """
 
@@ -188,7 +196,7 @@ def first_match_lookup(spark: SparkSession, sf: str) -> DataFrame:
 LOOKUP_SQL = f"""
 WITH {_FIRST_HIT_SQL}
 SELECT c_custkey AS row_id, lat, lon, CAST(CASE WHEN s_nationkey IS NULL THEN 204 ELSE 200 END AS INTEGER) AS status
-FROM customer LEFT JOIN hit ON c_nationkey = s_nationkey
+FROM customer LEFT JOIN hit ON c_nationkey = s_nationkey AND c_mktsegment <> 'BUILDING'
 """
 
 
@@ -207,25 +215,27 @@ ENRICH_SQL = f"""
 WITH {_FIRST_HIT_SQL}
 SELECT c_custkey AS row_id, CASE WHEN ready THEN c_acctbal ELSE lat END AS lat, CASE WHEN ready THEN 1e0 ELSE lon END AS lon,
        CAST(CASE WHEN ready THEN 200 WHEN s_nationkey IS NULL THEN 204 ELSE 200 END AS INTEGER) AS status
-FROM (SELECT *, c_mktsegment <> 'FURNITURE' AND c_acctbal > 0 AS ready FROM customer) LEFT JOIN hit ON c_nationkey = s_nationkey
+FROM (SELECT *, c_mktsegment <> 'FURNITURE' AND c_acctbal > 0 AS ready FROM customer)
+LEFT JOIN hit ON c_nationkey = s_nationkey AND c_mktsegment <> 'BUILDING'
 """
 
 
 def retry_missing(spark: SparkSession, sf: str) -> DataFrame:
     """A second pass over rows recorded as 204, against a gazetteer that has grown."""
     master, gazetteer = _places(spark, sf)
-    first = enrich.lookup_first(master, gazetteer.where(F.col("rank") >= 20), ["VILLAGE", "DISTRICT"])
+    first = enrich.lookup_first(master, gazetteer.where(F.col("lat") > 6000), ["VILLAGE", "DISTRICT"])
     return enrich.retry_missing(master, first, gazetteer, ["VILLAGE", "DISTRICT"])
 
 
 RETRY_PASS_SQL = """
-WITH a AS (SELECT s_nationkey, s_acctbal AS lat, CAST(s_suppkey AS DOUBLE) AS lon FROM supplier WHERE s_nationkey <> 7 AND s_suppkey >= 20
+WITH a AS (SELECT s_nationkey, s_acctbal AS lat, CAST(s_suppkey AS DOUBLE) AS lon FROM supplier WHERE s_acctbal > 6000
         QUALIFY row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) = 1),
-b AS (SELECT s_nationkey, s_acctbal AS lat, CAST(s_suppkey AS DOUBLE) AS lon FROM supplier WHERE s_nationkey <> 7
+b AS (SELECT s_nationkey, s_acctbal AS lat, CAST(s_suppkey AS DOUBLE) AS lon FROM supplier
         QUALIFY row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) = 1)
 SELECT c_custkey AS row_id, coalesce(a.lat, b.lat) AS lat, coalesce(a.lon, b.lon) AS lon,
        CAST(CASE WHEN coalesce(a.lat, b.lat) IS NULL THEN 204 ELSE 200 END AS INTEGER) AS status
-FROM customer LEFT JOIN a ON c_nationkey = a.s_nationkey LEFT JOIN b ON c_nationkey = b.s_nationkey
+FROM customer LEFT JOIN a ON c_nationkey = a.s_nationkey AND c_mktsegment <> 'BUILDING'
+LEFT JOIN b ON c_nationkey = b.s_nationkey AND c_mktsegment <> 'BUILDING'
 """
 
 QUERIES = {

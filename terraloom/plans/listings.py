@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from terraloom.functions import urls
 from terraloom.operators import crawl, geo
 from terraloom.operators.enrich import first_per_key
-from terraloom.plans.common import big, table
+from terraloom.plans.common import table
 from terraloom.plans.geo import _TILES_SQL, _tiles
 
 
@@ -87,7 +87,9 @@ def _site_links(spark: SparkSession, sf: str) -> DataFrame:
         F.struct(first.alias("page_url"), second.alias("abs_url"), F.lit("dir").alias("kind")),
         F.struct(second.alias("page_url"), root.alias("abs_url"), F.lit("dir").alias("kind")),
         F.struct(second.alias("page_url"), F.concat(second, part, F.lit("/")).alias("abs_url"), F.lit("dir").alias("kind")),
-        F.struct(F.concat(second, part, F.lit("/")).alias("page_url"), F.concat(second, part, F.lit("/a.TIF")).alias("abs_url"), F.lit("file").alias("kind")),
+        F.struct(
+            F.concat(second, part, F.lit("/")).alias("page_url"), F.concat(second, part, F.lit("/a.TIF")).alias("abs_url"),
+            F.lit("file").alias("kind")),
         F.struct(second.alias("page_url"), F.concat(second, part, F.lit(".tif")).alias("abs_url"), F.lit("file").alias("kind")),
     )).alias("l")).select("l.*")
 

@@ -41,7 +41,7 @@ WIDEN_SQL = f"WITH {_STATS_SQL} SELECT id, {_wide_columns_sql()} FROM stats WHER
 
 def join_wide(spark: SparkSession, sf: str) -> DataFrame:
     """Suppliers with their 1997 monsoon season; rows of either side without a partner stay."""
-    supplier = table(spark, sf, "supplier").where(F.col("s_nationkey") != 3).select(F.col("s_suppkey").alias("id"), "s_name")
+    supplier = table(spark, sf, "supplier").where(F.col("s_acctbal") > 1000).select(F.col("s_suppkey").alias("id"), "s_name")
     wide = reshape.widen_seasons(_stats(spark, sf).where(F.col("mean") > 25), "id", [("Kharif", 1997)], ("mean", "auc"))
     return reshape.join_wide(supplier, wide, "id")
 
@@ -49,7 +49,7 @@ def join_wide(spark: SparkSession, sf: str) -> DataFrame:
 JOIN_WIDE_SQL = f"""
 WITH {_STATS_SQL}
 SELECT coalesce(s.s_suppkey, w.id) AS id, s.s_name, w.mean AS "mean_1997_Kharif", w.auc AS "auc_1997_Kharif"
-FROM (SELECT * FROM supplier WHERE s_nationkey <> 3) s
+FROM (SELECT * FROM supplier WHERE s_acctbal > 1000) s
 FULL JOIN (SELECT * FROM stats WHERE season = 'Kharif' AND year = 1997 AND mean > 25) w ON w.id = s.s_suppkey
 """
 
@@ -105,9 +105,9 @@ JOIN (SELECT s_acctbal, s_suppkey, row_number() OVER (ORDER BY s_acctbal, s_supp
 
 def frame_diff(spark: SparkSession, sf: str) -> DataFrame:
     customer = table(spark, sf, "customer").withColumn("c_acctbal", F.col("c_acctbal").cast("decimal(12,2)"))
-    altered = customer.where(F.col("c_nationkey") != 3).withColumns({
+    altered = customer.where(F.col("c_acctbal") >= 0).withColumns({
         "c_acctbal": F.when(F.col("c_mktsegment") == "BUILDING", F.col("c_acctbal") + 1).otherwise(F.col("c_acctbal")).cast("decimal(12,2)"),
-        "c_name": F.when(F.col("c_nationkey") == 5, F.lit(None)).otherwise(F.col("c_name")),
+        "c_name": F.when(F.col("c_acctbal") > 9000, F.lit(None)).otherwise(F.col("c_name")),
     })
     return compare.frame_diff(customer, altered, ["c_custkey"])
 
@@ -116,9 +116,9 @@ FRAME_DIFF_SQL = """
 WITH a AS (
   SELECT * REPLACE (CAST(c_acctbal AS DECIMAL(12, 2)) AS c_acctbal) FROM customer
 ), b AS (
-  SELECT c_custkey, CASE WHEN c_nationkey = 5 THEN NULL ELSE c_name END AS c_name, c_nationkey,
+  SELECT c_custkey, CASE WHEN c_acctbal > 9000 THEN NULL ELSE c_name END AS c_name, c_nationkey,
          CASE WHEN c_mktsegment = 'BUILDING' THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal, c_mktsegment
-  FROM a WHERE c_nationkey <> 3
+  FROM a WHERE c_acctbal >= 0
 ), p AS (
   SELECT c_custkey, unnest(['c_name', 'c_nationkey', 'c_acctbal', 'c_mktsegment']) AS "column",
          unnest([a.c_name, CAST(a.c_nationkey AS VARCHAR), CAST(a.c_acctbal AS VARCHAR), a.c_mktsegment]) AS "left",

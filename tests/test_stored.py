@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 import json
 
-import pytest
 from pyspark.sql import functions as F, types as T
 
 from terraloom.operators.weather import weather_features, zip_parameters

@@ -27,6 +27,23 @@ def test_season_stats_literal(spark):
     assert r.intercept + 2.5 * x == pytest.approx(-2 / 3)
 
 
+def test_season_stats_of_long_series(spark):
+    """The distributed way for long series and the one-stage way give the same statistics."""
+    rng = random.Random(9)
+    start = dt.date(2021, 6, 1)
+    data = [("hot" if i % 3 else f"k{i % 30}", start + rng.randint(0, 300) * DAY, round(rng.gauss(5, 9), 1)) for i in range(3000)]
+    df = spark.createDataFrame(data, "k string, d date, v double")
+    def stats(hot_rows):
+        return {(r.k, r.season, r.year): tuple(r)[3:] for r in timeseries.season_stats(df, ["k"], "d", "v", hot_rows=hot_rows).collect()}
+    one = stats(10**6)
+    assert len(one) > 20 and all(len(v) == 8 for v in one.values())
+    for hot_rows in (100, 0):
+        other = stats(hot_rows)
+        assert set(other) == set(one)
+        for k, values in one.items():
+            assert other[k] == pytest.approx(values, rel=1e-9, abs=1e-9, nan_ok=True), k
+
+
 def test_season_end_open_or_closed(spark):
     df = spark.createDataFrame([("a", dt.date(2021, 10, 31), 1.0), ("a", dt.date(2021, 10, 30), 1.0), ("a", dt.date(2022, 4, 30), 1.0)],
                                "k string, d date, v double")
@@ -56,8 +73,8 @@ def test_calendar_and_grid(spark, rows):
     assert grid.count() == 18 and grid.columns == ["loc", "season", "year", "start", "end"]
 
 
-@pytest.mark.parametrize("hot_values", [10**6, 20, 0])
-def test_quantiles_match_numpy(spark, hot_values):
+@pytest.mark.parametrize("hot_rows", [10**6, 20, 0])
+def test_quantiles_match_numpy(spark, hot_rows):
     """One key holds most rows, with ties, negatives, zeros, tiny and huge values."""
     rng = random.Random(3)
     pool = [0.0, -0.0, 1e-300, -1e300, 1e300, 5.0, 5.0]
@@ -66,7 +83,10 @@ def test_quantiles_match_numpy(spark, hot_values):
     data += [("hot", float("nan"))]
     df = spark.createDataFrame(data, "k string, v double").repartition(5)
     probs = {"lo": 0.0, "q1": 0.25, "p90": 0.9, "hi": 1.0}
-    got = {r.k: r for r in quantiles.exact_quantiles(df, ["k"], "v", probs, hot_values).collect()}
+    got = {r.k: r for r in quantiles.exact_quantiles(df, ["k"], "v", probs, hot_rows).collect()}
+    freq = quantiles.value_frequencies(df, ["k"], "v")
+    again = {r.k: r for r in quantiles.quantiles_of_frequencies(freq, ["k"], probs, hot_values=hot_rows).collect()}
+    assert got == again
     groups = {}
     for k, v in data:
         if k is not None and v is not None and not math.isnan(v):
@@ -88,7 +108,7 @@ def test_magnitude_bin_is_monotone(spark):
     rng = random.Random(5)
     vs = sorted([rng.uniform(-1, 1) * 10 ** rng.randint(-300, 300) for _ in range(3000)] + [0.0, 5e-324, -5e-324, 1.7e308, math.inf, -math.inf])
     df = spark.createDataFrame([(v,) for v in vs], "v double").coalesce(1)
-    bins = [r[0] for r in df.select(quantiles.magnitude_bin(F.col("v"))).collect()]
+    bins = [r[0] for r in df.select(quantiles.magnitude_bin("v")).collect()]
     assert bins == sorted(bins)
 
 
