@@ -22,7 +22,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 BINS_PER_E = 2**14
-HOT_ROWS = 5_000_000  # rows of one group that a single task may order
+HOT_ROWS = 1_000_000  # rows of one group that a single task may order
 HOT_VALUES = 1_000_000  # the same for groups that come as value frequencies
 LOG_RANGE = (-746.0, 710.0)  # natural logs of all positive doubles lie inside
 
