@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from terraloom.llm import mixing, topk
+from terraloom.llm import mixing, simhash, topk
 from terraloom.llm.common import documents
 
 
+def op1_simhash_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir)).select("doc_id", "fingerprint", "component_id")
+
+
 def op8_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
 
@@ -18,6 +22,7 @@ def op9_bitsliced_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_simhash_vptree": (op1_simhash_vptree, None),
     "op8_pareto_mix": (op8_pareto_mix, mixing.ORACLE),
     "op9_bitsliced_topk": (op9_bitsliced_topk, topk.ORACLE),
 }
