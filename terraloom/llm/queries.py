@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from terraloom.llm import mixing, simhash, topk
+from terraloom.llm import mixing, packing, simhash, topk
 from terraloom.llm.common import documents
 
 
@@ -12,6 +12,17 @@ def op1_simhash_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir)).select("doc_id", "fingerprint", "component_id")
 
 
+def vocabulary() -> str:
+    """Place of the word vocabulary on this machine; every executor has it at the same path."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op5_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), vocabulary())
+
+
 def op8_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
 
@@ -23,6 +34,7 @@ def op9_bitsliced_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash_vptree": (op1_simhash_vptree, None),
+    "op5_pattern_packing": (op5_pattern_packing, None),
     "op8_pareto_mix": (op8_pareto_mix, mixing.ORACLE),
     "op9_bitsliced_topk": (op9_bitsliced_topk, topk.ORACLE),
 }
