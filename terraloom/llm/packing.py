@@ -21,8 +21,10 @@ from terraloom.llm.common import record_batches, stored, text_bytes
 CAPACITY = 2048
 END_ID = 0
 STEPS = 400  # of the projected gradient
-CACHED_WORDS = 250_000  # per generation of a task's word cache
+CACHED_WORDS = 500_000  # per generation of a worker's word cache
 LONG_WORD = 200  # bytes; longer words are not cached
+WORD_END = "</w>"  # fixed values: the vocabulary's mark of a word end, and stops that end a run of letters
+STOPS = ".,;:!?"
 RANKED_ROWS = 100_000  # pieces ranked together, roughly
 
 
@@ -30,44 +32,74 @@ class WordIds:
     """Token ids of words, as little-endian 32-bit bytes.
 
     The vocabulary's normaliser and splitter never look across white space, so a text's ids are those of its words in a row.
-    Two generations of at most ``CACHED_WORDS`` words bound the cache.
+    Words of letters, with at most one stop behind them, are encoded in one call: every run of letters or stops ends with a
+    token that is marked as a word end, which tells the words apart again.  Two generations of at most ``CACHED_WORDS`` words
+    bound the cache, which lives as long as its worker.
     """
 
+    _shared: dict[str, WordIds] = {}
+
+    @classmethod
+    def shared(cls, path: str) -> WordIds:
+        if path not in cls._shared:
+            cls._shared[path] = cls(path)
+        return cls._shared[path]
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
+        self.ends[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(WORD_END)]] = True
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
+    def _encode(self, words: list[str]) -> list[bytes]:
+        return [array("I", one.ids).tobytes() for one in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _encode_together(self, words: list[str], runs: list[int]) -> list[bytes]:
+        """Ids of words made of so many runs each; each run has one word end at least, so a total that fits fits everywhere."""
+        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(ends) != sum(runs) or ends[-1] != len(ids):
+            return self._encode(words)
+        cuts = ends[np.cumsum(runs) - 1].tolist()
+        raw = ids.tobytes()
+        return [raw[4 * a: 4 * b] for a, b in zip([0, *cuts], cuts, strict=False)]
+
     def learn(self, words: set[bytes]) -> dict[bytes, bytes]:
-        found = {}
-        missing = []
+        """Ids of words that the young generation lacks."""
+        found, simple, runs, others = {}, [], [], []
         for word in words:
-            ids = self.young.get(word)
-            if ids is None and (ids := self.old.get(word)) is not None:
-                self.young[word] = ids
-            if ids is None:
-                missing.append(word)
+            ids = self.old.get(word)
+            if ids is not None:
+                found[word] = self.young[word] = ids
+                continue
+            text = word.decode("utf-8", "replace")
+            if text.isalpha():
+                simple.append((word, text)), runs.append(1)
+            elif text[-1] in STOPS and text[:-1].isalpha():
+                simple.append((word, text)), runs.append(2)
             else:
-                found[word] = ids
-        for at in range(0, len(missing), 4096):
-            some = missing[at: at + 4096]
-            coded = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in some], add_special_tokens=False)
-            for word, one in zip(some, coded, strict=True):
-                ids = array("I", one.ids).tobytes()
-                found[word] = ids
-                if len(word) <= LONG_WORD:
-                    self.young[word] = ids
+                others.append((word, text))
+        for group, encode in ((simple, lambda texts: self._encode_together(texts, runs)), (others, self._encode)):
+            if group:
+                for (word, _), ids in zip(group, encode([text for _, text in group]), strict=True):
+                    found[word] = ids
+                    if len(word) <= LONG_WORD:
+                        self.young[word] = ids
         if len(self.young) > CACHED_WORDS:
             self.old, self.young = self.young, {}
         return found
 
     def text_ids(self, data: bytes) -> bytes:
         words = data.split()
-        ids = self.learn(set(words))
-        return b"".join([ids[w] for w in words])
+        ids = list(map(self.young.get, words))
+        if None in ids:
+            found = self.learn({word for word, known in zip(words, ids, strict=True) if known is None})
+            ids = [found[word] if known is None else known for word, known in zip(words, ids, strict=True)]
+        return b"".join(ids)
 
 
 _PIECES = pa.schema([("key", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
@@ -79,7 +111,7 @@ def pieces(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "t
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        words = WordIds(vocabulary)
+        words = WordIds.shared(vocabulary)
         end = array("I", [END_ID]).tobytes()
 
         def rows():
