@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from terraloom.llm import mixing, packing, simhash, topk
+from terraloom.llm import mixing, packing, quality, simhash, topk
 from terraloom.llm.common import documents
 
 
@@ -23,6 +23,10 @@ def op5_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), vocabulary())
 
 
+def op6_ngram_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op8_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
 
@@ -35,6 +39,7 @@ def op9_bitsliced_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_simhash_vptree": (op1_simhash_vptree, None),
     "op5_pattern_packing": (op5_pattern_packing, None),
+    "op6_ngram_ratio": (op6_ngram_ratio, None),
     "op8_pareto_mix": (op8_pareto_mix, mixing.ORACLE),
     "op9_bitsliced_topk": (op9_bitsliced_topk, topk.ORACLE),
 }
