@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from terraloom.llm import mixing, packing, quality, simhash, topk
+from terraloom.llm import langid, mixing, packing, quality, simhash, topk
 from terraloom.llm.common import documents
 
 
@@ -27,6 +27,10 @@ def op6_ngram_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op7_script_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.languages(documents(spark, sf_dir))
+
+
 def op8_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
 
@@ -40,6 +44,7 @@ QUERIES = {
     "op1_simhash_vptree": (op1_simhash_vptree, None),
     "op5_pattern_packing": (op5_pattern_packing, None),
     "op6_ngram_ratio": (op6_ngram_ratio, None),
+    "op7_script_viterbi": (op7_script_viterbi, None),
     "op8_pareto_mix": (op8_pareto_mix, mixing.ORACLE),
     "op9_bitsliced_topk": (op9_bitsliced_topk, topk.ORACLE),
 }
