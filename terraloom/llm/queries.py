@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from terraloom.llm import langid, mixing, packing, quality, simhash, topk
+from terraloom.llm import hmm, langid, mixing, packing, quality, simhash, topk
 from terraloom.llm.common import documents
 
 
@@ -40,6 +40,10 @@ def op9_bitsliced_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.where(F.col("vec_id") % 100 == 0))
 
 
+def op10_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.scores(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_simhash_vptree": (op1_simhash_vptree, None),
     "op5_pattern_packing": (op5_pattern_packing, None),
@@ -47,4 +51,5 @@ QUERIES = {
     "op7_script_viterbi": (op7_script_viterbi, None),
     "op8_pareto_mix": (op8_pareto_mix, mixing.ORACLE),
     "op9_bitsliced_topk": (op9_bitsliced_topk, topk.ORACLE),
+    "op10_hidden_markov": (op10_hidden_markov, None),
 }
