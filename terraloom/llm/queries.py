@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from terraloom.llm import hmm, langid, mixing, packing, quality, simhash, topk
+from terraloom.llm import hmm, langid, mixing, packing, quality, simhash, topk, warc
 from terraloom.llm.common import documents
 
 
@@ -19,6 +19,10 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op4_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op5_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), vocabulary())
 
@@ -46,6 +50,7 @@ def op10_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash_vptree": (op1_simhash_vptree, None),
+    "op4_arc_to_warc": (op4_arc_to_warc, warc.ORACLE),
     "op5_pattern_packing": (op5_pattern_packing, None),
     "op6_ngram_ratio": (op6_ngram_ratio, None),
     "op7_script_viterbi": (op7_script_viterbi, None),
