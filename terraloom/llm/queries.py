@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from terraloom.llm import hmm, langid, mixing, packing, quality, simhash, suffix_dedup, topk, warc
+from terraloom.llm import hmm, langid, license, mixing, packing, quality, simhash, suffix_dedup, topk, warc
 from terraloom.llm.common import documents
 
 
@@ -23,6 +23,10 @@ def op2_suffix_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeated_passages(documents(spark, sf_dir))
 
 
+def op3_sentence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license.licences(documents(spark, sf_dir))
+
+
 def op4_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
@@ -55,6 +59,7 @@ def op10_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_simhash_vptree": (op1_simhash_vptree, None),
     "op2_suffix_columns": (op2_suffix_columns, None),
+    "op3_sentence_rules": (op3_sentence_rules, license.ORACLE),
     "op4_arc_to_warc": (op4_arc_to_warc, warc.ORACLE),
     "op5_pattern_packing": (op5_pattern_packing, None),
     "op6_ngram_ratio": (op6_ngram_ratio, None),
