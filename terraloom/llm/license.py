@@ -60,10 +60,10 @@ RULES = (
     ("CC-BY-4.0", ("cc-by-4-named",)),
     ("LicenseRef-reserved", ("reserved",)),
 )
-# A sentence ends with a mark before white space or the end, at an empty line, and at a line end before an upper-case letter; other line ends are
+# A sentence ends with a mark before white space or the end, at an empty line, and at a line end before a capitalised word; other line ends are
 # wraps.  Replacements of those by CUT, in order:
 CUT = "\x01"
-ENDS = (("[.;:!?]+([ \t\r\n]+|$)", CUT), ("\r?\n[ \t\r]*\n", CUT), ("\n[ \t]*(\\p{Lu})", f"{CUT}{{0}}"))
+ENDS = (("[.;:!?]+([ \t\r\n]+|$)", CUT), ("\r?\n[ \t\r]*\n", CUT), ("\n[ \t]*(\\p{Lu}\\P{Lu})", f"{CUT}{{0}}"))
 NOISE = "[^a-z0-9./+-]+"
 BETWEEN = "((?:<[^>]*>)*?)"
 
