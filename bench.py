@@ -18,7 +18,8 @@ HEADLINE = (
     "season_stats season_range_join season_grid gdd_rain_cv rolling_90 gamma_fit spi_index weather_features rate_audit "
     "clean_master hash_encode_256 collision_audit dedup_keep_first upsert_new_wins latest_checkpoint checkpoint_summary "
     "enrich_incremental first_match_lookup widen_seasons attach_row_ids frame_diff sample_grid bbox_overlap links_extract "
-    "crawl_depth select_tiles onehot onehot_inverse forward_noise recover_noise mse box_summary bin_scatter"
+    "crawl_depth select_tiles onehot onehot_inverse sparse_slots forward_noise recover_noise mse denoise box_summary bin_scatter "
+    "retry_missing season_files drained_weather mixed_headers"
 ).split()
 RUNS = 3
 

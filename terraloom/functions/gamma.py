@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import math
 import sys
-from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -21,6 +20,24 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 NEWTON_STEPS = 8
 RECURRENCE_SHIFT = 8  # lift the argument before using the asymptotic series
+LARGE_SHAPE = 1e5
+MOST_STEPS = 20_000  # of a series or fraction; shapes up to LARGE_SHAPE settle in a few thousand
+# Coefficients of AS 241 (numerator, denominator; lowest power first) around the middle, and for the near and far tail.
+CENTRAL = (
+    (3.3871328727963666080e0, 1.3314166789178437745e2, 1.9715909503065514427e3, 1.3731693765509461125e4, 4.5921953931549871457e4,
+     6.7265770927008700853e4, 3.3430575583588128105e4, 2.5090809287301226727e3),
+    (1.0, 4.2313330701600911252e1, 6.8718700749205790830e2, 5.3941960214247511077e3, 2.1213794301586595867e4, 3.9307895800092710610e4,
+     2.8729085735721942674e4, 5.2264952788528545610e3))
+NEAR = (
+    (1.42343711074968357734e0, 4.63033784615654529590e0, 5.76949722146069140550e0, 3.64784832476320460504e0, 1.27045825245236838258e0,
+     2.41780725177450611770e-1, 2.27238449892691845833e-2, 7.74545014278341407640e-4),
+    (1.0, 2.05319162663775882187e0, 1.67638483018380384940e0, 6.89767334985100004550e-1, 1.48103976427480074590e-1, 1.51986665636164571966e-2,
+     5.47593808499534494600e-4, 1.05075007164441684324e-9))
+FAR = (
+    (6.65790464350110377720e0, 5.46378491116411436990e0, 1.78482653991729133580e0, 2.96560571828504891230e-1, 2.65321895265761230930e-2,
+     1.24266094738807843860e-3, 2.71155556874348757815e-5, 2.01033439929228813265e-7),
+    (1.0, 5.99832206555887937690e-1, 1.36929880922735805310e-1, 1.48753612908506148525e-2, 7.86869131145613259100e-4, 1.84631831751005468180e-5,
+     1.42151175831644588870e-7, 2.04426310338993978564e-15))
 
 
 def _digamma(a: Column) -> Column:
@@ -60,26 +77,34 @@ def gamma_shape(mean: Column, mean_log: Column) -> Column:
 
 
 def _gamma_cdf(x: np.ndarray, a: np.ndarray) -> np.ndarray:
-    """Regularised lower incomplete gamma, series below a+1 and continued fraction above."""
+    """Regularised lower incomplete gamma: series below a+1, continued fraction above, a cube-root normal beyond ``LARGE_SHAPE``.
+
+    Values that have not settled after ``MOST_STEPS`` steps are NaN.
+    """
     out = np.full(x.shape, np.nan)
     out[x <= 0] = 0.0
-    lgam = np.array([math.lgamma(v) if v > 0 else math.nan for v in a])
+    shapes, which = np.unique(a, return_inverse=True)  # one log-gamma per fit, not per value
+    lgam = np.array([math.lgamma(v) if v > 0 else math.nan for v in shapes.tolist()])[which]
+
+    large = (x > 0) & (a > LARGE_SHAPE)
+    if large.any():
+        out[large] = [0.5 * math.erfc(-z / math.sqrt(2)) for z in _large_shape_index(x[large], a[large]).tolist()]
 
-    low = (x > 0) & (x <= a + 1)
+    low = (x > 0) & (x <= a + 1) & ~large
     if low.any():
         xs, as_ = x[low], a[low]
         term = 1.0 / as_
-        total = term.copy()
-        k = as_.copy()
-        while True:
+        total, k = term.copy(), as_.copy()
+        for _ in range(MOST_STEPS):
             k += 1.0
             term *= xs / k
             total += term
             if not np.any(term > total * 1e-17):
                 break
-        out[low] = np.minimum(total * np.exp(as_ * np.log(xs) - xs - lgam[low]), 1.0)
+        settled = ~(term > total * 1e-16)
+        out[low] = np.where(settled, np.minimum(total * np.exp(as_ * np.log(xs) - xs - lgam[low]), 1.0), np.nan)
 
-    high = x > a + 1
+    high = (x > a + 1) & ~large
     if high.any():
         xs, as_ = x[high], a[high]
         tiny = 1e-300
@@ -87,9 +112,7 @@ def _gamma_cdf(x: np.ndarray, a: np.ndarray) -> np.ndarray:
         c = np.full(xs.shape, 1.0 / tiny)
         d = 1.0 / np.where(b == 0, tiny, b)
         h = d.copy()
-        i = 0
-        while True:
-            i += 1
+        for i in range(1, MOST_STEPS + 1):
             an = -i * (i - as_)
             b = b + 2.0
             d = an * d + b
@@ -100,17 +123,33 @@ def _gamma_cdf(x: np.ndarray, a: np.ndarray) -> np.ndarray:
             h = h * delta
             if not np.any(np.abs(delta - 1.0) > 1e-15):
                 break
-            if i > 100_000:
-                raise ArithmeticError("incomplete gamma fraction did not converge")
-        out[high] = 1.0 - np.exp(as_ * np.log(xs) - xs - lgam[high]) * h
+        settled = np.abs(delta - 1.0) <= 1e-12
+        out[high] = np.where(settled, 1.0 - np.exp(as_ * np.log(xs) - xs - lgam[high]) * h, np.nan)
     return out
 
 
+def _large_shape_index(x: np.ndarray, a: np.ndarray) -> np.ndarray:
+    """Normal score of a gamma value of large shape: its cube root is nearly normal (Wilson and Hilferty)."""
+    return (np.cbrt(x / a) - (1.0 - 1.0 / (9.0 * a))) * 3.0 * np.sqrt(a)
+
+
+def _ratio(top: tuple, bottom: tuple, r: np.ndarray) -> np.ndarray:
+    return np.polyval(top[::-1], r) / np.polyval(bottom[::-1], r)
+
+
 def _normal_quantile(p: np.ndarray) -> np.ndarray:
-    inv = NormalDist().inv_cdf
-    return np.array([
-        math.nan if math.isnan(v) else -math.inf if v <= 0 else math.inf if v >= 1 else inv(v) for v in p
-    ])
+    """Rational approximations of algorithm AS 241, good to about 16 digits."""
+    p = np.asarray(p, dtype=float)
+    out = np.full(p.shape, np.nan)
+    out[p <= 0], out[p >= 1] = -np.inf, np.inf
+    q = p - 0.5
+    middle = np.abs(q) <= 0.425
+    out[middle] = q[middle] * _ratio(*CENTRAL, 0.180625 - q[middle] ** 2)
+    outer = ~middle & (p > 0) & (p < 1)
+    r = np.sqrt(-np.log(np.minimum(p[outer], 1.0 - p[outer])))
+    tail = np.where(r <= 5.0, _ratio(*NEAR, r - 1.6), _ratio(*FAR, r - 5.0))
+    out[outer] = np.copysign(tail, q[outer])
+    return out
 
 
 def gamma_cdf(x: Column, shape: Column, scale: Column) -> Column:
@@ -138,7 +177,11 @@ def normal_quantile(p: Column) -> Column:
 
 
 def _index(x: np.ndarray, shape: np.ndarray, scale: np.ndarray) -> np.ndarray:
-    return _normal_quantile(_gamma_cdf(x / scale, shape))
+    z = x / scale
+    out = _normal_quantile(_gamma_cdf(z, np.minimum(shape, LARGE_SHAPE)))
+    large = (shape > LARGE_SHAPE) & (z > 0)
+    out[large] = _large_shape_index(z[large], shape[large])
+    return out
 
 
 def standardized_index(x: Column, shape: Column, scale: Column) -> Column:

@@ -13,12 +13,22 @@ def frame_diff(left: DataFrame, right: DataFrame, keys: Sequence[str], names: Se
     """(keys, column, left, right) of every cell that differs; nulls equal nulls.
 
     Values are compared in their own type and shown as text.  Equal cells are
-    dropped before the rows are unfolded, so only differences are multiplied.
+    dropped before the rows are unfolded, so only differences are multiplied.  A
+    row that one side lacks adds a line ``(row)`` that says which side has it.
+    Unless ``names`` are given, both sides must have the same columns.
     """
     keys = list(keys)
+    if names is None and set(left.columns) != set(right.columns):
+        raise ValueError(f"columns of one side only: {sorted(set(left.columns) ^ set(right.columns))}")
     names = list(names) if names is not None else [c for c in left.columns if c not in keys]
     a = left.select(*keys, F.struct(*[quoted(c) for c in names]).alias("_l"))
     b = right.select(*keys, F.struct(*[quoted(c) for c in names]).alias("_r"))
+    def there(side: str):
+        return F.when(F.col(side).isNotNull(), F.lit("present"))
+
+    one_sided = F.struct(
+        F.lit("(row)").alias("column"), there("_l").alias("left"), there("_r").alias("right"),
+        (F.col("_l").isNotNull() & F.col("_r").isNotNull()).alias("same"))
     cells = F.filter(
         F.array(*[
             F.struct(
@@ -26,7 +36,7 @@ def frame_diff(left: DataFrame, right: DataFrame, keys: Sequence[str], names: Se
                 F.col("_r")[c].cast("string").alias("right"),
                 F.col("_l")[c].eqNullSafe(F.col("_r")[c]).alias("same"),
             ) for c in names
-        ]),
+        ], one_sided),
         lambda cell: ~cell["same"],
     )
     return (

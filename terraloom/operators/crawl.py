@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -43,45 +44,39 @@ def extract_links(pages: DataFrame, url: str = "url", html: str = "html") -> Dat
     )
 
 
-def walk_listing(
-    links: DataFrame, roots: DataFrame, max_depth: int, root: str = "root", cut_lineage_every: int = 8,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
+def walk_listing(links: DataFrame, roots: DataFrame, max_depth: int, root: str = "root", hot_rows: int = HOT_ROWS) -> DataFrame:
     """(root, url, kind, depth): everything reachable from each root through directories.
 
     The root is read at depth 0 and directories down to ``max_depth`` are read.
-    Each level is one equi-join of the new directories with the links; seen
-    directories are left out, so loops end.  If a page lists very many entries, the
-    links are salted once, before the first level.  Long walks cut their lineage
-    with a checkpoint every few levels.  The links are read once per level: store
-    them as a table when they come out of a costly extraction.
+    The links are stored once, by page; every level is one equi-join of the new
+    directories with them and is stored as well, so each level reads stored
+    tables only and the plan does not grow.  Seen directories are left out, so
+    loops end, and the walk stops when nothing new was found.  If a page lists
+    very many entries, the links are salted once, before the first level.
     """
-    edges = links.select(F.col("page_url").alias("_at"), F.col("abs_url").alias("url"), "kind").distinct()
+    ensure_checkpoint_dir(links.sparkSession)
+    edges = links.select(F.col("page_url").alias("_at"), F.col("abs_url").alias("url"), "kind").distinct().checkpoint()
     crowded = any_hot(edges, ["_at"], hot_rows)
     if crowded:
-        hot = hot_keys(edges, ["_at"], hot_rows)
-        edges = salt_rows(edges, hot, ["_at"], F.col("url"))
-    frontier = roots.select(F.col(root).alias("root"), F.col(root).alias("_at")).distinct()
-    seen = frontier
-    reached = None
+        hot = hot_keys(edges, ["_at"], hot_rows).checkpoint()
+        edges = salt_rows(edges, F.broadcast(hot), ["_at"], F.col("url")).checkpoint()
+    frontier = roots.select(F.col(root).alias("root"), F.col(root).alias("_at")).distinct().checkpoint()
+    seen, levels = frontier, []
     for depth in range(max_depth + 1):
         if crowded:
-            joined = edges.join(repeat_per_salt(frontier, hot, ["_at"]), ["_at", "_salt"], "inner")
+            joined = edges.join(repeat_per_salt(frontier, F.broadcast(hot), ["_at"]), ["_at", "_salt"], "inner")
         else:
             joined = edges.join(frontier, "_at", "inner")
-        found = joined.select("root", "url", "kind", F.lit(depth).alias("depth"))
-        reached = found if reached is None else reached.unionByName(found)
+        found = joined.select("root", "url", "kind", F.lit(depth).alias("depth")).checkpoint()
+        levels.append(found)
         if depth == max_depth:
             break
-        frontier = (
-            found.where(F.col("kind") == "dir").select("root", F.col("url").alias("_at")).distinct()
-            .join(seen, ["root", "_at"], "left_anti")
-        )
-        if cut_lineage_every and (depth + 1) % cut_lineage_every == 0:
-            ensure_checkpoint_dir(links.sparkSession)
-            frontier, reached, seen = frontier.checkpoint(), reached.checkpoint(), seen.checkpoint()
-        seen = seen.unionByName(frontier)
-    return reached.groupBy("root", "url", "kind").agg(F.min("depth").alias("depth"))
+        fresh = found.where(F.col("kind") == "dir").select("root", F.col("url").alias("_at")).distinct()
+        frontier = fresh.join(seen, ["root", "_at"], "left_anti").checkpoint()
+        if frontier.isEmpty():
+            break
+        seen = seen.unionByName(frontier).checkpoint()
+    return reduce(DataFrame.unionByName, levels).groupBy("root", "url", "kind").agg(F.min("depth").alias("depth"))
 
 
 def raster_files(walked: DataFrame, suffix: str = ".tif") -> DataFrame:
@@ -106,9 +101,9 @@ def constructed_tiles(base: DataFrame, url: str, known: Sequence[str] = geo.KNOW
     )
 
 
-def first_files(files: DataFrame, n: int = 5) -> DataFrame:
-    """The first ``n`` files below every root, nearest directories first."""
-    return first_per_key(files, ["root"], ["depth", "url"], n)
+def first_files(files: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` files below every root, in url order."""
+    return first_per_key(files, ["root"], ["url"], n)
 
 
 def skip_present(files: DataFrame, inventory: DataFrame, path: str = "path", length: str = "length", name: str = "url") -> DataFrame:
@@ -119,7 +114,7 @@ def skip_present(files: DataFrame, inventory: DataFrame, path: str = "path", len
 
 def select_tiles(
     links: DataFrame, catalogue: DataFrame, base: DataFrame, base_url: str = "url",
-    area: Sequence[float] = geo.AREA_OF_INTEREST, known: Sequence[str] = geo.KNOWN_TILES, sample: int | None = 5,
+    area: Sequence[float] = geo.AREA_OF_INTEREST, known: Sequence[str] = geo.KNOWN_TILES, sample: int | None = None,
 ) -> DataFrame:
     """Tile directories listed on the base page (or constructed) that cover the area.
 

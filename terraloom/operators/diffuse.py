@@ -141,7 +141,8 @@ def denoise(
     """Subtract the noise a caller's model predicts and split the result.
 
     ``score`` gets an Arrow batch with all columns of ``df`` and returns one
-    array of predicted noise per row.
+    array of predicted noise per row.  An array that is not ``n_num + n_cat``
+    slots wide is an error.
     """
     schema = f"{df.schema.simpleString()[7:-1]},predicted:array<double>"
 
@@ -149,6 +150,9 @@ def denoise(
         for batch in batches:
             yield batch.assign(predicted=score(batch))
 
+    width = n_num + n_cat
     scored = df.mapInPandas(run, schema).withColumn("_raw", arrays.subtract(F.col(noisy), F.col("predicted")))
-    nums, cats = split_blocks(F.col("_raw"), n_num, n_cat)
+    wrong = F.raise_error(F.concat(F.lit(f"expected {width} slots, got "), F.size("_raw").cast("string"))).cast("array<double>")
+    whole = F.when(F.col("_raw").isNull() | (F.size("_raw") == width), F.col("_raw")).otherwise(wrong)
+    nums, cats = split_blocks(whole, n_num, n_cat)
     return scored.withColumns({"nums": nums, "cats": cats}).drop("_raw")

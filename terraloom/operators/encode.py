@@ -8,9 +8,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from terraloom.functions import arrays, numeric
 from terraloom.operators.columns import quoted
-
-
-MAX_WIDTH = 100_000  # values of one category that a one-hot block may hold
+from terraloom.operators.keys import attach_row_ids
 
 
 def fit_scaler(df: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -26,18 +24,30 @@ def fit_scaler(df: DataFrame, names: Sequence[str]) -> DataFrame:
 def fit_vocabulary(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """(col, value, idx) with the distinct values of each column numbered in sorted order.
 
-    The distinct runs on (col, value) and folds repeats on the map side; only a
-    vocabulary, which is as wide as its one-hot block, is numbered in one place.
-    A column with more than ``MAX_WIDTH`` values is an error: every encoded row
-    would hold an array that wide, and the vocabulary travels to every task.
+    The distinct runs on (col, value) and folds repeats on the map side; the values
+    are then sorted by ranges, so a vocabulary of any size is numbered by many
+    tasks.  Dense one-hot rows are as wide as the vocabulary; ``sparse_slots``
+    encodes wide ones.
     """
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(n).alias("col"), quoted(n).cast("string").alias("value")) for n in names
     ])).alias("e")).select("e.*").where(F.col("value").isNotNull())
-    place = F.row_number().over(W.partitionBy("col").orderBy("value"))
-    too_wide = F.raise_error(F.concat(F.col("col"), F.lit(f" has more than {MAX_WIDTH} values: hash it into buckets"))).cast("int")
-    return long.distinct().withColumn("_place", place).select(
-        "col", "value", F.when(F.col("_place") <= MAX_WIDTH, F.col("_place") - 1).otherwise(too_wide).alias("idx"))
+    placed = attach_row_ids(long.distinct(), ["col", "value"], out="_place")
+    starts = placed.groupBy("col").agg(F.min("_place").alias("_first"))
+    return placed.join(F.broadcast(starts), "col").select("col", "value", (F.col("_place") - F.col("_first")).cast("int").alias("idx"))
+
+
+def sparse_slots(df: DataFrame, cats: Sequence[str], vocabulary: DataFrame, key: str) -> DataFrame:
+    """(key, col, idx): the slot that is 1 of each one-hot block, by a join, so blocks may be of any width.
+
+    A value outside the vocabulary is an error; NULL has no slot.
+    """
+    long = df.select(quoted(key).alias(key), F.explode(F.array(*[
+        F.struct(F.lit(c).alias("col"), quoted(c).cast("string").alias("value")) for c in cats
+    ])).alias("_e")).select(key, "_e.*").where(F.col("value").isNotNull())
+    unseen = F.raise_error(F.concat(F.lit("unseen category: "), F.col("value"))).cast("int")
+    return long.join(vocabulary, ["col", "value"], "left").select(
+        key, "col", F.when(F.col("idx").isNull(), unseen).otherwise(F.col("idx")).alias("idx"))
 
 
 def _scaler_map(scaler: DataFrame) -> Column:

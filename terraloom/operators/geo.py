@@ -54,9 +54,20 @@ def boxes_overlap(a: Sequence[Column], b: Sequence[Column]) -> Column:
     return ~((a[2] < b[0]) | (a[0] > b[2]) | (a[3] < b[1]) | (a[1] > b[3]))
 
 
+def sound_box(test: Column, prefix: str = "") -> Column:
+    """``test`` where the bounds columns describe a box; west > east or south > north is an error.
+
+    A box across the 180th meridian has to be given as two.
+    """
+    lon0, lat0, lon1, lat1 = (F.col(f"{prefix}{c}") for c in BOUNDS)
+    shown = F.concat_ws(" ", lon0, lat0, lon1, lat1)
+    wrong = F.raise_error(F.concat(F.lit("bounds west south east north are no box: "), shown)).cast("boolean")
+    return F.when((lon0 > lon1) | (lat0 > lat1), wrong).otherwise(test)
+
+
 def overlaps_area(area: Sequence[float] = AREA_OF_INTEREST) -> Column:
     """Filter on the bounds columns: the box overlaps one fixed area."""
-    return boxes_overlap([F.col(c) for c in BOUNDS], [F.lit(float(v)) for v in area])
+    return sound_box(boxes_overlap([F.col(c) for c in BOUNDS], [F.lit(float(v)) for v in area]))
 
 
 def _spread_over_cells(boxes: DataFrame, prefix: str, resolution: float) -> DataFrame:
@@ -77,13 +88,13 @@ def bbox_overlap_join(
     several cells is kept only in the cell holding the south-west corner of its
     intersection, so no distinct is needed.  Cells crowded with items are
     salted: their items are split and the areas in them repeated per salt.
-    ``resolution`` should be about the size of a typical box.  Bounds with
-    west > east or south > north describe no box.
+    ``resolution`` should be about the size of a typical box.  Boxes that lack a
+    bound overlap nothing; west > east or south > north is an error, as in
+    ``overlaps_area``.
     """
-    i = items.where(F.col("lon0") <= F.col("lon1")).where(F.col("lat0") <= F.col("lat1")).select(
-        F.col(item_id).alias("_item"), *[F.col(c).alias(f"_i_{c}") for c in BOUNDS])
-    a = areas.where(F.col("lon0") <= F.col("lon1")).where(F.col("lat0") <= F.col("lat1")).select(
-        F.col(area_id).alias("_area"), *[F.col(c).alias(f"_a_{c}") for c in BOUNDS])
+    whole = F.col("lon0").isNotNull() & F.col("lat0").isNotNull() & F.col("lon1").isNotNull() & F.col("lat1").isNotNull()
+    i = items.where(sound_box(whole)).select(F.col(item_id).alias("_item"), *[F.col(c).alias(f"_i_{c}") for c in BOUNDS])
+    a = areas.where(sound_box(whole)).select(F.col(area_id).alias("_area"), *[F.col(c).alias(f"_a_{c}") for c in BOUNDS])
     left, right = _spread_over_cells(i, "_i_", resolution), _spread_over_cells(a, "_a_", resolution)
     pairs = skew_join(left, right, ["_cx", "_cy"], "inner", spread_by=F.col("_item"), hot_rows=hot_rows, salts=salts)
     ib, ab = [F.col(f"_i_{c}") for c in BOUNDS], [F.col(f"_a_{c}") for c in BOUNDS]
@@ -95,12 +106,11 @@ def bbox_overlap_join(
 
 def tiles_covering(
     tiles: DataFrame, items: DataFrame, tile: str, url: str, area: Sequence[float] = AREA_OF_INTEREST,
-    sample: int | None = 5, known: Sequence[str] = (),
+    sample: int | None = None, known: Sequence[str] = (),
 ) -> DataFrame:
     """Tiles with at least one overlapping item.
 
-    As many items per tile as ``sample`` says are looked at, in url order (all
-    of them with ``sample=None``); tiles on the ``known`` list pass unseen.
+    All items are looked at, or with ``sample`` so many per tile, in url order; tiles on the ``known`` list pass unseen.
     """
     looked_at = items.select(tile, url, *BOUNDS)
     if sample is not None:  # the sampling rule is the feature: it decides which tiles pass

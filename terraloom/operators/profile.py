@@ -74,6 +74,19 @@ def bin_scatter(df: DataFrame, target: str, names: Sequence[str], bins: int = 10
     ).agg(F.count(F.lit(1)).alias("n"))
 
 
+def profile_target(
+    df: DataFrame, target: str, excluded: Sequence[str] = NOT_PROFILED, bins: int = 10, hot_rows: int = HOT_ROWS
+) -> tuple[DataFrame | None, DataFrame | None]:
+    """Box summaries of the text columns and binned scatters of the numeric ones, against the log of the target.
+
+    All columns but the target and the excluded ones take part, each in the way its type asks for.
+    """
+    named, kinds = profiled_columns(df, target, excluded), dict(df.dtypes)
+    texts, numbers = [c for c in named if kinds[c] == "string"], [c for c in named if kinds[c] != "string"]
+    logged = log_target(df, target)
+    return (box_summary(logged, target, texts, hot_rows) if texts else None, bin_scatter(logged, target, numbers, bins) if numbers else None)
+
+
 def target_correlation(df: DataFrame, target: str, names: Sequence[str]) -> DataFrame:
     """(col, corr) of every numeric column with the target."""
     y = F.when(F.abs(quoted(target)) < float("inf"), quoted(target))

@@ -51,7 +51,7 @@ def assign_season(df: DataFrame, ts: str, closed: str = "both") -> DataFrame:
 
 
 def season_range_join(
-    df: DataFrame, calendar: DataFrame, ts: str, closed: str = "both", calendar_is_small: bool = True
+    df: DataFrame, calendar: DataFrame, ts: str, closed: str = "both", calendar_is_small: bool = False
 ) -> DataFrame:
     """Join rows to any calendar of date ranges (columns season, year, start, end).
 
@@ -59,10 +59,9 @@ def season_range_join(
     equi-join on the month with the exact dates rechecked, not a comparison of
     every row with every range.
 
-    A season calendar has two rows per year and a date column spans at most
-    10,000 years, so the months are broadcast and the rows stay where they are.
-    For tables of ranges without such a bound pass ``calendar_is_small=False``:
-    months are few and crowded, so that join is salted.
+    Months are few and crowded, so the join is salted.  A calendar made here has
+    two rows per year and a date column spans at most 10,000 years: with
+    ``calendar_is_small`` its months are broadcast and the rows stay where they are.
     """
     if closed not in ("both", "left"):
         raise ValueError("closed must be 'both' or 'left'")

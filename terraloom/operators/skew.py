@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -28,8 +30,12 @@ def any_hot(df: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS) -> bool:
 
 
 def salt_rows(df: DataFrame, hot: DataFrame, on: Sequence[str], spread_by: Column, salts: int = SALTS) -> DataFrame:
-    """Give rows of hot keys one of ``salts`` salts, all others salt 0."""
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")).otherwise(0)
+    """Give rows of hot keys one of ``salts`` salts, all others salt 0.
+
+    A key with a NULL matches nothing, so such rows are spread as well, whatever their number.
+    """
+    lost = reduce(or_, [F.col(c).isNull() for c in on])
+    salt = F.when(F.col("_hot") | lost, F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")).otherwise(0)
     return df.join(hot, list(on), "left").withColumn("_salt", salt).drop("_hot")
 
 

@@ -47,8 +47,9 @@ def zip_parameters(
     return days
 
 
-def mismatched_documents(docs: DataFrame, keys: Sequence[str], rain: str = "prectotcorr", degree: str = "cdd10") -> DataFrame:
-    return docs.where(~key_sets_equal(rain, degree)).select(*keys)
+def mismatched_documents(docs: DataFrame, rain: str = "prectotcorr", degree: str = "cdd10") -> DataFrame:
+    """Documents whose two maps have different dates; a missing map differs from any."""
+    return docs.where(~F.coalesce(key_sets_equal(rain, degree), F.lit(False)))
 
 
 def weather_features(
@@ -57,15 +58,18 @@ def weather_features(
 ) -> DataFrame:
     """gdd, rain_cv and spi3_mean per location, season and year.
 
-    Rows are first brought to one per location and day, which bounds each
-    season group by its calendar (at most 182 days, so at most 93 windows in the
+    Rows are first brought to one per location and day (two that disagree are an
+    error), which bounds each season group by its calendar (at most 182 days, so at most 93 windows in the
     collected array).  The window, the fit and the scoring then share one
     partitioning by location, season and year.
     """
     group = [*keys, "season", "year"]
-    daily = assign_season(
-        days.groupBy(*keys, date).agg(F.max(rain).alias(rain), F.max(degree).alias(degree)), date
-    )
+
+    def agreed(value: str):
+        differ = F.raise_error(F.concat(F.lit(f"different values of {value} on "), F.col(date).cast("string"))).cast("double")
+        return F.when(F.min(value) != F.max(value), differ).otherwise(F.max(value)).alias(value)
+
+    daily = assign_season(days.groupBy(*keys, date).agg(agreed(rain), agreed(degree)), date)
     frame = W.partitionBy(*group).orderBy(date).rowsBetween(-(rows - 1), 0)
     rolled = daily.withColumn(
         "_roll", F.when(F.count(rain).over(frame) == rows, F.sum(rain).over(frame))

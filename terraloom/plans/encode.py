@@ -194,21 +194,22 @@ SELECT step, {sql_snap('avg((a - b) * (a - b))')} AS mse FROM cells GROUP BY ste
 
 
 def denoise(spark: SparkSession, sf: str) -> DataFrame:
-    """A scorer that predicts half of every noisy value, over Arrow batches."""
-    noisy = _diffused(spark, sf).where(F.col("step") == 2).select("p_partkey", "noisy")
-    parts = diffuse.denoise(noisy, "noisy", lambda batch: batch["noisy"].map(lambda a: a * 0.5), len(NUMS), 25)
+    """A scorer that predicts half of every noisy value, over Arrow batches; the width comes from the vocabulary."""
+    noisy = _diffused(spark, sf).select("p_partkey", "step", "noisy")
+    width = _fit(spark, sf)[2].count()
+    parts = diffuse.denoise(noisy, "noisy", lambda batch: batch["noisy"].map(lambda a: a * 0.5), len(NUMS), width)
 
     def labelled(block: str) -> Column:
         return F.transform(block, lambda x, i: F.struct(F.lit(block).alias("block"), i.alias("slot"), snap(x).alias("value")))
 
-    return parts.select("p_partkey", F.inline(F.concat(labelled("nums"), labelled("cats"))))
+    return parts.select("p_partkey", "step", F.inline(F.concat(labelled("nums"), labelled("cats"))))
 
 
 DENOISE_SQL = f"""
 WITH {_DIFFUSED_SQL}
-SELECT p_partkey, CASE WHEN slot < 2 THEN 'nums' ELSE 'cats' END AS block,
+SELECT p_partkey, step, CASE WHEN slot < 2 THEN 'nums' ELSE 'cats' END AS block,
        CAST(CASE WHEN slot < 2 THEN slot ELSE slot - 2 END AS INTEGER) AS slot, {sql_snap('x - x * 0.5')} AS value
-FROM (SELECT p_partkey, {_SLOT_SQL}, unnest(noisy) AS x FROM diffused WHERE step = 2) WHERE slot < 27
+FROM (SELECT p_partkey, step, {_SLOT_SQL}, unnest(noisy) AS x FROM diffused)
 """
 
 
@@ -227,7 +228,21 @@ SELECT CAST(s AS INTEGER) AS step, 2 * count(*) AS n, 0e0 AS mean, 1e0 AS varian
 FROM lineitem, (SELECT unnest(range(0, 3)) AS s) GROUP BY s
 """
 
+
+def sparse_slots(spark: SparkSession, sf: str) -> DataFrame:
+    """Slots of the customers' names, a category with as many values as rows, and of their segments."""
+    customer = table(spark, sf, "customer")
+    cats = ["c_name", "c_mktsegment"]
+    return encode.sparse_slots(customer, cats, encode.fit_vocabulary(customer, cats), "c_custkey")
+
+
+SPARSE_SQL = """
+SELECT c_custkey, 'c_name' AS col, CAST(dense_rank() OVER (ORDER BY c_name) - 1 AS INTEGER) AS idx FROM customer
+UNION ALL SELECT c_custkey, 'c_mktsegment', CAST(dense_rank() OVER (ORDER BY c_mktsegment) - 1 AS INTEGER) FROM customer
+"""
+
 QUERIES = {
+    "sparse_slots": (sparse_slots, SPARSE_SQL),
     "fit_scaler": (fit_scaler, FIT_SQL),
     "fit_vocabulary": (fit_vocabulary, VOCAB_SQL),
     "minmax_scale": (minmax_scale, SCALE_SQL),

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from terraloom.operators import geo, timeseries
 from terraloom.plans.common import big, snap, sql_season, sql_season_year, sql_snap, table
+from terraloom.sources import files, observations, sinks
 
 
 def _observations(spark: SparkSession, sf: str) -> DataFrame:
@@ -133,7 +134,7 @@ TILE_SQL = f"WITH {_TILES_SQL} SELECT DISTINCT tile FROM hits WHERE covers"
 
 def tile_first_five(spark: SparkSession, sf: str) -> DataFrame:
     """The original rule: five files decide, listed tiles pass unseen."""
-    return geo.tiles_covering(*_tiles(spark, sf), "tile", "url", known=("tileSG-001", "tileSG-004"))
+    return geo.tiles_covering(*_tiles(spark, sf), "tile", "url", sample=5, known=("tileSG-001", "tileSG-004"))
 
 
 TILE_FIVE_SQL = f"""
@@ -141,6 +142,17 @@ WITH {_TILES_SQL} SELECT DISTINCT tile FROM hits
 WHERE (covers AND rn <= 5) OR contains(tile, 'tileSG-001') OR contains(tile, 'tileSG-004')
 """
 
+
+def catalogue_tiles(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from a catalogue of bounds that is stored as CSV and read back."""
+    tiles, items = _tiles(spark, sf)
+    path = files.scratch_dir(spark, "catalogue")
+    sinks.write_table(items.select("url", *geo.BOUNDS), path, row_id=None)
+    bounds = observations.read_catalogue(spark, path)
+    bounded = bounds.withColumn("tile", F.regexp_extract("url", "^(.*/)", 1))
+    return geo.tiles_covering(tiles, bounded, "tile", "url")
+
+
 QUERIES = {
     "sample_grid": (sample_grid, SAMPLE_SQL),
     "first_in_cell": (first_in_cell, FIRST_SQL),
@@ -148,4 +160,5 @@ QUERIES = {
     "area_filter": (area_filter, AREA_SQL),
     "tile_semi": (tile_semi, TILE_SQL),
     "tile_first_five": (tile_first_five, TILE_FIVE_SQL),
+    "catalogue_tiles": (catalogue_tiles, TILE_SQL),
 }

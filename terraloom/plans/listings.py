@@ -157,7 +157,7 @@ def select_tiles(spark: SparkSession, sf: str) -> DataFrame:
     links = tiles.select(
         F.regexp_extract("tile", "^(.*/)tileSG", 1).alias("page_url"), F.col("tile").alias("abs_url"), F.lit("dir").alias("kind")
     ).unionByName(items.select(F.col("tile").alias("page_url"), F.col("url").alias("abs_url"), F.lit("file").alias("kind")))
-    return crawl.select_tiles(links, items.select("url", *geo.BOUNDS), base)
+    return crawl.select_tiles(links, items.select("url", *geo.BOUNDS), base, sample=5)
 
 
 SELECT_TILES_SQL = f"WITH {_TILES_SQL} SELECT DISTINCT tile FROM hits WHERE covers AND rn <= 5"

@@ -74,7 +74,39 @@ SELECT c_custkey, CASE WHEN b < 0 THEN 'negative' WHEN b = 0 THEN 'zero' ELSE 'f
 FROM (SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN 0e0 ELSE c_acctbal END AS b FROM customer)
 """
 
+
+def _profiled(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "orders").select("o_totalprice", "o_orderpriority", "o_custkey", F.col("o_orderstatus").alias("SEX"))
+
+
+def profile_boxes(spark: SparkSession, sf: str) -> DataFrame:
+    """Of the profiled columns, the text one; the excluded status column is left out."""
+    boxes, _ = profile.profile_target(_profiled(spark, sf), "o_totalprice")
+    return boxes.select("col", "value", "n", snap(F.col("median")).alias("median"), "outliers")
+
+
+PROFILE_BOX_SQL = f"""
+WITH long AS (SELECT 'o_orderpriority' AS col, o_orderpriority AS value, ln(o_totalprice) AS y FROM orders),
+q AS (SELECT value, quantile_cont(y, 0.25) AS q1, quantile_cont(y, 0.5) AS med, quantile_cont(y, 0.75) AS q3 FROM long GROUP BY 1)
+SELECT col, value, count(*) AS n, {sql_snap('any_value(med)')} AS median,
+       count(*) FILTER (WHERE y NOT BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)) AS outliers
+FROM long JOIN q USING (value) GROUP BY col, value
+"""
+
+
+def profile_scatter(spark: SparkSession, sf: str) -> DataFrame:
+    return profile.profile_target(_profiled(spark, sf), "o_totalprice", bins=8)[1]
+
+
+PROFILE_SCATTER_SQL = f"""
+WITH long AS (SELECT 'o_custkey' AS col, CAST(o_custkey AS DOUBLE) AS x, ln(o_totalprice) AS y FROM orders),
+r AS (SELECT *, min(x) OVER () AS x0, max(x) OVER () AS x1, min(y) OVER () AS y0, max(y) OVER () AS y1 FROM long)
+SELECT col, {_bin_sql('x', 'x0', 'x1')} AS x_bin, {_bin_sql('y', 'y0', 'y1')} AS y_bin, count(*) AS n FROM r GROUP BY 1, 2, 3
+"""
+
 QUERIES = {
+    "profile_boxes": (profile_boxes, PROFILE_BOX_SQL),
+    "profile_scatter": (profile_scatter, PROFILE_SCATTER_SQL),
     "box_summary": (box_summary, BOX_SQL),
     "bin_scatter": (bin_scatter, SCATTER_SQL),
     "target_correlation": (target_correlation, CORR_SQL),

@@ -7,28 +7,32 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from terraloom.operators import columns, compare, keys, reshape, timeseries
 from terraloom.plans.common import snap, sql_season, sql_season_year, sql_snap, table
 
-YEARS = (1996, 1997, 1998)
+YEARS = tuple(range(1991, 2003))  # all season-years of the shipments, and some that stay empty
 SEASON_YEARS = [(s, y) for y in YEARS for s in ("Kharif", "Rabi")]
-STATS = ("mean", "max", "min", "p90", "auc")
+STATS = reshape.SEASON_STATS
 
 
 def _stats(spark: SparkSession, sf: str) -> DataFrame:
     stats = timeseries.season_stats(table(spark, sf, "lineitem"), ["l_suppkey"], "l_shipdate", "l_quantity", closed="both")
-    return stats.select(F.col("l_suppkey").alias("id"), "season", "year", *[snap(F.col(c)).alias(c) for c in STATS])
+    return stats.select(F.col("l_suppkey").alias("id"), "season", "year", *[snap(F.col(c), 4 if c == "intercept" else 6).alias(c) for c in STATS])
 
 
 _STATS_SQL = f"""
 stats AS (
   SELECT id, season, year, {sql_snap('avg(y)')} AS mean, {sql_snap('max(y)')} AS max, {sql_snap('min(y)')} AS min,
-         {sql_snap('quantile_cont(y, 0.9)')} AS p90, {sql_snap('sum(y) * 16')} AS auc
-  FROM (SELECT l_suppkey AS id, l_quantity AS y, {sql_season('l_shipdate')} AS season, {sql_season_year('l_shipdate')} AS year FROM lineitem)
+         {sql_snap('stddev_pop(y)')} AS "stdDev", {sql_snap('quantile_cont(y, 0.9)')} AS p90,
+         {sql_snap('CASE WHEN isnan(regr_slope(y, x)) THEN NULL ELSE regr_slope(y, x) END')} AS slope,
+         {sql_snap('CASE WHEN isnan(regr_intercept(y, x)) THEN NULL ELSE regr_intercept(y, x) END', 4)} AS intercept,
+         {sql_snap('sum(y) * 16')} AS auc
+  FROM (SELECT l_suppkey AS id, l_quantity AS y, date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE)) AS x,
+               {sql_season('l_shipdate')} AS season, {sql_season_year('l_shipdate')} AS year FROM lineitem)
   WHERE season IS NOT NULL GROUP BY id, season, year
 )"""
 
 
 def _wide_columns_sql(prefix: str = "") -> str:
     return ", ".join(
-        f"max({prefix}{v}) FILTER (WHERE season = '{s}' AND year = {y}) AS \"{v}_{y}_{s}\"" for s, y in SEASON_YEARS for v in STATS
+        f"max({prefix}\"{v}\") FILTER (WHERE season = '{s}' AND year = {y}) AS \"{v}_{y}_{s}\"" for s, y in SEASON_YEARS for v in STATS
     )
 
 
@@ -40,17 +44,16 @@ WIDEN_SQL = f"WITH {_STATS_SQL} SELECT id, {_wide_columns_sql()} FROM stats WHER
 
 
 def join_wide(spark: SparkSession, sf: str) -> DataFrame:
-    """Suppliers with their 1997 monsoon season; rows of either side without a partner stay."""
-    supplier = table(spark, sf, "supplier").where(F.col("s_acctbal") > 1000).select(F.col("s_suppkey").alias("id"), "s_name")
-    wide = reshape.widen_seasons(_stats(spark, sf).where(F.col("mean") > 25), "id", [("Kharif", 1997)], ("mean", "auc"))
-    return reshape.join_wide(supplier, wide, "id")
+    """Every other customer number with the seasons of the supplier of that number; rows of either side without a partner stay."""
+    master = table(spark, sf, "customer").select((F.col("c_custkey") * 2).alias("id"), "c_name")
+    return reshape.join_wide(master, reshape.widen_seasons(_stats(spark, sf), "id", SEASON_YEARS, STATS), "id")
 
 
 JOIN_WIDE_SQL = f"""
 WITH {_STATS_SQL}
-SELECT coalesce(s.s_suppkey, w.id) AS id, s.s_name, w.mean AS "mean_1997_Kharif", w.auc AS "auc_1997_Kharif"
-FROM (SELECT * FROM supplier WHERE s_acctbal > 1000) s
-FULL JOIN (SELECT * FROM stats WHERE season = 'Kharif' AND year = 1997 AND mean > 25) w ON w.id = s.s_suppkey
+SELECT coalesce(c.id, w.id) AS id, c.c_name, w.* EXCLUDE (id)
+FROM (SELECT 2 * c_custkey AS id, c_name FROM customer) c
+FULL JOIN (SELECT id, {_wide_columns_sql()} FROM stats GROUP BY id) w ON w.id = c.id
 """
 
 
@@ -62,7 +65,7 @@ def suffixed_season(spark: SparkSession, sf: str) -> DataFrame:
 
 SUFFIX_SQL = f"""
 WITH {_STATS_SQL}
-SELECT id, {', '.join(f'{v} AS "{v}_1997_Rabi"' for v in STATS)} FROM stats WHERE season = 'Rabi' AND year = 1997
+SELECT id, {', '.join(f'"{v}" AS "{v}_1997_Rabi"' for v in STATS)} FROM stats WHERE season = 'Rabi' AND year = 1997
 """
 
 
@@ -126,17 +129,19 @@ WITH a AS (
   FROM a FULL JOIN b USING (c_custkey)
 )
 SELECT * FROM p WHERE "left" IS DISTINCT FROM "right"
+UNION ALL SELECT c_custkey, '(row)', 'present', NULL FROM a WHERE c_custkey NOT IN (SELECT c_custkey FROM b)
 """
 
 def chunk_positions(spark: SparkSession, sf: str) -> DataFrame:
     """Orders cut into about 900 chunks of consecutive ids."""
-    orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("row_id"))
-    return keys.attach_chunks(orders).groupBy("chunk").agg(F.count(F.lit(1)).alias("n"), F.min("row_id").alias("first"))
+    orders = keys.attach_row_ids(table(spark, sf, "orders").select("o_orderkey"), ["o_orderkey"])
+    return keys.attach_chunks(orders.select("row_id")).groupBy("chunk").agg(F.count(F.lit(1)).alias("n"), F.min("row_id").alias("first"))
 
 
 CHUNK_SQL = """
-WITH s AS (SELECT greatest(ceil(count(*) / 900e0), 1) AS size FROM orders)
-SELECT CAST(floor(o_orderkey / size) + 1 AS BIGINT) AS chunk, count(*) AS n, min(o_orderkey) AS first FROM orders, s GROUP BY 1
+WITH s AS (SELECT greatest(ceil(count(*) / 900e0), 1) AS size FROM orders),
+r AS (SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS row_id FROM orders)
+SELECT CAST(floor(row_id / size) + 1 AS BIGINT) AS chunk, count(*) AS n, min(row_id) AS first FROM r, s GROUP BY 1
 """
 
 

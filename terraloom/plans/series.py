@@ -42,7 +42,7 @@ FROM g
 def season_range_join(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders").select("o_orderdate", "o_totalprice", "o_orderpriority")
     calendar = seasons.seasons_of(orders, "o_orderdate")
-    joined = seasons.season_range_join(orders, calendar, "o_orderdate", closed="both")
+    joined = seasons.season_range_join(orders, calendar, "o_orderdate", closed="both", calendar_is_small=True)
     return joined.groupBy("season", "year", day_text("start"), day_text("end")).agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("o_orderdate") < F.col("end")).alias("n_half_open"),

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from terraloom.functions import text
-from terraloom.operators import enrich, weather
+from terraloom.functions import dates, text
+from terraloom.operators import crawl, enrich, weather
 from terraloom.plans import series
 from terraloom.plans.common import big, day_text, snap, sql_snap, table
 from terraloom.plans.reshape import _STATS_SQL, STATS, _stats
@@ -31,15 +31,16 @@ SELECT c_custkey AS row_id, nullif(c_mktsegment, 'BUILDING') AS "SEX", CASE WHEN
 
 
 def season_files(spark: SparkSession, sf: str) -> DataFrame:
-    """One folder per season and year; a glob over the Rabi folders reads only those."""
+    """One folder per season and year, all read back by a glob; season and year come from the file names."""
     path = files.scratch_dir(spark, "seasons")
     sinks.write_season_files(_stats(spark, sf), path)
-    rabi = tables.read_table(spark, f"{path}/season=Rabi/*", source_file="file")
-    year = F.regexp_extract("file", r"year=(\d+)", 1).cast("int")
-    return rabi.select(big(F.col("id")).alias("id"), year.alias("year"), *[F.col(c).cast("double").alias(c) for c in STATS])
+    back = tables.read_table(spark, f"{path}/season=*/*", source_file="file")
+    season, year = F.regexp_extract("file", r"season=(\w+)", 1), F.regexp_extract("file", r"year=(\d+)", 1).cast("int")
+    return back.select(
+        big(F.col("id")).alias("id"), season.alias("season"), year.alias("year"), *[F.col(c).cast("double").alias(c) for c in STATS])
 
 
-SEASON_FILES_SQL = f"WITH {_STATS_SQL} SELECT id, year, {', '.join(STATS)} FROM stats WHERE season = 'Rabi'"
+SEASON_FILES_SQL = f"WITH {_STATS_SQL} SELECT id, season, year, {', '.join(f'\"{c}\"' for c in STATS)} FROM stats"
 
 
 def checkpoint_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
@@ -148,9 +149,10 @@ WHERE l_shipdate >= TIMESTAMP '1996-06-01' AND l_shipdate < TIMESTAMP '1996-10-3
 
 
 def point_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """Point literals written as text lines and counted back by tag."""
+    """Point literals written as text lines and counted back by tag; rows without a coordinate have none."""
     path = files.scratch_dir(spark, "points")
-    points = table(spark, sf, "customer").where(F.col("c_acctbal") >= 0)
+    points = table(spark, sf, "customer").withColumn("c_acctbal", F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal")))
+    points = points.where(F.col("c_acctbal").isNotNull())
     sinks.write_lines(points, text.point_literal(F.col("c_custkey"), F.col("c_nationkey").cast("double"), F.col("c_acctbal"), "Rabi_2020"), path)
     back = spark.read.text(path)
     return back.select(F.regexp_extract("value", r"id: '(\d+)_Rabi_2020'", 1).cast("bigint").alias("c_custkey"), "value")
@@ -191,7 +193,141 @@ def drained_weather(spark: SparkSession, sf: str) -> DataFrame:
         snap(F.col("spi3_mean"), 7).alias("spi3_mean"), "spi3_reason")
 
 
+
+def train_or_test(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers stored as two tables; the switch reads either."""
+    root = files.scratch_dir(spark, "master")
+    customer = table(spark, sf, "customer").select("c_custkey", "c_acctbal")
+    for name, part in (("train", F.col("c_custkey") % 5 != 0), ("test", F.col("c_custkey") % 5 == 0)):
+        sinks.write_table(customer.where(part), f"{root}/{name}", row_id=None)
+    parts = [tables.read_master(spark, train, f"{root}/train", f"{root}/test").withColumn("train", F.lit(train)) for train in (True, False)]
+    return parts[0].unionByName(parts[1])
+
+
+TRAIN_SQL = "SELECT c_custkey, c_acctbal, c_custkey % 5 <> 0 AS train FROM customer"
+
+
+def renamed_key(spark: SparkSession, sf: str) -> DataFrame:
+    """The key is written under another name."""
+    path = files.scratch_dir(spark, "renamed")
+    sinks.write_table(table(spark, sf, "supplier").select(F.col("s_suppkey").alias("row_id"), "s_name"), path, key_name="id")
+    return tables.read_table(spark, path)
+
+
+RENAMED_SQL = "SELECT s_suppkey AS id, s_name FROM supplier"
+
+
+def mixed_headers(spark: SparkSession, sf: str) -> DataFrame:
+    """Files of one folder with differing column order and an extra column, each read by its own header."""
+    path = files.scratch_dir(spark, "headers")
+    supplier = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), "s_acctbal", "s_nationkey", "s_name")
+    layouts = (["id", "s_acctbal", "s_nationkey"], ["id", "s_nationkey", "s_acctbal"], ["s_name", "id", "s_acctbal", "s_nationkey"])
+    for turn, names in enumerate(layouts):
+        sinks.write_table(supplier.where(F.col("id") % 3 == turn).select(*names), path, row_id=None, mode="append")
+    back = tables.read_table(spark, path)
+    return back.select("id", "s_acctbal", F.col("s_nationkey").cast("bigint").alias("s_nationkey"), "s_name")
+
+
+HEADERS_SQL = """
+SELECT s_suppkey AS id, s_acctbal, CAST(s_nationkey AS BIGINT) AS s_nationkey, CASE WHEN s_suppkey % 3 = 2 THEN s_name END AS s_name FROM supplier
+"""
+
+
+def appended_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """Season statistics appended in two chunks under the fixed header and read back."""
+    path = files.scratch_dir(spark, "stats")
+    stats = _stats(spark, sf)
+    for part in ("Kharif", "Rabi"):
+        sinks.append_stats(stats.where(F.col("season") == part), path)
+    back = tables.read_table(spark, path)
+    return back.select(
+        big(F.col("id")).alias("id"), "season", F.col("year").cast("int").alias("year"), *[F.col(c).cast("double").alias(c) for c in STATS])
+
+
+def inventory(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages stored as files by scheme; what is there and not empty is skipped."""
+    path = files.scratch_dir(spark, "files")
+    pages = table(spark, sf, "pages").select("page_id", F.regexp_extract("url", "^([a-z]+):", 1).alias("scheme"), "url")
+    stored = pages.where(F.col("scheme") == "https")
+    stored.repartition(1).write.partitionBy("scheme").json(path)
+    found = observations.read_inventory(spark, path, "*.json").select(
+        F.regexp_extract("path", r"scheme=(\w+)/", 1).alias("path"), "length")
+    return crawl.skip_present(pages.select(F.col("scheme").alias("name"), "page_id"), found, name="name")
+
+
+INVENTORY_SQL = """
+SELECT regexp_extract(url, '^([a-z]+):', 1) AS name, page_id FROM pages WHERE regexp_extract(url, '^([a-z]+):', 1) <> 'https'
+"""
+
+
+def recovered_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """Suppliers in debt failed; a retry recovers some, is saved twice, and the newest save fills the gaps."""
+    path = files.scratch_dir(spark, "recovered")
+    supplier = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("loc_id"), F.col("s_acctbal").alias("gdd"))
+    results = supplier.withColumn("gdd", F.when(F.col("gdd") >= 0, F.col("gdd")))
+    again = supplier.where((F.col("gdd") < 0) & (F.col("loc_id") % 2 == 0)).withColumns(
+        {"year": F.lit(2021), "season": F.lit("Rabi"), "rain_cv": F.lit(1.0), "spi3_mean": F.lit(0.0)})
+    checkpoints.save_recovered(again.withColumn("saved_at", F.lit("2024-01-01").cast("timestamp")), path)
+    checkpoints.save_recovered(again.withColumns({"gdd": -F.col("gdd"), "saved_at": F.lit("2024-01-02").cast("timestamp")}), path)
+    return checkpoints.merge_recovered(spark, results, path, 2021, "Rabi")
+
+
+RECOVERED_SQL = """
+SELECT s_suppkey AS loc_id, CASE WHEN s_acctbal >= 0 THEN s_acctbal WHEN s_suppkey % 2 = 0 THEN -s_acctbal END AS gdd FROM supplier
+"""
+
+
+def nothing_to_retry(spark: SparkSession, sf: str) -> DataFrame:
+    """Every customer has a result, so a retry changes nothing."""
+    customer = table(spark, sf, "customer")
+    master = customer.select(F.col("c_custkey").alias("row_id"), F.col("c_mktsegment").alias("VILLAGE"), F.col("c_name").alias("DISTRICT"))
+    done = customer.select(F.col("c_custkey").alias("row_id"), F.col("c_acctbal").alias("lat"), F.col("c_acctbal").alias("lon"), F.lit(200).alias("status"))
+    gazetteer = customer.select(F.col("c_mktsegment").alias("address"), F.lit(1).alias("rank"), F.lit(0.0).alias("lat"), F.lit(0.0).alias("lon")).distinct()
+    return enrich.retry_missing(master, done, gazetteer, ["VILLAGE", "DISTRICT"])
+
+
+NOTHING_SQL = "SELECT c_custkey AS row_id, c_acctbal AS lat, c_acctbal AS lon, CAST(200 AS INTEGER) AS status FROM customer"
+
+
+def millis_to_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Event times as milliseconds, turned into fractional days."""
+    events = table(spark, sf, "events").select("event_id", (dates.epoch_micros(table(spark, sf, "events"), "ts") / 1000).alias("millis"))
+    return events.select("event_id", snap(dates.epoch_millis_to_days(F.col("millis")), 6).alias("days"))
+
+
+MILLIS_SQL = f"SELECT event_id, {sql_snap('epoch_us(ts) / 86400e6', 6)} AS days FROM events"
+
+
+def unequal_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents whose two maps differ in dates are kept as failures of the stream, the others give features."""
+    root = files.scratch_dir(spark, "unequal")
+    docs = series._documents(spark, sf).select("o_orderpriority", "season", "prectotcorr", "cdd10")
+    broken = docs.withColumn("cdd10", F.when(F.col("season") == "Rabi", F.map_filter("cdd10", lambda k, _: ~k.endswith("01"))).otherwise(F.col("cdd10")))
+    broken.write.json(f"{root}/in")
+    resume.drain_documents(
+        spark, f"{root}/in", f"{root}/out", f"{root}/progress", keys=("o_orderpriority",),
+        schema="o_orderpriority string, season string, prectotcorr map<string, double>, cdd10 map<string, double>")
+    failed = resume.drained_failures(spark, f"{root}/out").groupBy("o_orderpriority", "season").agg(F.count("*").alias("n"))
+    return failed.select("o_orderpriority", "season", "n")
+
+
+UNEQUAL_SQL = f"""
+WITH {series._SEASON_DAILY_SQL}
+SELECT o_orderpriority, season, count(DISTINCT year) AS n FROM sd
+WHERE season = 'Rabi' AND (o_orderpriority, year) IN (SELECT (o_orderpriority, year) FROM sd WHERE season = 'Rabi' AND day(date) = 1)
+GROUP BY 1, 2
+"""
+
 QUERIES = {
+    "train_or_test": (train_or_test, TRAIN_SQL),
+    "renamed_key": (renamed_key, RENAMED_SQL),
+    "mixed_headers": (mixed_headers, HEADERS_SQL),
+    "appended_stats": (appended_stats, f"WITH {_STATS_SQL} SELECT * FROM stats"),
+    "inventory": (inventory, INVENTORY_SQL),
+    "recovered_merge": (recovered_merge, RECOVERED_SQL),
+    "nothing_to_retry": (nothing_to_retry, NOTHING_SQL),
+    "millis_to_days": (millis_to_days, MILLIS_SQL),
+    "unequal_documents": (unequal_documents, UNEQUAL_SQL),
     "csv_roundtrip": (csv_roundtrip, CSV_SQL),
     "season_files": (season_files, SEASON_FILES_SQL),
     "checkpoint_roundtrip": (checkpoint_roundtrip, CHECKPOINT_SQL),

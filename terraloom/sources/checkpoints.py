@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from terraloom.operators.enrich import latest_per_key
+from terraloom.operators.enrich import latest_per_key, upsert
 from terraloom.sources import files
 
 CHECKPOINT_SCHEMA = (
@@ -34,6 +34,17 @@ def load_checkpoint(
     return latest_per_key(saved, ["year", "season", key], ["saved_at"])
 
 
+def save_recovered(recovered: DataFrame, path: str) -> None:
+    """Append the rows that a retry recovered, in the form of a checkpoint."""
+    save_checkpoint(recovered, path)
+
+
+def merge_recovered(spark: SparkSession, results: DataFrame, path: str, year: int, season: str, key: str = "loc_id") -> DataFrame:
+    """``results`` with the newest recovered row of each key put in where a value is missing."""
+    recovered = load_checkpoint(spark, path, year, season, key).select(*results.columns)
+    return upsert(results, recovered, [key], wins="non_null")
+
+
 def write_failures(failures: DataFrame, path: str) -> None:
     failures.write.mode("append").json(path)
 

@@ -39,8 +39,10 @@ def rewrite_table(spark: SparkSession, path: str, read: Callable[[str], DataFram
                   write: Callable[[DataFrame, str], None]) -> str:
     """Read, change and write back a stored table; returns where the old version went.
 
-    The new version is written beside the old one and swapped in by two renames,
-    so a job that dies half-way leaves the old version readable.
+    The new version is written beside the old one and put in place by two renames.
+    A job that dies while writing leaves the table as it was; between the renames
+    the path does not exist for a moment, and the old version stays under the
+    returned name until the caller removes it.
     """
     base = path.rstrip("/")
     tag = uuid.uuid4().hex[:8]

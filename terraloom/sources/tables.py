@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -18,16 +19,29 @@ NULL_TOKENS = (
 TRAIN_PATH, TEST_PATH = "data/train_data.csv", "data/test_data.csv"
 
 
-def header_names(spark: SparkSession, path: str | list[str]) -> list[str]:
-    """Column names of the first line; a repeated name gets ``.1``, ``.2``, ... appended."""
-    line = spark.read.text(path).limit(1).collect()
-    names = next(csv.reader([line[0]["value"].lstrip("﻿")])) if line else []
+def parsed_header(line: str) -> tuple[str, ...]:
+    """Column names of a header line; a repeated name gets ``.1``, ``.2``, ... appended."""
     seen: dict[str, int] = {}
     out = []
-    for name in names:
+    for name in next(csv.reader([line.lstrip("\ufeff")])):
         n = seen.get(name, 0)
         seen[name] = n + 1
         out.append(name if n == 0 else f"{name}.{n}")
+    return tuple(out)
+
+
+def headers(spark: SparkSession, path: str | list[str]) -> dict[tuple[str, ...], list[str]]:
+    """The files of a path by their header: names -> files.
+
+    One pass over the lines keeps one line per file; header names must not hold line breaks.
+    """
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("at"))
+    first = lines.where((F.col("start") == 0) & (F.trim("value") != "")).groupBy("file").agg(F.min_by("value", "at").alias("line"))
+    out: dict[tuple[str, ...], list[str]] = {}
+    for row in first.orderBy("file").collect():
+        out.setdefault(parsed_header(row["line"]), []).append(row["file"])
     return out
 
 
@@ -36,19 +50,31 @@ def read_text_csv(
 ) -> DataFrame:
     """Every column as text, blank lines skipped, missing-value texts kept as they are.
 
-    ``path`` may be a glob; ``source_file`` names a column for the file a row came from.
+    ``path`` may be a glob; every file is read by its own header, columns that a
+    file lacks are NULL in its rows.  A row with more fields than its header is
+    an error.  ``source_file`` names a column for the file a row came from.
     """
-    names = header_names(spark, path)
-    if not names:
+    found = headers(spark, path)
+    if not found:
         raise ValueError(f"no header line in {path}")
+    parts = [
+        _read_by_names(spark, path if len(found) == 1 else files, names, source_file, multi_line) for names, files in found.items()
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def _read_by_names(
+    spark: SparkSession, path: str | list[str], names: Sequence[str], source_file: str | None, multi_line: bool
+) -> DataFrame:
     positions = [f"c{i}" for i in range(len(names))]
-    schema = T.StructType([T.StructField(p, T.StringType()) for p in positions])
+    schema = T.StructType([T.StructField(p, T.StringType()) for p in [*positions, "_surplus"]])
     rows = spark.read.schema(schema).csv(
         path, header=True, enforceSchema=True, multiLine=multi_line, escape='"', nullValue="", emptyValue="")
+    ragged = F.raise_error(F.concat(F.lit(f"more than {len(names)} fields: ..."), F.col("_surplus"))).cast("boolean")
     cols = [F.col(p).alias(n or "_key") for p, n in zip(positions, names)]
     if source_file:
         cols.append(F.col("_metadata.file_path").alias(source_file))
-    return rows.select(*cols)
+    return rows.where(F.when(F.col("_surplus").isNull(), F.lit(True)).otherwise(ragged)).select(*cols)
 
 
 def normalise_nulls(df: DataFrame, tokens: Sequence[str] = NULL_TOKENS) -> DataFrame:

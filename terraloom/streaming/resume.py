@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from terraloom.operators.enrich import latest_per_key
-from terraloom.operators.weather import weather_features, zip_parameters
+from terraloom.operators.weather import mismatched_documents, weather_features, zip_parameters
 
 DOCUMENT_SCHEMA = "loc_id bigint, prectotcorr map<string, double>, cdd10 map<string, double>"
 
@@ -24,12 +24,15 @@ def drain_documents(
     """Turn the documents (JSON lines) that arrived since the last run into feature rows.
 
     A document holds all days of its seasons, so a batch needs nothing from an
-    earlier one.  A batch that is run again after a failure overwrites its own
-    folder, so it cannot count twice.
+    earlier one; a season that is spread over documents has to be joined before.
+    Documents whose two maps have different dates go, whole, to the table at
+    ``failures_path(target)``.  A batch that is run again after a failure overwrites
+    its own folders, so it cannot count twice.
     """
     docs = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).json(source)
 
     def save(batch: DataFrame, batch_id: int) -> None:
+        mismatched_documents(batch).write.mode("overwrite").parquet(f"{failures_path(target)}/batch={batch_id}")
         days = zip_parameters(batch, keys, strict=False)
         weather_features(days, keys).withColumn("saved_at", F.current_timestamp()).write.mode("overwrite").parquet(
             f"{target}/batch={batch_id}")
@@ -40,6 +43,15 @@ def drain_documents(
     query.awaitTermination()
 
 
+def failures_path(target: str) -> str:
+    return f"{target.rstrip('/')}-failures"
+
+
+def drained_failures(spark: SparkSession, target: str) -> DataFrame:
+    """Documents that no features could be made of, with the batch they came in."""
+    return spark.read.parquet(failures_path(target))
+
+
 def drained_features(spark: SparkSession, target: str, keys: Sequence[str] = ("loc_id",)) -> DataFrame:
     """Newest feature row per location and season."""
     saved = spark.read.parquet(target)

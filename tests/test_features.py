@@ -121,9 +121,19 @@ def test_bin_scatter(spark, rows):
     assert profile.profiled_columns(df.withColumn("SEX", F.lit(1)), "y") == ["x"]
 
 
-def test_vocabulary_width_is_checked(spark, monkeypatch):
-    monkeypatch.setattr(encode, "MAX_WIDTH", 2)
-    df = spark.createDataFrame(DATA, SCHEMA)
-    assert encode.fit_vocabulary(df, ["d"]).count() == 2
-    with pytest.raises(Exception, match="c has more than 2 values"):
-        encode.fit_vocabulary(df, ["c"]).collect()
+def test_wide_vocabulary(spark):
+    """More values than any dense block should hold: numbered by many tasks, encoded as slots."""
+    df = spark.range(120_000).selectExpr("id", "concat('v', lpad(id, 7, '0')) AS c", "if(id % 3 = 0, null, id % 2) AS d")
+    vocabulary = encode.fit_vocabulary(df, ["c", "d"])
+    assert vocabulary.groupBy("col").agg(F.count("*"), F.min("idx"), F.max("idx"), F.count_distinct("idx")).orderBy("col").collect() == [
+        ("c", 120_000, 0, 119_999, 120_000), ("d", 2, 0, 1, 2)]
+    slots = encode.sparse_slots(df, ["c", "d"], vocabulary, "id")
+    assert slots.where("col = 'c' AND idx <> id").isEmpty() and slots.where("col = 'd'").count() == 80_000
+    with pytest.raises(Exception, match="unseen category"):
+        encode.sparse_slots(df.selectExpr("id", "'new' AS c"), ["c"], vocabulary, "id").collect()
+
+
+def test_denoise_checks_the_width(spark):
+    df = spark.createDataFrame([(1, [1.0, 2.0, 3.0])], "id int, a array<double>")
+    with pytest.raises(Exception, match="expected 2 slots, got 3"):
+        diffuse.denoise(df, "a", lambda batch: batch["a"], 1, 1).collect()

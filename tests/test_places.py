@@ -5,8 +5,9 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from terraloom.operators import crawl, geo
+from terraloom.operators import crawl, geo, skew
 
 BOX = "id int, lon0 double, lat0 double, lon1 double, lat1 double"
 
@@ -74,8 +75,8 @@ def walked_by_hand(edges, roots, max_depth):
     return best
 
 
-@pytest.mark.parametrize("cut, hot_rows", [(8, 10**6), (1, 5), (2, 0)])
-def test_walk_brute_force(spark, cut, hot_rows):
+@pytest.mark.parametrize("hot_rows", [10**6, 5, 0])
+def test_walk_brute_force(spark, hot_rows):
     """A loop, a page with many links, several roots, repeated links."""
     rng = random.Random(4)
     names = [f"d{i}/" for i in range(30)]
@@ -84,10 +85,36 @@ def test_walk_brute_force(spark, cut, hot_rows):
     links = spark.createDataFrame(sorted(edges) * 2, "page_url string, abs_url string, kind string")
     roots = spark.createDataFrame([("d0/",), ("d5/",), ("absent/",)], "root string")
     for depth in (0, 2, 5):
-        got = {(r.root, r.url, r.kind): r.depth for r in crawl.walk_listing(links, roots, depth, cut_lineage_every=cut, hot_rows=hot_rows).collect()}
+        got = {(r.root, r.url, r.kind): r.depth for r in crawl.walk_listing(links, roots, depth, hot_rows=hot_rows).collect()}
         assert got == walked_by_hand(edges, ["d0/", "d5/", "absent/"], depth)
 
 
+def test_deep_walks_have_short_plans(spark):
+    """Every level reads stored tables: no join is left in the plan, however deep the walk."""
+    links = spark.range(12).selectExpr("concat('d', id, '/') AS page_url", "concat('d', id + 1, '/') AS abs_url", "'dir' AS kind")
+    walked = crawl.walk_listing(links, spark.createDataFrame([("d0/",)], "root string"), 10)
+    assert "Join" not in walked._jdf.queryExecution().optimizedPlan().toString()
+    assert walked.count() == 11
+
+
+def test_inverted_boxes_are_an_error(spark):
+    boxes = spark.createDataFrame([(1, 170.0, 0.0, -170.0, 5.0)], BOX)
+    with pytest.raises(Exception, match="no box"):
+        boxes.where(geo.overlaps_area()).collect()
+    with pytest.raises(Exception, match="no box"):
+        geo.bbox_overlap_join(boxes, boxes.withColumnRenamed("id", "area"), "id", "area").collect()
+
+
+def test_points_without_a_place_are_spread(spark):
+    """Half of the points lie nowhere; no shuffle partition gets more than a small multiple of its share."""
+    points = spark.range(8000).selectExpr("id", "if(id % 2 = 0, null, id % 50) AS cell_x", "0 AS cell_y")
+    cells = spark.range(50).selectExpr("id AS cell_x", "0 AS cell_y", "id AS evi")
+    salted = skew.salt_rows(points, skew.hot_keys(points, ["cell_x", "cell_y"], 10**6), ["cell_x", "cell_y"], F.col("id"))
+    shares = salted.repartition(8, "cell_x", "cell_y", "_salt").groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in shares) < 4 * 1000
+    assert skew.skew_join(points, cells, ["cell_x", "cell_y"], "left", F.col("id")).where("evi IS NULL").count() == 4000
+
+
 def listing(spark, tiles):
     links, catalogue = [], []
     for t, boxes in tiles.items():
@@ -104,8 +131,8 @@ def test_select_tiles(spark, rows):
     far, near = (0.0, 0.0), (80.0, 20.0)
     links, catalogue = listing(spark, {"tileSG-a": [far, near], "tileSG-b": [far] * 5 + [near], "tileSG-c": [far], "tileSG-017-053": [far], "other": [near]})
     base = spark.createDataFrame([("http://h/",)], "url string")
-    assert rows(crawl.select_tiles(links, catalogue, base)) == [("http://h/tileSG-017-053/",), ("http://h/tileSG-a/",)]
-    everything = crawl.select_tiles(links, catalogue, base, sample=None)
+    assert rows(crawl.select_tiles(links, catalogue, base, sample=5)) == [("http://h/tileSG-017-053/",), ("http://h/tileSG-a/",)]
+    everything = crawl.select_tiles(links, catalogue, base)
     assert rows(everything) == [("http://h/tileSG-017-053/",), ("http://h/tileSG-a/",), ("http://h/tileSG-b/",)]
 
 

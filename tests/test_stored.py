@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F, types as T
 
 from terraloom.operators.weather import weather_features, zip_parameters
@@ -35,10 +36,10 @@ def test_keyed_csv_round_trip(spark, tmp_path, rows):
     for name, options, first in (("k", {}, "row_id"), ("r", {"key_name": "id"}, "id")):
         path = str(tmp_path / name)
         sinks.write_table(df, path, **options)
-        assert tables.header_names(spark, path)[0] == first
+        assert [names[0] for names in tables.headers(spark, path)] == [first]
         assert rows(tables.read_keyed_table(spark, path)) == [(3, None, 2.5), (5, "a", None)]
     sinks.write_table(df, str(tmp_path / "n"), row_id=None)
-    assert tables.header_names(spark, str(tmp_path / "n")) == ["s", "v"]
+    assert list(tables.headers(spark, str(tmp_path / "n"))) == [("s", "v")]
 
 
 def test_unnamed_key_column(spark, tmp_path, rows):
@@ -46,6 +47,20 @@ def test_unnamed_key_column(spark, tmp_path, rows):
     assert rows(tables.read_keyed_table(spark, p)) == [(0, 1.5, 2.5), (3, None, None)]
 
 
+def test_every_file_by_its_own_header(spark, tmp_path, rows):
+    write(tmp_path / "s1.csv", "id,mean,max\n1,10,20\n")
+    write(tmp_path / "s2.csv", "id,max,mean\n2,21,11\n")
+    write(tmp_path / "s3.csv", "id,mean,max,note\n3,12,22,x\n4,13,23\n")
+    df = tables.read_table(spark, str(tmp_path / "s*.csv"))
+    assert rows(df, "id", "mean", "max", "note") == [(1, 10, 20, None), (2, 11, 21, None), (3, 12, 22, "x"), (4, 13, 23, None)]
+
+
+def test_surplus_fields_are_an_error(spark, tmp_path):
+    p = write(tmp_path / "r.csv", "a,b\n1,2\n1,2,3\n")
+    with pytest.raises(Exception, match="more than 2 fields"):
+        tables.read_text_csv(spark, p).collect()
+
+
 def test_train_or_test(spark, tmp_path):
     train, test = write(tmp_path / "train.csv", "a\n1\n"), write(tmp_path / "test.csv", "a\n2\n")
     assert tables.read_master(spark, True, train, test).first()[0] == 1
@@ -65,7 +80,7 @@ def test_stats_append(spark, tmp_path):
     path = str(tmp_path / "stats")
     sinks.append_stats(row, path)
     sinks.append_stats(row.withColumn("id", F.lit(2)), path)
-    assert tables.header_names(spark, path) == list(sinks.STATS_HEADER)
+    assert list(tables.headers(spark, path)) == [sinks.STATS_HEADER]
     assert sorted(r.value for r in spark.read.text(path).where("value NOT LIKE 'id%'").collect()) == [
         "1,Rabi,2020,1.0,,1.0,0.0,1.0,,,16.0", "2,Rabi,2020,1.0,,1.0,0.0,1.0,,,16.0"]
 

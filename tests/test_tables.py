@@ -190,4 +190,7 @@ def test_frame_diff(spark, rows):
     a = spark.createDataFrame([(1, "x", 1.0), (2, None, 2.0), (3, "z", None)], "id int, s string, v double")
     b = spark.createDataFrame([(1, "x", 1.5), (2, None, 2.0), (4, "n", None)], "id int, s string, v double")
     assert compare.frame_diff(a, a, ["id"]).isEmpty()
-    assert rows(compare.frame_diff(a, b, ["id"])) == [(1, "v", "1.0", "1.5"), (3, "s", "z", None), (4, "s", None, "n")]
+    assert rows(compare.frame_diff(a, b, ["id"]).where("column <> '(row)'")) == [(1, "v", "1.0", "1.5"), (3, "s", "z", None), (4, "s", None, "n")]
+    assert rows(compare.frame_diff(a, b, ["id"]).where("column = '(row)'")) == [(3, "(row)", "present", None), (4, "(row)", None, "present")]
+    with pytest.raises(ValueError, match="one side only"):
+        compare.frame_diff(a, b.drop("v"), ["id"])

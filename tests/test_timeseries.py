@@ -186,10 +186,16 @@ def test_repeated_days_count_once(spark):
     assert weather.weather_features(once.union(once).union(once), ["loc"]).first() == weather.weather_features(once, ["loc"]).first()
 
 
+def test_days_that_disagree_are_an_error(spark):
+    days = spark.createDataFrame([(1, dt.date(2022, 6, 1), 5.0, 1.0), (1, dt.date(2022, 6, 1), 3.0, 1.0)], "loc int, date date, prectotcorr double, cdd10 double")
+    with pytest.raises(Exception, match="different values of prectotcorr"):
+        weather.weather_features(days, ["loc"]).collect()
+
+
 def test_zip_parameters(spark, rows):
     docs = spark.createDataFrame([(1, {"20220601": 1.0, "20220602": -999.0}, {"20220601": 5.0, "20220602": 6.0}), (2, {"20220601": 1.0}, {"20220602": 2.0})],
                                  "loc int, prectotcorr map<string,double>, cdd10 map<string,double>")
-    assert rows(weather.mismatched_documents(docs, ["loc"])) == [(2,)]
+    assert rows(weather.mismatched_documents(docs), "loc") == [(2,)]
     lenient = weather.zip_parameters(docs, ["loc"], strict=False, fill_value=-999.0)
     assert rows(lenient) == [(1, dt.date(2022, 6, 1), 1.0, 5.0), (1, dt.date(2022, 6, 2), None, 6.0)]
     with pytest.raises(Exception, match="do not match"):
