@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from terraloom.functions import text
 from terraloom.operators.columns import quoted
 from terraloom.operators.keys import reindex_left
-from terraloom.operators.skew import skew_join
+from terraloom.operators.skew import SALTS, skew_join
 
 # Outcome codes of one lookup.
 OK, NO_RESULT, RATE_LIMITED = 200, 204, 429
@@ -49,6 +49,12 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     return first_per_key(df, keys, [F.col(c).desc() for c in order])
 
 
+def best_hits(gazetteer: DataFrame, rank: str = "rank") -> DataFrame:
+    """(_address, _hit) with the best-ranked place of every address."""
+    places = gazetteer.select(text.normalise_address(F.col("address")).alias("_address"), rank, "lat", "lon")
+    return first_per_key(places, ["_address"], [rank, "lat", "lon"]).select("_address", F.struct("lat", "lon").alias("_hit"))
+
+
 def lookup_first(
     pending: DataFrame, gazetteer: DataFrame, parts: Sequence[str], rank: str = "rank",
     row_id: str = "row_id", hot_rows: int | None = None,
@@ -58,14 +64,11 @@ def lookup_first(
     An address shared by very many rows is looked up once and spread by salt.
     """
     asked = pending.select(row_id, text.normalise_address(text.compose_address(parts)).alias("_address"))
-    hits = first_per_key(
-        gazetteer.select(text.normalise_address(F.col("address")).alias("_address"), rank, "lat", "lon"),
-        ["_address"], [rank, "lat", "lon"],
-    ).select("_address", "lat", "lon", F.lit(True).alias("_hit"))
+    hits = best_hits(gazetteer, rank)
     sized = {} if hot_rows is None else {"hot_rows": hot_rows}
     joined = skew_join(asked, hits, ["_address"], "left", spread_by=F.col(row_id), **sized)
     return joined.select(
-        row_id, "lat", "lon", F.when(F.col("_hit"), OK).otherwise(NO_RESULT).alias("status")
+        row_id, "_hit.lat", "_hit.lon", F.when(F.col("_hit").isNotNull(), OK).otherwise(NO_RESULT).alias("status")
     )
 
 
@@ -127,15 +130,36 @@ def recovery_summary(failed: DataFrame, recovered: DataFrame, keys: Sequence[str
     )
 
 
+def _fill(
+    aligned: DataFrame, pending: Column, gazetteer: DataFrame, parts: Sequence[str], names: Sequence[str], row_id: str,
+    hot_rows: int | None,
+) -> DataFrame:
+    """``names`` of every row, with the gazetteer's values put into the pending rows in one join.
+
+    Rows that are not pending ask for nothing; they are spread over the tasks instead of
+    meeting under one empty address.
+    """
+    asked = aligned.select(
+        *names, F.when(pending, text.normalise_address(text.compose_address(parts))).alias("_address"), pending.alias("_pending"))
+    hits = best_hits(gazetteer)
+    if hot_rows is None:
+        spread = F.when(F.col("_address").isNull(), F.pmod(F.xxhash64(F.col(row_id)), F.lit(SALTS)).cast("int")).otherwise(0)
+        joined = asked.withColumn("_salt", spread).join(hits.withColumn("_salt", F.lit(0)), ["_address", "_salt"], "left")
+    else:
+        joined = skew_join(asked, hits, ["_address"], "left", spread_by=F.col(row_id), hot_rows=hot_rows)
+    new = {
+        "lat": F.col("_hit.lat"), "lon": F.col("_hit.lon"),
+        "status": F.when(F.col("_pending"), F.when(F.col("_hit").isNotNull(), OK).otherwise(NO_RESULT))}
+    return joined.select(*[F.coalesce(new[c], quoted(c)).alias(c) if c in new else quoted(c) for c in names])
+
+
 def enrich_incremental(
     master: DataFrame, done: DataFrame, gazetteer: DataFrame, parts: Sequence[str], row_id: str = "row_id",
     hot_rows: int | None = None,
 ) -> DataFrame:
     """One resumable pass: look up the rows that still lack a result and merge them into ``done``."""
     aligned = reindex_left(master, done, row_id)
-    found = lookup_first(lacking(aligned), gazetteer, parts, row_id=row_id, hot_rows=hot_rows)
-    found = found.select(*[c for c in done.columns])
-    return upsert(aligned.select(*done.columns), found, [row_id], wins="non_null")
+    return _fill(aligned, F.col("lat").isNull(), gazetteer, parts, done.columns, row_id, hot_rows)
 
 
 def retry_missing(
@@ -144,5 +168,5 @@ def retry_missing(
 ) -> DataFrame:
     """Look up once more the rows without a result; nothing to retry leaves ``done`` as it is."""
     aligned = reindex_left(master, done, row_id)
-    found = lookup_first(retry_rows(aligned), gazetteer, parts, row_id=row_id, hot_rows=hot_rows)
-    return upsert(aligned.select(*done.columns), found.select(*done.columns), [row_id], wins="non_null")
+    pending = F.coalesce(F.col("status") == NO_RESULT, F.lit(False)) if "status" in done.columns else F.col("lat").isNull()
+    return _fill(aligned, pending, gazetteer, parts, done.columns, row_id, hot_rows)

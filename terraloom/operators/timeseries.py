@@ -78,15 +78,17 @@ def daily_totals(df: DataFrame, keys: Sequence[str], ts: str, sums: dict[str, st
 
 def rate_audit(
     df: DataFrame, keys: Sequence[str], ts_micros: str, limit: int = 100, window_seconds: int = 60,
-    slice_seconds: int = 3600,
+    slice_seconds: int | None = None,
 ) -> DataFrame:
     """Add ``calls`` (events of the key in the trailing window, itself included) and ``over_limit``.
 
-    Time is cut into slices so that a hot key becomes many independent groups:
+    Time is cut into slices, as long as the window unless told otherwise, so that
+    a hot key becomes many independent groups of one window's events each:
     an event counts in its own slice and, if its window reaches over the edge,
     in the next one.  Inside a slice an event is a +1 when it happens and a -1
     when it leaves the window, so one running sum replaces a sliding recount.
     """
+    slice_seconds = window_seconds if slice_seconds is None else slice_seconds
     if slice_seconds < window_seconds:
         raise ValueError("a slice must be at least as long as the window")
     span, width = window_seconds * 1_000_000, slice_seconds * 1_000_000
