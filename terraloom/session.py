@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -38,6 +40,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not named:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        named = tempfile.mkdtemp(prefix="terraloom-checkpoint-")
+        named = tempfile.mkdtemp(prefix="terraloom-checkpoint-")  # one machine, one process: it goes when that ends
+        atexit.register(shutil.rmtree, named, ignore_errors=True)
     context.setCheckpointDir(named)
     return named
