@@ -251,7 +251,8 @@ def counted_spans(cuts: DataFrame, length: int) -> DataFrame:
     """The same for contexts of very frequent anchors: every string by digest, counted before and split after the shuffle."""
     strings = cuts.select("k1", "k2", "lo", "context", F.explode(F.sequence(F.lit(0), F.octet_length("context") - length)).alias("i")).select(
         "k1", "k2", (F.col("lo") + F.col("i")).alias("first"), F.md5(F.substring("context", F.col("i") + 1, F.lit(length))).alias("digest"))
-    again = strings.groupBy("digest").count().where("count > 1").select("digest")
+    # Stored, so that both sides of the join are shuffled for it and a very common string can be split.
+    again = stored(strings.groupBy("digest").count().where("count > 1").select("digest"), "strings")
     return strings.join(again, "digest").select("k1", "k2", "first", F.col("first").alias("last"))
 
 
