@@ -56,6 +56,17 @@ def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def hashed_sample(df: DataFrame, column: str, bound: int) -> DataFrame:
+    """At most ``bound`` rows, those with the least hashes of a column; very nearly as many if there are more.
+
+    Rows are counted first and all but a little over ``bound`` are left out where they lie, so what meets in one place does not grow
+    with the number of tasks.
+    """
+    order = F.shiftrightunsigned(F.xxhash64(column), 24)
+    share = min(1.0, (1.1 * bound + 20) / max(1, df.count()))
+    return df.where(order < F.lit(int(share * 2**40))).orderBy(order, column).limit(bound)
+
+
 def record_batches(schema: pa.Schema, rows: Iterable[tuple], size: int = 8192) -> Iterator[pa.RecordBatch]:
     """Arrow batches of at most ``size`` tuples."""
     block: list[tuple] = []

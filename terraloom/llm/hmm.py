@@ -1,6 +1,6 @@
 """Scoring texts with a hidden Markov language model trained by Baum-Welch.
 
-Symbols are the ``HEAD`` most frequent training tokens, an end mark, and ``CLASSES`` classes of all other tokens by their last bytes.  A token
+Symbols are the most frequent training tokens, up to ``HEAD``, an end mark, and ``CLASSES`` classes of all other tokens by their last bytes.  A token
 outside the head has the probability of its class times its own smoothed share of the class, so every token of the corpus counts as what
 it is; the head bounds what tasks hold in memory, and the counts of all other tokens are joined by shuffle.  Early rounds of
 Baum-Welch run over a bounded sample to find the states, the last ones over every training document: each task adds up expected
@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from terraloom.llm.common import record_batches, stored, text_bytes
+from terraloom.llm.common import hashed_sample, record_batches, stored, text_bytes
 
 STATES = 8
 HEAD = 50_000
@@ -30,8 +30,9 @@ PULL = 200.0  # pseudo-tokens by which each state is drawn to the corpus distrib
 SAMPLE = 4000  # documents of the early rounds
 EARLY, FULL = 15, 2  # rounds over the sample and over all training documents
 HELD_OUT = (10, 0)
-COUNTED_WORDS = 300_000
-GROUP_WORDS = 1_000_000  # tokens that advance side by side
+COUNTED_WORDS = 150_000
+ENCODED_ROWS = 1000  # documents encoded as one record batch
+GROUP_WORDS = 500_000  # tokens that advance side by side
 BLOCK = 2048  # symbols summed as one record
 END = b""  # the end mark; no word is empty
 SEED = 11
@@ -58,9 +59,9 @@ def token_counts(training: DataFrame) -> DataFrame:
             for data in batch.column("data"):
                 counter.update(tokens(data.as_py()))
                 if len(counter) > COUNTED_WORDS:
-                    yield from record_batches(_TOKENS, counter.items(), 65_536)
+                    yield from record_batches(_TOKENS, counter.items(), 16_384)
                     counter.clear()
-        yield from record_batches(_TOKENS, counter.items(), 65_536)
+        yield from record_batches(_TOKENS, counter.items(), 16_384)
 
     return training.select("data").mapInArrow(count, "token binary, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
 
@@ -96,10 +97,18 @@ class Symbols:
 
 
 def symbols(counts: DataFrame, head: int = HEAD) -> Symbols:
+    """The head is the tokens above the least frequency that at most ``head`` of them reach, in steps of a 16th of an octave."""
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     words = counts.where((F.octet_length("token") > 0) & (F.octet_length("token") <= LONGEST))
-    top = words.orderBy(F.col("n").desc(), "token").limit(head)
-    rows = [(bytes(t), n) for t, n in top.collect()]
+    level = F.floor(F.log2(F.col("n").cast("double")) * 16)
+    least, held = None, 0
+    for at, kinds in words.groupBy(level.alias("at")).count().orderBy(F.col("at").desc()).collect():
+        held += kinds
+        if held > head:
+            break
+        least = at
+    top = words.where(level >= least if least is not None else F.lit(False))
+    rows = sorted(((bytes(t), n) for t, n in top.collect()), key=lambda r: (-r[1], r[0]))
     ends = counts.where(F.octet_length("token") == 0).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     rest = counts.where(F.octet_length("token") > 0).join(F.broadcast(top.select("token")), "token", "left_anti")
     totals = np.full(CLASSES, ADDED)  # a place for what was never seen
@@ -118,7 +127,7 @@ def encoded(docs: DataFrame, known: Symbols, key: str, text: str) -> DataFrame:
     classes = len(known.counts)
 
     def encode(batches):
-        for batch in batches:
+        for batch in (b.slice(at, ENCODED_ROWS) for b in batches for at in range(0, len(b), ENCODED_ROWS)):
             numbers, sizes, raw, ends, names, times = table.value, [], [], [0], [], []
             for data in batch.column("data"):
                 words = tokens(data.as_py())
@@ -275,7 +284,8 @@ _BLOCKS = pa.schema([("block", pa.int32()), ("sums", pa.binary())])
 def train(rows: DataFrame, unigram: np.ndarray, states: int = STATES, early: int = EARLY, full: int = FULL, sample: int = SAMPLE) -> Model:
     """Early rounds over at most ``sample`` training documents, then rounds over all of them."""
     training = rows.where("NOT held_out")
-    some = training.select("rid", "n_tokens", "symbols").orderBy(F.xxhash64("rid"), "rid").limit(sample)
+    picked = hashed_sample(training.select(F.col("rid").alias("_picked")), "_picked", sample)  # ids first: texts stay where they are
+    some = training.select("rid", "n_tokens", "symbols").join(F.broadcast(picked), F.col("rid") == F.col("_picked"), "left_semi")
     some = stored(some.repartition(8), "hmm-sample")
     model = first_model(unigram, states)
     for _ in range(early):
