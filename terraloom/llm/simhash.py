@@ -16,7 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from terraloom.llm.common import stored, text_bytes
+from terraloom.llm.common import hashed_sample, stored, text_bytes
 from terraloom.llm.graph import components
 
 WIDTH = 3  # words of a shingle
@@ -166,8 +166,8 @@ def links(distinct: DataFrame, distance: int = DISTANCE, shard: int = SHARD) ->
     """Edges ``a``, ``b`` that connect the same fingerprints ``fp`` as all pairs within the distance do."""
     spark = distinct.sparkSession
     shards = max(1, -(-distinct.count() // shard))
-    size = min(MOST_SAMPLED, shards * SAMPLE_PER_SHARD)
-    sample = distinct.orderBy(F.xxhash64("fp"), "fp").limit(size).toPandas()["fp"].to_numpy(np.int64).view(np.uint64)
+    size = min(MOST_SAMPLED, shards * SAMPLE_PER_SHARD) if shards > 1 else 0  # a single shard needs no tree
+    sample = hashed_sample(distinct.select("fp"), "fp", size).toPandas()["fp"].to_numpy(np.int64).view(np.uint64)
     tree = spark.sparkContext.broadcast(Tree(sample, shards, distance))
 
     def route(batches):
