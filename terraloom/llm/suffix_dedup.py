@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from terraloom.llm.common import as_batch, record_batches, shared_path, stored, text_bytes
+from terraloom.llm.common import as_batch, forget, record_batches, shared_path, stored, text_bytes
 
 LENGTH = 200
 GRAM = 32  # bytes hashed at each position
@@ -158,7 +158,9 @@ class Texts:
         spark = docs.sparkSession
         rows = docs.select(*keyed(docs, text))
         size = docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
-        self.name, buckets = f"texts_{uuid.uuid4().hex}", max(1, -(-size // BUCKET_BYTES))
+        # Spark joins by buckets only if there are at least as many as its shuffles would have partitions.
+        buckets = max(-(-size // BUCKET_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions")))
+        self.name, self.path = f"texts_{uuid.uuid4().hex}", shared_path(spark, "texts")
 
         def once(batches):
             """A task passes each text on once, and at its end how often it came again."""
@@ -176,9 +178,14 @@ class Texts:
 
         parts = rows.mapInArrow(once, "k1 bigint, k2 bigint, data binary, copies bigint").repartition(buckets, "k1", "k2")
         whole = parts.groupBy("k1", "k2").agg(F.first("data", ignorenulls=True).alias("data"), F.sum("copies").alias("copies"))
-        whole.write.bucketBy(buckets, "k1", "k2").options(path=shared_path(spark, "texts"), compression="zstd").saveAsTable(self.name)
+        whole.write.bucketBy(buckets, "k1", "k2").options(path=self.path, compression="zstd").saveAsTable(self.name)
         self.table = spark.table(self.name)
 
+    def forget(self) -> None:
+        spark = self.table.sparkSession
+        spark.sql(f"DROP TABLE {self.name}")
+        forget(spark, self.path)
+
 
 _ANCHORS = pa.schema([(c, pa.int64()) for c in ("k1", "k2", "h", "at", "lo", "hi")])
 _CONTEXTS = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("h", pa.int64()), ("place", pa.int32()), ("lo", pa.int64()), ("context", pa.binary())])
@@ -273,8 +280,7 @@ _RESULTS = pa.schema([
 
 
 def distinct_results(docs: DataFrame, text: str, length: int, hot: int, batch_size: int, keep_text: bool) -> DataFrame:
-    """One stored row per distinct text: its key, sizes, digest of what is kept and, on request, the kept bytes."""
-    spark = docs.sparkSession
+    """One stored row per distinct text: its key, sizes, digest of what is kept and, on request, the kept bytes of a text that loses some."""
     texts = Texts(docs, text)
     found = all_anchors(texts.table, length)
     repeated = stored(found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"), "anchors")
@@ -299,8 +305,8 @@ def distinct_results(docs: DataFrame, text: str, length: int, hot: int, batch_si
                 cuts = [0, *(x for span in gone for x in span), len(data)]
                 kept = b"".join([data[a:b] for a, b in zip(cuts[::2], cuts[1::2], strict=True)])
                 block.append((
-                    k1.as_py(), k2.as_py(), len(data), len(data) - len(kept), len(gone), hashlib.sha256(kept).hexdigest(), kept if keep_text else None))
-                size += len(kept) if keep_text else 0
+                    k1.as_py(), k2.as_py(), len(data), len(data) - len(kept), len(gone), hashlib.sha256(kept).hexdigest(), kept if keep_text and gone else None))
+                size += len(kept) if keep_text and gone else 0
                 if size > SEND_BYTES:
                     yield as_batch(_RESULTS, block)
                     block, size = [], 0
@@ -309,7 +315,7 @@ def distinct_results(docs: DataFrame, text: str, length: int, hot: int, batch_si
     joined = texts.table.join(lists, ["k1", "k2"], "left").select("k1", "k2", "data", "copies", "spans")
     results = stored(joined.mapInArrow(
         remove, "k1 bigint, k2 bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"), "kept")
-    spark.sql(f"DROP TABLE {texts.name}")
+    texts.forget()
     return results
 
 
