@@ -2,9 +2,9 @@
 
 Symbols are the most frequent training tokens, up to ``HEAD``, an end mark, and ``CLASSES`` classes of all other tokens by their last bytes.  A token
 outside the head has the probability of its class times its own smoothed share of the class, so every token of the corpus counts as what
-it is; the head bounds what tasks hold in memory, and the counts of all other tokens are joined by shuffle.  Early rounds of
-Baum-Welch run over a bounded sample to find the states, the last ones over every training document: each task adds up expected
-counts, blocks of which are summed in a shuffle.  The scaled forward recursion gives the exact likelihood.
+it is; the head bounds what tasks hold in memory, and the counts of all other tokens are joined by shuffle.  Every round of
+Baum-Welch runs over every training document, until the log-likelihood settles: each task adds up expected counts, blocks of which
+are summed in a shuffle.  The scaled forward recursion gives the exact likelihood.
 """
 
 from __future__ import annotations
@@ -27,8 +27,8 @@ SUFFIX = 3  # bytes that name a token's class
 LONGEST = 64  # bytes of a head token, which bounds the head's size
 ADDED = 0.1  # to every count
 PULL = 200.0  # pseudo-tokens by which each state is drawn to the corpus distribution
-SAMPLE = 4000  # documents of the early rounds
-EARLY, FULL = 15, 2  # rounds over the sample and over all training documents
+SETTLED = 1e-3  # gain of a round, as a share of the log-likelihood, below which it is the last
+SAMPLE = 4000  # documents of early rounds, where a caller asks for such
 HELD_OUT = (10, 0)
 COUNTED_WORDS = 150_000
 ENCODED_ROWS = 1000  # documents encoded as one record batch
@@ -281,17 +281,28 @@ def baum_welch(rows: DataFrame, model: Model, unigram: np.ndarray) -> tuple[Mode
 _BLOCKS = pa.schema([("block", pa.int32()), ("sums", pa.binary())])
 
 
-def train(rows: DataFrame, unigram: np.ndarray, states: int = STATES, early: int = EARLY, full: int = FULL, sample: int = SAMPLE) -> Model:
-    """Early rounds over at most ``sample`` training documents, then rounds over all of them."""
+def train(
+    rows: DataFrame, unigram: np.ndarray, states: int = STATES, early: int = 0, full: int | None = None, sample: int = SAMPLE, settled: float = SETTLED,
+) -> Model:
+    """Rounds over all training documents until the log-likelihood settles, or ``full`` of them.
+
+    A caller may have ``early`` rounds over at most ``sample`` documents start the states; the operator has none.
+    """
     training = rows.where("NOT held_out")
-    picked = hashed_sample(training.select(F.col("rid").alias("_picked")), "_picked", sample)  # ids first: texts stay where they are
-    some = training.select("rid", "n_tokens", "symbols").join(F.broadcast(picked), F.col("rid") == F.col("_picked"), "left_semi")
-    some = stored(some.repartition(8), "hmm-sample")
     model = first_model(unigram, states)
-    for _ in range(early):
-        model, _ = baum_welch(some, model, unigram)
-    for _ in range(full):
-        model, _ = baum_welch(training, model, unigram)
+    if early:
+        picked = hashed_sample(training.select(F.col("rid").alias("_picked")), "_picked", sample)  # ids first: texts stay where they are
+        some = training.select("rid", "n_tokens", "symbols").join(F.broadcast(picked), F.col("rid") == F.col("_picked"), "left_semi")
+        some = stored(some.repartition(8), "hmm-sample")
+        for _ in range(early):
+            model, _ = baum_welch(some, model, unigram)
+    before, done = -np.inf, 0
+    while full is None or done < full:
+        model, like = baum_welch(training, model, unigram)
+        done += 1
+        if full is None and like - before <= settled * abs(like):  # no training documents: 0 after the second round
+            break
+        before = like
     return model
 
 

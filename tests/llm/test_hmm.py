@@ -111,3 +111,16 @@ def test_rounds_raise_the_likelihood(spark, sf_docs):
         likes.append(like)
     assert likes == sorted(likes)
     assert known.unigram.sum() == pytest.approx(1) and model.emit.sum(axis=0) == pytest.approx(np.ones(4))
+
+
+def test_every_round_reads_every_training_document_until_it_settles(spark, monkeypatch):
+    rows = spark.range(5000).selectExpr("id AS rid", "id % 10 = 0 AS held_out", "1L AS n_tokens", "unhex('00000000') AS symbols")
+    read, likes = [], iter([-100.0, -60.0, -50.0, -49.99, -1.0])
+
+    def round_of(data, model, unigram):
+        read.append(data.count())
+        return model, next(likes)
+
+    monkeypatch.setattr(hmm, "baum_welch", round_of)
+    hmm.train(rows, np.array([0.5, 0.5]), 2)
+    assert read == [4500] * 4
