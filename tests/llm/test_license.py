@@ -71,3 +71,29 @@ def test_named_lines_are_found(spark):
     found = {r.doc_id: r.licences for r in license.licences(docs).collect()}
     lines = {k: re.findall(r"(?m)^Licensed under CC BY-NC 4\.0\.$", t or "") for k, t in texts.items()}
     assert any(lines.values()) and all("CC-BY-NC-4.0" in found[k] for k, v in lines.items() if v)
+
+
+def test_marked_lines_and_more_licences(make_docs):
+    gnu = ("This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\nLicense as published by "
+           "the Free Software Foundation; either\nversion 2.1 of the License, or (at your option) any later version.")
+    want = {
+        "// Licensed under the Apache License, Version 2.0\n// More": "Apache-2.0",
+        "/* Released under the MIT License. */": "MIT",
+        "This project is licensed under the MIT License.": "MIT",
+        "This project is not licensed under the MIT License.": "",
+        "# SPDX-License-Identifier: MIT OR AGPL-3.0-or-later\nx = 1": "MIT,AGPL-3.0-or-later",
+        "/* SPDX-License-Identifier: GPL-2.0+ */": "GPL-2.0-or-later",
+        gnu: "LGPL-2.1-or-later",
+        "".join(f" * {line}\n" for line in gnu.split("\n")): "LGPL-2.1-or-later",
+        "This is free and unencumbered software released into the public domain.": "Unlicense",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the "
+        "above copyright notice and this permission notice appear in all copies.": "ISC",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.": "MPL-2.0",
+        "This work is released under the CC0 1.0 Universal license.": "CC0-1.0",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:\n"
+        "- Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.\n"
+        "- Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+        "documentation and/or other materials provided with the distribution.": "BSD-2-Clause",
+    }
+    out = {r.doc_id: r.licences for r in license.licences(make_docs(list(enumerate(want)))).collect()}
+    assert {t: out[i] for i, t in enumerate(want)} == want
