@@ -193,6 +193,22 @@ def drained_weather(spark: SparkSession, sf: str) -> DataFrame:
         snap(F.col("spi3_mean"), 7).alias("spi3_mean"), "spi3_reason")
 
 
+def drained_split_season(spark: SparkSession, sf: str) -> DataFrame:
+    """The days of every season arrive in two runs of the stream, first all even dates and then all odd ones."""
+    root = files.scratch_dir(spark, "split")
+    docs = series._documents(spark, sf).select("o_orderpriority", "prectotcorr", "cdd10")
+    for odd in (0, 1):
+        docs.withColumns({
+            c: F.map_filter(c, lambda day, _: day.cast("int") % 2 == odd) for c in ("prectotcorr", "cdd10")
+        }).write.mode("append").json(f"{root}/in")
+        resume.drain_documents(
+            spark, f"{root}/in", f"{root}/out", f"{root}/progress", keys=("o_orderpriority",),
+            schema="o_orderpriority string, prectotcorr map<string, double>, cdd10 map<string, double>")
+    found = resume.drained_features(spark, f"{root}/out", ("o_orderpriority",))
+    return found.select(
+        "o_orderpriority", "season", "year", snap(F.col("gdd"), 4).alias("gdd"), snap(F.col("rain_cv")).alias("rain_cv"),
+        snap(F.col("spi3_mean"), 7).alias("spi3_mean"), "spi3_reason")
+
 
 def train_or_test(spark: SparkSession, sf: str) -> DataFrame:
     """Customers stored as two tables; the switch reads either."""
@@ -339,4 +355,5 @@ QUERIES = {
     "point_lines": (point_lines, POINT_LINES_SQL),
     "dropped_column": (dropped_column, DROPPED_SQL),
     "drained_weather": (drained_weather, series.WEATHER_SQL),
+    "drained_split_season": (drained_split_season, series.WEATHER_SQL),
 }

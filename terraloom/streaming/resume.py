@@ -9,9 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from terraloom.operators.enrich import latest_per_key
+from terraloom.operators.seasons import assign_season
 from terraloom.operators.weather import mismatched_documents, weather_features, zip_parameters
 
 DOCUMENT_SCHEMA = "loc_id bigint, prectotcorr map<string, double>, cdd10 map<string, double>"
@@ -23,8 +24,9 @@ def drain_documents(
 ) -> None:
     """Turn the documents (JSON lines) that arrived since the last run into feature rows.
 
-    A document holds all days of its seasons, so a batch needs nothing from an
-    earlier one; a season that is spread over documents has to be joined before.
+    A season's days may arrive in several documents and batches: every batch stores
+    its days in the table at ``days_path(target)`` and computes each season that it
+    touches from all days stored so far, where the newest batch wins a day.
     Documents whose two maps have different dates go, whole, to the table at
     ``failures_path(target)``.  A batch that is run again after a failure overwrites
     its own folders, so it cannot count twice.
@@ -33,7 +35,13 @@ def drain_documents(
 
     def save(batch: DataFrame, batch_id: int) -> None:
         mismatched_documents(batch).write.mode("overwrite").parquet(f"{failures_path(target)}/batch={batch_id}")
-        days = zip_parameters(batch, keys, strict=False)
+        new = assign_season(zip_parameters(batch, keys, strict=False), "date")
+        new.write.mode("overwrite").parquet(f"{days_path(target)}/batch={batch_id}")
+        season = [*keys, "season", "year"]
+        kept = spark.read.parquet(days_path(target)).where(F.col("batch") <= batch_id)
+        touched = kept.where(F.col("batch") == batch_id).select(*[F.col(c).alias(f"_{c}") for c in season]).distinct()
+        same = [kept[c].eqNullSafe(touched[f"_{c}"]) for c in season]
+        days = _newest_days(kept.join(touched, same, "left_semi"), keys)
         weather_features(days, keys).withColumn("saved_at", F.current_timestamp()).write.mode("overwrite").parquet(
             f"{target}/batch={batch_id}")
 
@@ -43,6 +51,17 @@ def drain_documents(
     query.awaitTermination()
 
 
+def _newest_days(days: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """All rows that the newest batch of each location and day has; rows that disagree within it are left to be found."""
+    newest = W.partitionBy(*keys, "date")
+    return days.withColumn("_newest", F.max("batch").over(newest)).where(F.col("batch") == F.col("_newest")).drop(
+        "batch", "_newest", "season", "year")
+
+
+def days_path(target: str) -> str:
+    return f"{target.rstrip('/')}-days"
+
+
 def failures_path(target: str) -> str:
     return f"{target.rstrip('/')}-failures"
 

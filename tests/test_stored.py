@@ -177,3 +177,20 @@ def test_stream_resumes(spark, tmp_path, rows):
     want = weather_features(zip_parameters(frame, ["loc_id"]), ["loc_id"])
     shown = [F.round(c, 9).alias(c) if k == "double" else F.col(c) for c, k in want.dtypes]
     assert rows(got.select(shown)) == rows(want.select(shown))
+
+
+def test_stream_joins_a_split_season(spark, tmp_path, rows):
+    """One season in two runs, the second of which also corrects a day."""
+    source, target, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+    (tmp_path / "in").mkdir()
+    whole = docs_for(1, 122)
+    first = {k: v + (k == "20220601") for k, v in whole["cdd10"].items() if k < "20220801"}
+    second = {k: v for k, v in whole["cdd10"].items() if k >= "20220801" or k == "20220601"}
+    for i, days in enumerate((first, second)):
+        write(tmp_path / "in" / f"{i}.json", json.dumps({"loc_id": 1, "prectotcorr": days, "cdd10": days}))
+        resume.drain_documents(spark, source, target, progress)
+    got = resume.drained_features(spark, target).drop("saved_at")
+    frame = spark.createDataFrame([(1, whole["prectotcorr"], whole["cdd10"])], resume.DOCUMENT_SCHEMA)
+    want = weather_features(zip_parameters(frame, ["loc_id"]), ["loc_id"])
+    shown = [F.round(c, 9).alias(c) if k == "double" else F.col(c) for c, k in want.dtypes]
+    assert rows(got.select(shown)) == rows(want.select(shown))
