@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from terraloom.functions import dates
 from terraloom.operators import columns, compare, keys, reshape, timeseries
 from terraloom.plans.common import snap, sql_season, sql_season_year, sql_snap, table
 
-YEARS = tuple(range(1991, 2003))  # all season-years of the shipments, and some that stay empty
+YEARS = tuple(range(1991, 2003))  # at least these, also when they stay empty
 SEASON_YEARS = [(s, y) for y in YEARS for s in ("Kharif", "Rabi")]
 STATS = reshape.SEASON_STATS
 
@@ -30,6 +31,16 @@ stats AS (
 )"""
 
 
+def _season_years(spark: SparkSession, sf: str) -> list[tuple[str, int]]:
+    """``SEASON_YEARS``, and all others from the first to the last season-year of the shipments."""
+    day = F.to_date("l_shipdate")
+    years = table(spark, sf, "lineitem").where(dates.season_name(day).isNotNull()).select(dates.season_year(day).alias("y"))
+    low, high = years.agg(F.min("y"), F.max("y")).first()
+    if low is None:
+        return SEASON_YEARS
+    return [(s, y) for y in range(min(low, YEARS[0]), max(high, YEARS[-1]) + 1) for s in ("Kharif", "Rabi")]
+
+
 def _wide_columns_sql(prefix: str = "") -> str:
     return ", ".join(
         f"max({prefix}\"{v}\") FILTER (WHERE season = '{s}' AND year = {y}) AS \"{v}_{y}_{s}\"" for s, y in SEASON_YEARS for v in STATS
@@ -37,7 +48,7 @@ def _wide_columns_sql(prefix: str = "") -> str:
 
 
 def widen_seasons(spark: SparkSession, sf: str) -> DataFrame:
-    return reshape.widen_seasons(_stats(spark, sf), "id", SEASON_YEARS, STATS)
+    return reshape.widen_seasons(_stats(spark, sf), "id", _season_years(spark, sf), STATS)
 
 
 WIDEN_SQL = f"WITH {_STATS_SQL} SELECT id, {_wide_columns_sql()} FROM stats WHERE year IN {YEARS} GROUP BY id"
@@ -46,7 +57,7 @@ WIDEN_SQL = f"WITH {_STATS_SQL} SELECT id, {_wide_columns_sql()} FROM stats WHER
 def join_wide(spark: SparkSession, sf: str) -> DataFrame:
     """Every other customer number with the seasons of the supplier of that number; rows of either side without a partner stay."""
     master = table(spark, sf, "customer").select((F.col("c_custkey") * 2).alias("id"), "c_name")
-    return reshape.join_wide(master, reshape.widen_seasons(_stats(spark, sf), "id", SEASON_YEARS, STATS), "id")
+    return reshape.join_wide(master, reshape.widen_seasons(_stats(spark, sf), "id", _season_years(spark, sf), STATS), "id")
 
 
 JOIN_WIDE_SQL = f"""

@@ -164,6 +164,20 @@ FROM customer WHERE c_acctbal >= 0
 """
 
 
+def point_lines_all(spark: SparkSession, sf: str) -> DataFrame:
+    """``point_lines`` with every customer."""
+    path = files.scratch_dir(spark, "points")
+    points = table(spark, sf, "customer")
+    sinks.write_lines(points, text.point_literal(F.col("c_custkey"), F.col("c_nationkey").cast("double"), F.col("c_acctbal"), "Rabi_2020"), path)
+    return spark.read.text(path).select("value")
+
+
+POINT_LINES_ALL_SQL = """
+SELECT 'ee.Feature(ee.Geometry.Point([' || CAST(c_nationkey AS DOUBLE) || ', ' || c_acctbal || ']), {id: ''' || c_custkey || '_Rabi_2020''}),' AS value
+FROM customer
+"""
+
+
 def dropped_column(spark: SparkSession, sf: str) -> DataFrame:
     """A stored table loses its repeated id column in place."""
     path = files.scratch_dir(spark, "rewrite")
@@ -353,6 +367,7 @@ QUERIES = {
     "geocode_json": (geocode_json, GEOCODE_SQL),
     "observation_range": (observation_range, OBSERVATION_SQL),
     "point_lines": (point_lines, POINT_LINES_SQL),
+    "point_lines_all": (point_lines_all, POINT_LINES_ALL_SQL),
     "dropped_column": (dropped_column, DROPPED_SQL),
     "drained_weather": (drained_weather, series.WEATHER_SQL),
     "drained_split_season": (drained_split_season, series.WEATHER_SQL),

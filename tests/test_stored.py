@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from terraloom.operators.weather import weather_features, zip_parameters
+from terraloom.plans import reshape as plan_reshape
 from terraloom.sources import checkpoints, documents, observations, sinks, tables
 from terraloom.streaming import resume
 
@@ -179,6 +180,14 @@ def test_stream_resumes(spark, tmp_path, rows):
     assert rows(got.select(shown)) == rows(want.select(shown))
 
 
+def test_wide_seasons_take_every_year(spark, tmp_path):
+    """A season-year outside 1991-2002 has its columns."""
+    days = [(1, dt.datetime(1989, 7, 1), 5.0), (1, dt.datetime(2005, 12, 1), 7.0)]
+    spark.createDataFrame(days, "l_suppkey bigint, l_shipdate timestamp_ntz, l_quantity double").write.parquet(str(tmp_path / "lineitem.parquet"))
+    row = plan_reshape.widen_seasons(spark, str(tmp_path)).first()
+    assert (row["mean_1989_Kharif"], row["mean_2005_Rabi"], row["mean_1997_Rabi"]) == (5.0, 7.0, None)
+
+
 def test_stream_joins_a_split_season(spark, tmp_path, rows):
     """One season in two runs, the second of which also corrects a day."""
     source, target, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
