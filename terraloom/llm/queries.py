@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from terraloom.llm import hmm, langid, license, mixing, packing, quality, simhash, suffix_dedup, topk, warc
+from terraloom.llm import filter_audit, hmm, langid, license, mixing, packing, quality, simhash, suffix_dedup, topk, warc
 from terraloom.llm.common import documents
 
 
@@ -56,6 +56,10 @@ def op10_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.scores(documents(spark, sf_dir))
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES = {
     "op1_simhash_vptree": (op1_simhash_vptree, None),
     "op2_suffix_columns": (op2_suffix_columns, None),
@@ -67,4 +71,5 @@ QUERIES = {
     "op8_pareto_mix": (op8_pareto_mix, mixing.ORACLE),
     "op9_bitsliced_topk": (op9_bitsliced_topk, topk.ORACLE),
     "op10_hidden_markov": (op10_hidden_markov, None),
+    "op13_filter_audit": (op13_filter_audit, filter_audit.ORACLE),
 }
