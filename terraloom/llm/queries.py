@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from terraloom.llm import filter_audit, hmm, langid, license, merkle, mixing, packing, quality, simhash, suffix_dedup, topk, warc
+from terraloom.llm import collocations, filter_audit, hmm, langid, license, merkle, mixing, packing, quality, simhash, suffix_dedup, topk, warc
 from terraloom.llm.common import documents
 
 
@@ -56,6 +56,10 @@ def op10_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.scores(documents(spark, sf_dir))
 
 
+def op11_weighted_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir))
+
+
 def op12_merkle_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.fingerprints(documents(spark, sf_dir))
 
@@ -75,6 +79,7 @@ QUERIES = {
     "op8_pareto_mix": (op8_pareto_mix, mixing.ORACLE),
     "op9_bitsliced_topk": (op9_bitsliced_topk, topk.ORACLE),
     "op10_hidden_markov": (op10_hidden_markov, None),
+    "op11_weighted_automata": (op11_weighted_automata, collocations.ORACLE),
     "op12_merkle_tree": (op12_merkle_tree, merkle.ORACLE),
     "op13_filter_audit": (op13_filter_audit, filter_audit.ORACLE),
 }
