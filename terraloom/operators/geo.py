@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -19,6 +21,8 @@ KNOWN_TILES = (
 )
 BOUNDS = ("lon0", "lat0", "lon1", "lat1")
 HOT_CELL_ROWS = 200_000
+BOX_CELLS = 8  # of one box at its own level, at most
+LEVELS = (-12, 24)  # finest and coarsest cells of a box join are 2^level degrees wide
 
 
 def cell(coordinate: Column, resolution: float) -> Column:
@@ -70,40 +74,73 @@ def overlaps_area(area: Sequence[float] = AREA_OF_INTEREST) -> Column:
     return sound_box(boxes_overlap([F.col(c) for c in BOUNDS], [F.lit(float(v)) for v in area]))
 
 
-def _spread_over_cells(boxes: DataFrame, prefix: str, resolution: float) -> DataFrame:
-    lon0, lat0, lon1, lat1 = (F.col(f"{prefix}{c}") for c in BOUNDS)
+def _spans(prefix: str, level: Column) -> list[Column]:
+    """First and last cell of the box columns at a level, west-east then south-north; a cell is 2^level wide."""
+    side = F.pow(F.lit(2.0), level)
+    lon0, lat0, lon1, lat1 = (F.floor(F.col(f"{prefix}{c}") / side) for c in BOUNDS)
+    return [lon0, lon1, lat0, lat1]
+
+
+def _levelled(boxes: DataFrame, name: str, out: str, prefix: str) -> DataFrame:
+    """Whole boxes with ``_level``, the finest at which a box has at most ``BOX_CELLS`` cells."""
+    bounds = [F.col(c) for c in BOUNDS]
+    whole = reduce(and_, [b.isNotNull() for b in bounds])
+    far = reduce(or_, [~(F.abs(b) <= float(2**LEVELS[1])) for b in bounds])
+    wrong = F.raise_error(F.concat(F.lit("bounds west south east north are no box: "), F.concat_ws(" ", *bounds))).cast("boolean")
+    sound = boxes.where(sound_box(F.when(whole & far, wrong).otherwise(whole)))
+    named = sound.select(F.col(name).alias(out), *[F.col(c).alias(f"{prefix}{c}") for c in BOUNDS])
+
+    def few(level: Column) -> Column:
+        west, east, south, north = _spans(prefix, level)
+        return (east - west + 1).cast("double") * (north - south + 1).cast("double") <= BOX_CELLS
+
+    return named.withColumn("_level", F.array_min(F.filter(F.sequence(F.lit(LEVELS[0]), F.lit(LEVELS[1] + 1)), few)))
+
+
+def _cells(boxes: DataFrame, prefix: str, levels: Column) -> DataFrame:
+    """A row per cell of each box at the given levels: ``_at``, ``_cx``, ``_cy``; there are fewer at coarser levels."""
+    west, east, south, north = _spans(prefix, F.col("_at"))
     return (
-        boxes.withColumn("_cx", F.explode(F.sequence(cell(lon0, resolution), cell(lon1, resolution))))
-        .withColumn("_cy", F.explode(F.sequence(cell(lat0, resolution), cell(lat1, resolution))))
+        boxes.withColumn("_at", F.explode(levels)).withColumn("_cx", F.explode(F.sequence(west, east)))
+        .withColumn("_cy", F.explode(F.sequence(south, north))).drop("_level")
     )
 
 
 def bbox_overlap_join(
-    items: DataFrame, areas: DataFrame, item_id: str, area_id: str, resolution: float = 5.0,
-    hot_rows: int = HOT_CELL_ROWS, salts: int = 64,
+    items: DataFrame, areas: DataFrame, item_id: str, area_id: str, hot_rows: int = HOT_CELL_ROWS, salts: int = 64,
 ) -> DataFrame:
-    """(item, area) for every pair of overlapping boxes.
-
-    Boxes are spread over grid cells and joined on the cell.  A pair that shares
-    several cells is kept only in the cell holding the south-west corner of its
-    intersection, so no distinct is needed.  Cells crowded with items are
-    salted: their items are split and the areas in them repeated per salt.
-    ``resolution`` should be about the size of a typical box.  Boxes that lack a
-    bound overlap nothing; west > east or south > north is an error, as in
-    ``overlaps_area``.
+    """(item, area) for every pair of overlapping boxes, whatever their sizes.
+
+    Cells form a quad-tree.  A box lies in at most ``BOX_CELLS`` cells of its own level, and in their ancestors; two boxes that
+    overlap share a cell of the coarser one's level.  So items and their ancestors meet the areas' own cells, and the ancestors of
+    finer areas meet the items' own.  Only ancestors at levels that the other side has are made, at most one short list of levels per
+    side.  A pair that shares several cells is kept in the one holding the south-west corner of its intersection, so no distinct is
+    needed.  Crowded cells are salted.  Boxes that lack a bound overlap nothing; west > east or south > north is an error, as in
+    ``overlaps_area``, and so are bounds beyond 2^24.
     """
-    whole = F.col("lon0").isNotNull() & F.col("lat0").isNotNull() & F.col("lon1").isNotNull() & F.col("lat1").isNotNull()
-    i = items.where(sound_box(whole)).select(F.col(item_id).alias("_item"), *[F.col(c).alias(f"_i_{c}") for c in BOUNDS])
-    a = areas.where(sound_box(whole)).select(F.col(area_id).alias("_area"), *[F.col(c).alias(f"_a_{c}") for c in BOUNDS])
-    left, right = _spread_over_cells(i, "_i_", resolution), _spread_over_cells(a, "_a_", resolution)
-    pairs = skew_join(left, right, ["_cx", "_cy"], "inner", spread_by=F.col("_item"), hot_rows=hot_rows, salts=salts)
-    ib, ab = [F.col(f"_i_{c}") for c in BOUNDS], [F.col(f"_a_{c}") for c in BOUNDS]
-    corner = (cell(F.greatest(ib[0], ab[0]), resolution) == F.col("_cx")) & (
-        cell(F.greatest(ib[1], ab[1]), resolution) == F.col("_cy"))
-    return pairs.where(boxes_overlap(ib, ab) & corner).select(
+    i, a = _levelled(items, item_id, "_item", "_i_"), _levelled(areas, area_id, "_area", "_a_")
+    item_levels, area_levels = (sorted(r[0] for r in df.select("_level").distinct().collect()) for df in (i, a))
+
+    def coarser(levels: list[int], equal: bool) -> Column:
+        known = F.array(*map(F.lit, levels)).cast("array<int>")
+        return F.filter(known, lambda x: x >= F.col("_level") if equal else x > F.col("_level"))
+
+    on, own = ["_at", "_cx", "_cy"], F.array("_level")
+    sized = {"hot_rows": hot_rows, "salts": salts}
+    finer_items = skew_join(_cells(i, "_i_", coarser(area_levels, True)), _cells(a, "_a_", own), on, "inner", F.col("_item"), **sized)
+    finer_areas = skew_join(_cells(a, "_a_", coarser(item_levels, False)), _cells(i, "_i_", own), on, "inner", F.col("_area"), **sized)
+    ib, ab, side = [F.col(f"_i_{c}") for c in BOUNDS], [F.col(f"_a_{c}") for c in BOUNDS], F.pow(F.lit(2.0), F.col("_at"))
+    corner = (F.floor(F.greatest(ib[0], ab[0]) / side) == F.col("_cx")) & (F.floor(F.greatest(ib[1], ab[1]) / side) == F.col("_cy"))
+    return finer_items.unionByName(finer_areas).where(boxes_overlap(ib, ab) & corner).select(
         F.col("_item").alias(item_id), F.col("_area").alias(area_id))
 
 
+def tiles_per_area(items: DataFrame, areas: DataFrame, tile: str, area_id: str, **options) -> DataFrame:
+    """(tile, area) for every area that some item of a tile overlaps, with the number of such items."""
+    pairs = bbox_overlap_join(items, areas, tile, area_id, **options)
+    return pairs.groupBy(tile, area_id).agg(F.count("*").alias("n_items"))
+
+
 def tiles_covering(
     tiles: DataFrame, items: DataFrame, tile: str, url: str, area: Sequence[float] = AREA_OF_INTEREST,
     sample: int | None = None, known: Sequence[str] = (),

@@ -81,7 +81,7 @@ areas AS (SELECT s_suppkey, s_nationkey AS lon0, s_acctbal / 100 AS lat0, s_nati
 
 
 def bbox_overlap(spark: SparkSession, sf: str) -> DataFrame:
-    return geo.bbox_overlap_join(*_boxes(spark, sf), "c_custkey", "s_suppkey", resolution=4.0)
+    return geo.bbox_overlap_join(*_boxes(spark, sf), "c_custkey", "s_suppkey")
 
 
 BBOX_SQL = f"""
@@ -91,6 +91,54 @@ SELECT c_custkey, s_suppkey FROM items i JOIN areas a
 """
 
 
+def _mixed_boxes(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Points, fields, provinces and continents: sizes of both sides over five powers of ten, and long narrow strips."""
+    def sized(name: str, key: str, balance: str) -> DataFrame:
+        n = F.col(key) % 40
+        width = F.when(n == 0, 120.0).when(n < 3, 9.0).when(n < 12, 0.4).when(n < 20, 0.0).otherwise(0.003)
+        height = F.when(n == 0, 70.0).when(n == 1, 0.0005).when(n < 3, 7.0).when(n < 12, 0.3).when(n < 20, 0.0).otherwise(0.002)
+        lon, lat = (F.col(key) * 7919 % 3600) / 10.0 - 180, F.col(balance) / 100
+        return table(spark, sf, name).select(key, lon.alias("lon0"), lat.alias("lat0"), (lon + width).alias("lon1"), (lat + height).alias("lat1"))
+    return sized("customer", "c_custkey", "c_acctbal"), sized("supplier", "s_suppkey", "s_acctbal")
+
+
+def _mixed_sql(name: str, key: str, balance: str) -> str:
+    n, lon, lat = f"{key} % 40", f"(({key} * 7919 % 3600) / 10e0 - 180)", f"{balance} / 100"
+    return f"""
+  SELECT *, lon0 + CASE WHEN {n} = 0 THEN 120e0 WHEN {n} < 3 THEN 9e0 WHEN {n} < 12 THEN 0.4e0 WHEN {n} < 20 THEN 0e0 ELSE 0.003e0 END AS lon1,
+    lat0 + CASE WHEN {n} = 0 THEN 70e0 WHEN {n} = 1 THEN 0.0005e0 WHEN {n} < 3 THEN 7e0 WHEN {n} < 12 THEN 0.3e0 WHEN {n} < 20 THEN 0e0 ELSE 0.002e0 END AS lat1
+  FROM (SELECT {key}, {lon} AS lon0, {lat} AS lat0 FROM {name})"""
+
+
+_MIXED_SQL = f"items AS ({_mixed_sql('customer', 'c_custkey', 'c_acctbal')}), areas AS ({_mixed_sql('supplier', 's_suppkey', 's_acctbal')})"
+
+
+def bbox_overlap_mixed(spark: SparkSession, sf: str) -> DataFrame:
+    """Every overlapping pair where both sides hold anything from points to continents."""
+    return geo.bbox_overlap_join(*_mixed_boxes(spark, sf), "c_custkey", "s_suppkey")
+
+
+BBOX_MIXED_SQL = f"""
+WITH {_MIXED_SQL}
+SELECT c_custkey, s_suppkey FROM items i JOIN areas a
+  ON i.lon1 >= a.lon0 AND i.lon0 <= a.lon1 AND i.lat1 >= a.lat0 AND i.lat0 <= a.lat1
+"""
+
+
+def tile_areas(spark: SparkSession, sf: str) -> DataFrame:
+    """Which areas each tile reaches: tiles of files of every size against areas of every size."""
+    items, areas = _mixed_boxes(spark, sf)
+    tiled = items.withColumn("tile", F.concat(F.lit("tile-"), (F.col("c_custkey") % 25).cast("string")))
+    return geo.tiles_per_area(tiled, areas, "tile", "s_suppkey")
+
+
+TILE_AREAS_SQL = f"""
+WITH {_MIXED_SQL}
+SELECT 'tile-' || CAST(c_custkey % 25 AS VARCHAR) AS tile, s_suppkey, count(*) AS n_items FROM items i JOIN areas a
+  ON i.lon1 >= a.lon0 AND i.lon0 <= a.lon1 AND i.lat1 >= a.lat0 AND i.lat0 <= a.lat1 GROUP BY ALL
+"""
+
+
 def area_filter(spark: SparkSession, sf: str) -> DataFrame:
     """Boxes that touch one fixed area of interest."""
     return _boxes(spark, sf)[0].where(geo.overlaps_area((3.0, 10.0, 9.0, 37.0))).select("c_custkey")
@@ -157,6 +205,8 @@ QUERIES = {
     "sample_grid": (sample_grid, SAMPLE_SQL),
     "first_in_cell": (first_in_cell, FIRST_SQL),
     "bbox_overlap": (bbox_overlap, BBOX_SQL),
+    "bbox_overlap_mixed": (bbox_overlap_mixed, BBOX_MIXED_SQL),
+    "tile_areas": (tile_areas, TILE_AREAS_SQL),
     "area_filter": (area_filter, AREA_SQL),
     "tile_semi": (tile_semi, TILE_SQL),
     "tile_first_five": (tile_first_five, TILE_FIVE_SQL),

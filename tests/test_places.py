@@ -12,8 +12,8 @@ from terraloom.operators import crawl, geo, skew
 BOX = "id int, lon0 double, lat0 double, lon1 double, lat1 double"
 
 
-@pytest.mark.parametrize("hot_rows, resolution", [(10**6, 5.0), (10, 5.0), (10, 1.7), (0, 400.0)])
-def test_box_join_brute_force(spark, rows, hot_rows, resolution):
+@pytest.mark.parametrize("hot_rows", [10**6, 10, 0])
+def test_box_join_brute_force(spark, rows, hot_rows):
     """Random boxes plus edge and corner contacts; many share one cell."""
     rng = random.Random(2)
 
@@ -24,12 +24,24 @@ def test_box_join_brute_force(spark, rows, hot_rows, resolution):
     items = [box(i, i % 3 == 0) for i in range(150)] + [(900, 0.0, 0.0, 10.0, 10.0), (901, 10.0, 10.0, 20.0, 20.0), (902, 5.0, 5.0, 5.0, 5.0)]
     areas = [box(i, i % 2 == 0) for i in range(60)] + [(900, 10.0, 0.0, 20.0, 10.0), (901, 10.0, 10.0, 10.0, 10.0), (902, -180.0, -90.0, 180.0, 90.0)]
     got = geo.bbox_overlap_join(spark.createDataFrame(items, BOX), spark.createDataFrame(areas, BOX).withColumnRenamed("id", "aid"),
-                                "id", "aid", resolution, hot_rows, salts=4)
+                                "id", "aid", hot_rows, salts=4)
     want = sorted(((i[0], a[0]) for i in items for a in areas
                    if not (i[3] < a[1] or i[1] > a[3] or i[4] < a[2] or i[2] > a[4])), key=lambda r: tuple((False, str(x)) for x in r))
     assert rows(got) == want
 
 
+def test_cells_of_a_box_are_bounded(spark):
+    """A box over the globe, a strip around it and a point all lie in a few cells of their own level, and fewer of coarser ones."""
+    boxes = [(1, -180.0, -90.0, 180.0, 90.0), (2, -180.0, 0.0, 180.0, 0.001), (3, 5.0, 5.0, 5.0, 5.0), (4, 0.99, 0.99, 1.01, 1.01), (5, -2.0**24, -2.0**24, 2.0**24, 2.0**24)]
+    levelled = geo._levelled(spark.createDataFrame(boxes, BOX), "id", "_item", "_i_")
+    for up in (0, 1, 3):
+        cells = geo._cells(levelled, "_i_", F.array(F.col("_level") + up)).groupBy("_item").count().collect()
+        assert len(cells) == 5 and max(r["count"] for r in cells) <= geo.BOX_CELLS
+    far = spark.createDataFrame([(1, 0.0, 0.0, 2.0**25, 1.0)], BOX)
+    with pytest.raises(Exception, match="no box"):
+        geo.bbox_overlap_join(far, far.withColumnRenamed("id", "area"), "id", "area").collect()
+
+
 def test_area_of_interest(spark, rows):
     boxes = [(1, 70.0, 10.0, 71.0, 11.0), (2, 60.0, 0.0, 120.0, 60.0), (3, 97.0, 10.0, 99.0, 11.0), (4, 97.0, 37.0, 98.0, 38.0),
              (5, 97.1, 10.0, 99.0, 11.0), (6, 60.0, 10.0, 67.9, 11.0), (7, 70.0, 37.1, 71.0, 38.0), (8, 70.0, 0.0, 71.0, 7.9)]
