@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from terraloom.operators import geo, timeseries
+from terraloom.operators import geo, metric, timeseries
 from terraloom.plans.common import big, snap, sql_season, sql_season_year, sql_snap, table
 from terraloom.sources import files, observations, sinks
 
@@ -201,8 +201,50 @@ def catalogue_tiles(spark: SparkSession, sf: str) -> DataFrame:
     return geo.tiles_covering(tiles, bounded, "tile", "url")
 
 
+SCALE, REACH = 20_000.0, 100_000.0  # metres
+
+
+def nearest_sample(spark: SparkSession, sf: str) -> DataFrame:
+    """The first order value of the nearest equal-area cell that has one, for every supplier, within a stated reach in metres."""
+    obs = table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey")).select(
+        (68 + F.col("c_nationkey") + F.col("c_custkey") % 100 / 100.0).alias("lon"), (8 + F.col("c_acctbal") / 500).alias("lat"), "o_orderkey",
+        F.when(F.col("o_totalprice") > 100000, F.col("o_totalprice")).alias("value"))
+    cells = metric.first_in_metric_cell(metric.with_metric_cells(obs, SCALE), "o_orderkey", "value")
+    points = table(spark, sf, "supplier").select(
+        "s_suppkey", (68.003 + F.col("s_nationkey") + F.col("s_suppkey") * 37 % 100 / 100.0).alias("lon"), (8 + F.col("s_acctbal") / 500).alias("lat"))
+    sampled = metric.sample_nearest(points, cells, "s_suppkey", REACH, SCALE)
+    return sampled.select("s_suppkey", "cell_row", "cell_column", snap(F.col("metres"), 3).alias("metres"), "value")
+
+
+def _sql_row(lat: str) -> str:
+    return f"floor({lat} * {metric.METRES!r} / {SCALE}e0)"
+
+
+_CENTRE = f"((cell_row + 0.5) * {SCALE}e0 / {metric.METRES!r})"
+NEAREST_SQL = f"""
+WITH obs AS (
+  SELECT 68 + c_nationkey + c_custkey % 100 / 100e0 AS lon, 8 + c_acctbal / 500 AS lat, o_orderkey, o_totalprice
+  FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_totalprice > 100000),
+rowed AS (SELECT *, {_sql_row('lat')} AS cell_row FROM obs),
+cells AS (
+  SELECT cell_row, floor(lon * {metric.METRES!r} * cos(radians({_CENTRE})) / {SCALE}e0) AS cell_column, arg_min(o_totalprice, o_orderkey) AS value
+  FROM rowed GROUP BY ALL),
+middles AS (
+  SELECT *, {_CENTRE} AS lat1, (cell_column + 0.5) * {SCALE}e0 / ({metric.METRES!r} * cos(radians({_CENTRE}))) AS lon1 FROM cells),
+points AS (SELECT s_suppkey, 68.003e0 + s_nationkey + s_suppkey * 37 % 100 / 100e0 AS lon, 8 + s_acctbal / 500 AS lat FROM supplier),
+pairs AS (
+  SELECT s_suppkey, cell_row, cell_column, value, {2 * metric.EARTH!r} * asin(sqrt(least(1e0,
+    pow(sin(radians(lat1 - lat) / 2), 2) + pow(sin(radians(lon1 - lon) / 2), 2) * cos(radians(lat)) * cos(radians(lat1))))) AS metres
+  FROM points CROSS JOIN middles),
+best AS (
+  SELECT * FROM pairs WHERE metres <= {REACH} QUALIFY row_number() OVER (PARTITION BY s_suppkey ORDER BY metres, cell_row, cell_column) = 1)
+SELECT s_suppkey, cell_row::BIGINT AS cell_row, cell_column::BIGINT AS cell_column, {sql_snap('metres', 3)} AS metres, value
+FROM points LEFT JOIN best USING (s_suppkey)
+"""
+
 QUERIES = {
     "sample_grid": (sample_grid, SAMPLE_SQL),
+    "nearest_sample": (nearest_sample, NEAREST_SQL),
     "first_in_cell": (first_in_cell, FIRST_SQL),
     "bbox_overlap": (bbox_overlap, BBOX_SQL),
     "bbox_overlap_mixed": (bbox_overlap_mixed, BBOX_MIXED_SQL),
