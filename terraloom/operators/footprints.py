@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from terraloom.functions.projections import Projection
@@ -34,7 +37,9 @@ def degree_bounds(items: DataFrame, projection: Projection, points: int = POINTS
         lon, lat = projection.inverse(p["x"], p["y"])
         return F.struct(lon.alias("lon"), lat.alias("lat"))
 
-    seen = items.withColumn("_p", F.filter(F.transform(_edges(points), degrees), lambda p: p["lon"].isNotNull() & p["lat"].isNotNull()))
+    whole = reduce(and_, [F.col(c).isNotNull() for c in PROJECTED])
+    on_map = F.filter(F.transform(_edges(points), degrees), lambda p: p["lon"].isNotNull() & p["lat"].isNotNull())
+    seen = items.withColumn("_p", F.when(whole, on_map))
     for name, pick, field in zip(BOUNDS, (F.array_min, F.array_min, F.array_max, F.array_max), ("lon", "lat", "lon", "lat"), strict=True):
         seen = seen.withColumn(name, pick(F.col(f"_p.{field}")))
     west, south, east, north = (F.col(c) for c in BOUNDS)

@@ -9,7 +9,7 @@ from terraloom.operators import crawl, enrich, weather
 from terraloom.plans import series
 from terraloom.plans.common import big, day_text, snap, sql_snap, table
 from terraloom.plans.reshape import _STATS_SQL, STATS, _stats
-from terraloom.sources import checkpoints, documents, files, observations, sinks, tables
+from terraloom.sources import checkpoints, documents, files, observations, sinks, tables, versions
 from terraloom.streaming import resume
 
 
@@ -224,6 +224,58 @@ def drained_split_season(spark: SparkSession, sf: str) -> DataFrame:
         snap(F.col("spi3_mean"), 7).alias("spi3_mean"), "spi3_reason")
 
 
+def drained_ten_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """The documents arrive in ten runs by date; every run reads the folders it touches again and no others."""
+    root = files.scratch_dir(spark, "ten")
+    docs = series._documents(spark, sf).select("o_orderpriority", "prectotcorr", "cdd10")
+    for turn in range(10):
+        docs.withColumns({
+            c: F.map_filter(c, lambda day, _: F.substring(day, 6, 2).cast("int") * 31 % 10 == turn) for c in ("prectotcorr", "cdd10")
+        }).write.mode("append").json(f"{root}/in")
+        resume.drain_documents(
+            spark, f"{root}/in", f"{root}/out", f"{root}/progress", keys=("o_orderpriority",),
+            schema="o_orderpriority string, prectotcorr map<string, double>, cdd10 map<string, double>")
+    found = resume.drained_features(spark, f"{root}/out", ("o_orderpriority",))
+    return found.select(
+        "o_orderpriority", "season", "year", snap(F.col("gdd"), 4).alias("gdd"), snap(F.col("rain_cv")).alias("rain_cv"),
+        snap(F.col("spi3_mean"), 7).alias("spi3_mean"), "spi3_reason")
+
+
+def versioned_rewrite(spark: SparkSession, sf: str) -> DataFrame:
+    """A column is dropped and another changed in place; who opened the table before still reads the old version."""
+    path = files.scratch_dir(spark, "versions")
+    versions.create(table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_acctbal"), path)
+    before = versions.read_version(spark, path)
+    versions.rewrite(spark, path, lambda df: df.select("s_suppkey", (-F.col("s_acctbal")).alias("s_acctbal")))
+    versions.write_part(before, path)  # a writer that died before its manifest
+    after = versions.read_version(spark, path)
+    return after.withColumn("version", F.lit(2)).unionByName(before.withColumn("version", F.lit(1)), allowMissingColumns=True)
+
+
+VERSIONED_SQL = """
+SELECT s_suppkey, -s_acctbal AS s_acctbal, 2 AS version, NULL::VARCHAR AS s_name FROM supplier
+UNION ALL SELECT s_suppkey, s_acctbal, 1, s_name FROM supplier
+"""
+
+
+def versioned_saves(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders saved in three appends, folded to the newest row per customer while a fourth save arrives."""
+    path = files.scratch_dir(spark, "saves")
+    orders = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
+    for turn in range(3):
+        versions.append(orders.where(F.col("o_orderkey") % 4 == turn), path)
+    versions.compact(spark, path, ["o_custkey"], ["o_orderkey"])
+    versions.append(orders.where(F.col("o_orderkey") % 4 == 3), path)
+    versions.compact(spark, path, ["o_custkey"], ["o_orderkey"])
+    versions.remove_old(spark, path)
+    return versions.read_version(spark, path)
+
+
+SAVES_SQL = """
+SELECT o_custkey, o_orderkey, o_totalprice FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) = 1
+"""
+
+
 def train_or_test(spark: SparkSession, sf: str) -> DataFrame:
     """Customers stored as two tables; the switch reads either."""
     root = files.scratch_dir(spark, "master")
@@ -274,19 +326,23 @@ def appended_stats(spark: SparkSession, sf: str) -> DataFrame:
         big(F.col("id")).alias("id"), "season", F.col("year").cast("int").alias("year"), *[F.col(c).cast("double").alias(c) for c in STATS])
 
 
+FILES = 40
+
+
 def inventory(spark: SparkSession, sf: str) -> DataFrame:
-    """Pages stored as files by scheme; what is there and not empty is skipped."""
+    """Pages stored in many files, some missing and some empty; a page is skipped if its own file is there and holds something."""
     path = files.scratch_dir(spark, "files")
-    pages = table(spark, sf, "pages").select("page_id", F.regexp_extract("url", "^([a-z]+):", 1).alias("scheme"), "url")
-    stored = pages.where(F.col("scheme") == "https")
-    stored.repartition(1).write.partitionBy("scheme").json(path)
-    found = observations.read_inventory(spark, path, "*.json").select(
-        F.regexp_extract("path", r"scheme=(\w+)/", 1).alias("path"), "length")
-    return crawl.skip_present(pages.select(F.col("scheme").alias("name"), "page_id"), found, name="name")
+    pages = table(spark, sf, "pages").select("page_id", F.concat(F.lit("file-"), (F.col("page_id") % FILES).cast("string")).alias("name"), "url")
+    turn = F.col("page_id") % FILES
+    pages.where((turn % 3 != 0) & (turn % 5 != 0)).withColumn("file", F.col("name")).write.partitionBy("file").json(path)
+    for number in range(0, FILES, 5):  # interrupted downloads
+        files.put_new(spark, f"{path}/file=file-{number}/part.json", "")
+    found = observations.read_inventory(spark, path, "*.json").select(F.regexp_extract("path", "file=([^/]+)/", 1).alias("path"), "length")
+    return crawl.skip_present(pages.select("name", "page_id"), found.groupBy("path").agg(F.sum("length").alias("length")), name="name")
 
 
-INVENTORY_SQL = """
-SELECT regexp_extract(url, '^([a-z]+):', 1) AS name, page_id FROM pages WHERE regexp_extract(url, '^([a-z]+):', 1) <> 'https'
+INVENTORY_SQL = f"""
+SELECT 'file-' || CAST(page_id % {FILES} AS VARCHAR) AS name, page_id FROM pages WHERE page_id % {FILES} % 3 = 0 OR page_id % {FILES} % 5 = 0
 """
 
 
@@ -371,4 +427,7 @@ QUERIES = {
     "dropped_column": (dropped_column, DROPPED_SQL),
     "drained_weather": (drained_weather, series.WEATHER_SQL),
     "drained_split_season": (drained_split_season, series.WEATHER_SQL),
+    "drained_ten_runs": (drained_ten_runs, series.WEATHER_SQL),
+    "versioned_rewrite": (versioned_rewrite, VERSIONED_SQL),
+    "versioned_saves": (versioned_saves, SAVES_SQL),
 }
