@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from terraloom.functions import dates
 from terraloom.operators import columns, compare, keys, reshape, timeseries
 from terraloom.plans.common import snap, sql_season, sql_season_year, sql_snap, table
+from terraloom.sources import files
 
 YEARS = tuple(range(1991, 2003))  # at least these, also when they stay empty
 SEASON_YEARS = [(s, y) for y in YEARS for s in ("Kharif", "Rabi")]
@@ -68,27 +71,37 @@ FULL JOIN (SELECT id, {_wide_columns_sql()} FROM stats GROUP BY id) w ON w.id =
 """
 
 
+def _season_files(spark: SparkSession, sf: str) -> list[DataFrame]:
+    """The statistics stored as one folder per season-year, and every folder read on its own, with its season and year in each row."""
+    path = files.scratch_dir(spark, "seasons")
+    _stats(spark, sf).write.partitionBy("season", "year").parquet(path)
+    folders = sorted(files.matching(spark, f"{path}/season=*/year=*"))
+    return [spark.read.option("basePath", files.qualified(spark, path)).parquet(folder) for folder in folders]
+
+
 def suffixed_season(spark: SparkSession, sf: str) -> DataFrame:
-    """One season's file: its constant season and year become a column suffix."""
-    season = _stats(spark, sf).where((F.col("season") == "Rabi") & (F.col("year") == 1997))
-    return columns.suffix_columns(columns.drop_columns(season, ["season", "year"]), "_1997_Rabi", keep=["id"])
+    """Every season's file with its season and year as a column suffix, its cells listed under their new names."""
+    named = []
+    for season in _season_files(spark, sf):
+        which = columns.constant_value(season, ["season", "year"]).first()
+        wide = columns.suffix_columns(columns.drop_columns(season, ["season", "year"]), f"_{which.year}_{which.season}", keep=["id"])
+        named.append(wide.unpivot("id", [c for c in wide.columns if c != "id"], "column", "value"))
+    return reduce(DataFrame.unionByName, named)
 
 
 SUFFIX_SQL = f"""
 WITH {_STATS_SQL}
-SELECT id, {', '.join(f'"{v}" AS "{v}_1997_Rabi"' for v in STATS)} FROM stats WHERE season = 'Rabi' AND year = 1997
+SELECT id, "column" || '_' || year || '_' || season AS "column", value
+FROM (SELECT id, season, year, unnest([{', '.join(f"'{v}'" for v in STATS)}]) AS "column", unnest([{', '.join(f'"{v}"' for v in STATS)}]) AS value FROM stats)
 """
 
 
 def constant_season(spark: SparkSession, sf: str) -> DataFrame:
-    season = _stats(spark, sf).where((F.col("season") == "Rabi") & (F.col("year") == 1997))
-    return columns.constant_value(season, ["season", "year"])
+    """The season and year that each season's file holds throughout."""
+    return reduce(DataFrame.unionByName, [columns.constant_value(season, ["season", "year"]) for season in _season_files(spark, sf)])
 
 
-CONSTANT_SQL = f"""
-WITH {_STATS_SQL} SELECT any_value(season) AS season, any_value(year) AS year FROM stats
-WHERE season = 'Rabi' AND year = 1997 HAVING count(DISTINCT (season, year)) = 1
-"""
+CONSTANT_SQL = f"WITH {_STATS_SQL} SELECT DISTINCT season, year FROM stats"
 
 
 def attach_row_ids(spark: SparkSession, sf: str) -> DataFrame:

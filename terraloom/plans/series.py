@@ -73,9 +73,7 @@ def season_grid(spark: SparkSession, sf: str) -> DataFrame:
         table(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey")),
         seasons.seasons_of(lineitem, "l_shipdate"),
     )
-    shipped = seasons.assign_season(
-        lineitem.where(F.col("l_quantity") > 40), "l_shipdate"
-    ).groupBy("l_suppkey", "season", "year").agg(F.sum("l_quantity").alias("quantity"))
+    shipped = seasons.assign_season(lineitem, "l_shipdate").groupBy("l_suppkey", "season", "year").agg(F.sum("l_quantity").alias("quantity"))
     return weather.assign_to_grid(grid, shipped, ["l_suppkey", "season", "year"]).select(
         "l_suppkey", "season", "year", day_text("start"), day_text("end"), "quantity"
     )
@@ -92,35 +90,7 @@ SELECT s.s_suppkey AS l_suppkey, c.season, c.year,
        q.quantity
 FROM supplier s CROSS JOIN c
 LEFT JOIN (SELECT l_suppkey, season, year, sum(l_quantity) AS quantity FROM o
-           WHERE l_quantity > 40 AND season IS NOT NULL GROUP BY ALL) q
-  ON q.l_suppkey = s.s_suppkey AND q.season = c.season AND q.year = c.year
-"""
-
-
-def season_grid_all(spark: SparkSession, sf: str) -> DataFrame:
-    """``season_grid`` with the quantity of every shipment."""
-    lineitem = table(spark, sf, "lineitem").select("l_suppkey", "l_shipdate", "l_quantity")
-    grid = seasons.season_grid(
-        table(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey")),
-        seasons.seasons_of(lineitem, "l_shipdate"),
-    )
-    shipped = seasons.assign_season(lineitem, "l_shipdate").groupBy("l_suppkey", "season", "year").agg(F.sum("l_quantity").alias("quantity"))
-    return weather.assign_to_grid(grid, shipped, ["l_suppkey", "season", "year"]).select(
-        "l_suppkey", "season", "year", day_text("start"), day_text("end"), "quantity"
-    )
-
-
-SEASON_GRID_ALL_SQL = f"""
-WITH o AS (
-  SELECT l_suppkey, l_quantity, {sql_season('l_shipdate')} AS season, {sql_season_year('l_shipdate')} AS year
-  FROM lineitem
-), c AS (SELECT DISTINCT season, year FROM o WHERE season IS NOT NULL)
-SELECT s.s_suppkey AS l_suppkey, c.season, c.year,
-       CASE WHEN c.season = 'Kharif' THEN c.year || '-06-01' ELSE c.year || '-11-01' END AS "start",
-       CASE WHEN c.season = 'Kharif' THEN c.year || '-10-31' ELSE (c.year + 1) || '-04-30' END AS "end",
-       q.quantity
-FROM supplier s CROSS JOIN c
-LEFT JOIN (SELECT l_suppkey, season, year, sum(l_quantity) AS quantity FROM o WHERE season IS NOT NULL GROUP BY ALL) q
+           WHERE season IS NOT NULL GROUP BY ALL) q
   ON q.l_suppkey = s.s_suppkey AND q.season = c.season AND q.year = c.year
 """
 
@@ -333,7 +303,6 @@ QUERIES = {
     "season_stats": (season_stats, SEASON_STATS_SQL),
     "season_range_join": (season_range_join, SEASON_RANGE_SQL),
     "season_grid": (season_grid, SEASON_GRID_SQL),
-    "season_grid_all": (season_grid_all, SEASON_GRID_ALL_SQL),
     "gdd_rain_cv": (gdd_rain_cv, GDD_SQL),
     "rolling_90": (rolling_90, ROLLING_SQL),
     "gamma_fit": (gamma_fit, GAMMA_SQL),

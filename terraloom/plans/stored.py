@@ -149,10 +149,9 @@ WHERE l_shipdate >= TIMESTAMP '1996-06-01' AND l_shipdate < TIMESTAMP '1996-10-3
 
 
 def point_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """Point literals written as text lines and counted back by tag; rows without a coordinate have none."""
+    """Point literals written as text lines and read back by tag."""
     path = files.scratch_dir(spark, "points")
-    points = table(spark, sf, "customer").withColumn("c_acctbal", F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal")))
-    points = points.where(F.col("c_acctbal").isNotNull())
+    points = table(spark, sf, "customer")
     sinks.write_lines(points, text.point_literal(F.col("c_custkey"), F.col("c_nationkey").cast("double"), F.col("c_acctbal"), "Rabi_2020"), path)
     back = spark.read.text(path)
     return back.select(F.regexp_extract("value", r"id: '(\d+)_Rabi_2020'", 1).cast("bigint").alias("c_custkey"), "value")
@@ -160,20 +159,6 @@ def point_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 POINT_LINES_SQL = """
 SELECT c_custkey, 'ee.Feature(ee.Geometry.Point([' || CAST(c_nationkey AS DOUBLE) || ', ' || c_acctbal || ']), {id: ''' || c_custkey || '_Rabi_2020''}),' AS value
-FROM customer WHERE c_acctbal >= 0
-"""
-
-
-def point_lines_all(spark: SparkSession, sf: str) -> DataFrame:
-    """``point_lines`` with every customer."""
-    path = files.scratch_dir(spark, "points")
-    points = table(spark, sf, "customer")
-    sinks.write_lines(points, text.point_literal(F.col("c_custkey"), F.col("c_nationkey").cast("double"), F.col("c_acctbal"), "Rabi_2020"), path)
-    return spark.read.text(path).select("value")
-
-
-POINT_LINES_ALL_SQL = """
-SELECT 'ee.Feature(ee.Geometry.Point([' || CAST(c_nationkey AS DOUBLE) || ', ' || c_acctbal || ']), {id: ''' || c_custkey || '_Rabi_2020''}),' AS value
 FROM customer
 """
 
@@ -423,7 +408,6 @@ QUERIES = {
     "geocode_json": (geocode_json, GEOCODE_SQL),
     "observation_range": (observation_range, OBSERVATION_SQL),
     "point_lines": (point_lines, POINT_LINES_SQL),
-    "point_lines_all": (point_lines_all, POINT_LINES_ALL_SQL),
     "dropped_column": (dropped_column, DROPPED_SQL),
     "drained_weather": (drained_weather, series.WEATHER_SQL),
     "drained_split_season": (drained_split_season, series.WEATHER_SQL),
