@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from terraloom.functions.numeric import log_with_edges
 from terraloom.operators.columns import quoted
+from terraloom.operators.enrich import first_per_key
 from terraloom.operators.quantiles import large_groups, quantiles_of_frequencies, value_frequencies
 from terraloom.operators.skew import HOT_ROWS, skew_join
 
@@ -16,6 +17,8 @@ NOT_PROFILED = (
     "FarmerID", "State", "REGION", "SEX", "CITY", "Zipcode", "DISTRICT", "VILLAGE", "MARITAL_STATUS", "Location",
 )
 WHISKER = 1.5
+# A point that can be drawn has a value and a finite target.
+_DRAWN = "value IS NOT NULL AND y IS NOT NULL AND NOT isnan(value) AND NOT isnan(y) AND abs(y) < double('Infinity') AND abs(value) < double('Infinity')"
 
 
 def profiled_columns(df: DataFrame, target: str, excluded: Sequence[str] = NOT_PROFILED) -> list[str]:
@@ -26,9 +29,9 @@ def log_target(df: DataFrame, target: str) -> DataFrame:
     return df.withColumn(target, log_with_edges(quoted(target)))
 
 
-def _long(df: DataFrame, target: str, names: Sequence[str], kind: str) -> DataFrame:
+def _long(df: DataFrame, target: str, names: Sequence[str], kind: str, keep: Sequence[str] = ()) -> DataFrame:
     cells = F.array(*[F.struct(F.lit(n).alias("col"), quoted(n).cast(kind).alias("value")) for n in names])
-    return df.select(quoted(target).alias("y"), F.explode(cells).alias("c")).select("c.col", "c.value", "y")
+    return df.select(*keep, quoted(target).alias("y"), F.explode(cells).alias("c")).select(*keep, "c.col", "c.value", "y")
 
 
 def box_summary(df: DataFrame, target: str, names: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -57,10 +60,7 @@ def bin_scatter(df: DataFrame, target: str, names: Sequence[str], bins: int = 10
     Points without a value or a finite target are not drawn.  The ranges come
     from one aggregate (one row per column) that is broadcast back.
     """
-    long = _long(df, target, names, "double").where(
-        F.col("value").isNotNull() & F.col("y").isNotNull() & ~F.isnan("value") & ~F.isnan("y")
-        & (F.abs("y") < float("inf")) & (F.abs("value") < float("inf"))
-    )
+    long = _long(df, target, names, "double").where(_DRAWN)
     ranges = long.groupBy("col").agg(
         F.min("value").alias("_x0"), F.max("value").alias("_x1"), F.min("y").alias("_y0"), F.max("y").alias("_y1"))
 
@@ -74,6 +74,22 @@ def bin_scatter(df: DataFrame, target: str, names: Sequence[str], bins: int = 10
     ).agg(F.count(F.lit(1)).alias("n"))
 
 
+def scatter_sample(df: DataFrame, target: str, names: Sequence[str], key: str, per_bin: int = 50, bins: int = 10) -> DataFrame:
+    """(col, x_bin, key, x, y): at most ``per_bin`` points of each of ``bins`` equal-width bins of a column, to be drawn as they are.
+
+    Points are taken by the least digest of column and key.  So a sample is the same however the rows lie, samples of parts can be put
+    together and cut again, and each task keeps only so many; sparse ranges are drawn whole.
+    """
+    long = _long(df.withColumn("_key", quoted(key)), target, names, "double", ("_key",)).where(_DRAWN)
+    ranges = long.groupBy("col").agg(F.min("value").alias("_x0"), F.max("value").alias("_x1"))
+    span = F.nullif(F.col("_x1") - F.col("_x0"), F.lit(0.0))
+    at = F.least(F.coalesce(F.floor((F.col("value") - F.col("_x0")) * F.lit(float(bins)) / span) + 1, F.lit(1)), F.lit(bins)).cast("int")
+    placed = long.join(F.broadcast(ranges), "col").withColumn("x_bin", at)
+    order = F.md5(F.concat_ws(":", F.col("col"), F.col("_key").cast("string")))
+    taken = first_per_key(placed.withColumn("_order", order), ["col", "x_bin"], ["_order", "_key"], per_bin)
+    return taken.select("col", "x_bin", F.col("_key").alias(key), F.col("value").alias("x"), "y")
+
+
 def profile_target(
     df: DataFrame, target: str, excluded: Sequence[str] = NOT_PROFILED, bins: int = 10, hot_rows: int = HOT_ROWS
 ) -> tuple[DataFrame | None, DataFrame | None]:

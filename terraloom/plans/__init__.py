@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("series", "clean", "enrich", "similar", "reshape", "geo", "footprints", "listings", "encode", "profile", "stored")
+MODULES = ("series", "clean", "enrich", "similar", "reshape", "geo", "footprints", "listings", "encode", "sparse", "profile", "stored")
 
 
 def registered() -> dict:

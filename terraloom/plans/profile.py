@@ -104,7 +104,26 @@ r AS (SELECT *, min(x) OVER () AS x0, max(x) OVER () AS x1, min(y) OVER () AS y0
 SELECT col, {_bin_sql('x', 'x0', 'x1')} AS x_bin, {_bin_sql('y', 'y0', 'y1')} AS y_bin, count(*) AS n FROM r GROUP BY 1, 2, 3
 """
 
+def scatter_sample(spark: SparkSession, sf: str) -> DataFrame:
+    """Twenty points of every bin of the balance, and of the customer number, against the log order value."""
+    orders = table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    logged = profile.log_target(orders.select("o_orderkey", "o_totalprice", "c_acctbal", "o_custkey"), "o_totalprice")
+    points = profile.scatter_sample(logged, "o_totalprice", ["c_acctbal", "o_custkey"], "o_orderkey", per_bin=20, bins=8)
+    return points.select("col", "x_bin", "o_orderkey", "x", snap(F.col("y")).alias("y"))
+
+
+SAMPLE_SQL = f"""
+WITH long AS (
+  SELECT 'c_acctbal' AS col, o_orderkey, c_acctbal AS x, ln(o_totalprice) AS y FROM orders JOIN customer ON o_custkey = c_custkey
+  UNION ALL SELECT 'o_custkey', o_orderkey, CAST(o_custkey AS DOUBLE), ln(o_totalprice) FROM orders JOIN customer ON o_custkey = c_custkey
+), r AS (SELECT *, min(x) OVER w AS x0, max(x) OVER w AS x1 FROM long WINDOW w AS (PARTITION BY col)),
+binned AS (SELECT col, {_bin_sql('x', 'x0', 'x1')} AS x_bin, o_orderkey, x, y FROM r)
+SELECT col, x_bin, o_orderkey, x, {sql_snap('y')} AS y FROM binned
+QUALIFY row_number() OVER (PARTITION BY col, x_bin ORDER BY md5(col || ':' || o_orderkey)) <= 20
+"""
+
 QUERIES = {
+    "scatter_sample": (scatter_sample, SAMPLE_SQL),
     "profile_boxes": (profile_boxes, PROFILE_BOX_SQL),
     "profile_scatter": (profile_scatter, PROFILE_SCATTER_SQL),
     "box_summary": (box_summary, BOX_SQL),

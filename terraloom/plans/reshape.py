@@ -156,6 +156,31 @@ SELECT * FROM p WHERE "left" IS DISTINCT FROM "right"
 UNION ALL SELECT c_custkey, '(row)', 'present', NULL FROM a WHERE c_custkey NOT IN (SELECT c_custkey FROM b)
 """
 
+def tree_diff(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders against a copy in which few cells are changed, few rows lack and one is new, found by their digests."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", F.col("o_totalprice").cast("decimal(12,2)").alias("o_totalprice"))
+    altered = orders.where(F.col("o_orderkey") % 4001 != 17).withColumns({
+        "o_orderstatus": F.when(F.col("o_orderkey") % 3001 != 5, F.col("o_orderstatus")),
+        "o_totalprice": F.when(F.col("o_orderkey") % 2003 == 9, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")).cast("decimal(12,2)"),
+        "o_orderkey": F.when(F.col("o_orderkey") == 1, -1).otherwise(F.col("o_orderkey")),
+    })
+    return compare.tree_diff(orders, altered, ["o_orderkey"])
+
+
+TREE_DIFF_SQL = """
+WITH a AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice::DECIMAL(12, 2) AS o_totalprice FROM orders),
+b AS (
+  SELECT CASE WHEN o_orderkey = 1 THEN -1 ELSE o_orderkey END AS o_orderkey, o_custkey, CASE WHEN o_orderkey % 3001 <> 5 THEN o_orderstatus END AS o_orderstatus,
+    CASE WHEN o_orderkey % 2003 = 9 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice FROM a WHERE o_orderkey % 4001 <> 17),
+p AS (
+  SELECT o_orderkey, unnest(['o_custkey', 'o_orderstatus', 'o_totalprice']) AS "column", unnest([a.o_custkey::VARCHAR, a.o_orderstatus, a.o_totalprice::VARCHAR]) AS "left",
+    unnest([b.o_custkey::VARCHAR, b.o_orderstatus, b.o_totalprice::VARCHAR]) AS "right" FROM a FULL JOIN b USING (o_orderkey))
+SELECT * FROM p WHERE "left" IS DISTINCT FROM "right"
+UNION ALL SELECT o_orderkey, '(row)', 'present', NULL FROM a WHERE o_orderkey NOT IN (SELECT o_orderkey FROM b)
+UNION ALL SELECT o_orderkey, '(row)', NULL, 'present' FROM b WHERE o_orderkey NOT IN (SELECT o_orderkey FROM a)
+"""
+
+
 def chunk_positions(spark: SparkSession, sf: str) -> DataFrame:
     """Orders cut into about 900 chunks of consecutive ids."""
     orders = keys.attach_row_ids(table(spark, sf, "orders").select("o_orderkey"), ["o_orderkey"])
@@ -185,4 +210,5 @@ QUERIES = {
     "chunk_positions": (chunk_positions, CHUNK_SQL),
     "preview": (preview, PREVIEW_SQL),
     "frame_diff": (frame_diff, FRAME_DIFF_SQL),
+    "tree_diff": (tree_diff, TREE_DIFF_SQL),
 }
