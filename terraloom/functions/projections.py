@@ -24,57 +24,86 @@ ROOT2 = math.sqrt(2.0)
 
 @dataclass(frozen=True)
 class Projection:
-    """``forward`` takes degrees to (x, y) and ``inverse`` metres to (lon, lat); lons are not wrapped, so a map around 180 goes on beyond."""
+    """``forward`` takes degrees to a struct (x, y) and ``inverse`` metres to a struct (lon, lat).
 
-    forward: Callable[[Column, Column], tuple[Column, Column]]
-    inverse: Callable[[Column, Column], tuple[Column, Column]]
+    Lons are not wrapped, so a map around 180 goes on beyond.
+    """
 
+    forward: Callable[[Column, Column], Column]
+    inverse: Callable[[Column, Column], Column]
 
-def _on_map(lon: Column, lat: Column, away: Column, widest: Column | float = 180.0) -> tuple[Column, Column]:
-    """NULLs where a place lies further from the central meridian or the equator than the map goes."""
-    there = (F.abs(away) <= widest + EDGE) & (F.abs(lat) <= 90 + EDGE)
-    return F.when(there, lon), F.when(there, F.greatest(F.lit(-90.0), F.least(F.lit(90.0), lat)))
+
+def _let(use: Callable[[Column], Column], **values: Column) -> Column:
+    """``use`` of a struct of values that are worked out once, however often it names them."""
+    return F.get(F.transform(F.array(F.struct(*[v.alias(k) for k, v in values.items()])), use), F.lit(0))
+
+
+def _unit(value: Column) -> Column:
+    return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), value))
+
+
+def _place(central: Column | float, v: Column) -> Column:
+    """(lon, lat) of ``v.lat`` and ``v.away`` degrees from the central meridian, NULLs further out than the map goes."""
+    there = (F.abs(v["away"]) <= 180 + EDGE) & (F.abs(v["lat"]) <= 90 + EDGE)
+    lat = F.greatest(F.lit(-90.0), F.least(F.lit(90.0), v["lat"]))
+    return F.struct(F.when(there, v["away"] + central).alias("lon"), F.when(there, lat).alias("lat"))
+
+
+def _sinusoidal_place(x: Column, y: Column, metres: float) -> dict[str, Column]:
+    lat = y / metres
+    return {"lat": lat, "away": F.when(F.abs(lat) >= 90, 0.0).otherwise(x / (F.lit(metres) * F.cos(F.radians(lat))))}
 
 
 def sinusoidal(central: float = 0.0, radius: float = RADIUS) -> Projection:
     metres = radius * math.pi / 180
 
-    def forward(lon: Column, lat: Column) -> tuple[Column, Column]:
-        return (lon - central) * metres * F.cos(F.radians(lat)), lat * metres
+    def forward(lon: Column, lat: Column) -> Column:
+        return F.struct(((lon - central) * metres * F.cos(F.radians(lat))).alias("x"), (lat * metres).alias("y"))
 
-    def inverse(x: Column, y: Column) -> tuple[Column, Column]:
-        lat = y / metres
-        away = F.when(F.abs(lat) >= 90, 0.0).otherwise(x / (F.lit(metres) * F.cos(F.radians(lat))))
-        return _on_map(away + central, lat, away)
+    def inverse(x: Column, y: Column) -> Column:
+        return _let(lambda v: _place(central, v), **_sinusoidal_place(x, y, metres))
 
     return Projection(forward, inverse)
 
 
 def _mollweide_angle(lat: Column) -> Column:
     """The angle t with 2t + sin 2t = pi sin(lat), by Newton steps from a start that is exact at the equator and the poles."""
-    wanted = F.lit(math.pi) * F.sin(F.radians(lat))
-    start = F.asin(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.sin(F.radians(lat)))))
-
-    def step(t: Column, _: Column) -> Column:
+    def step(t: Column, wanted: Column) -> Column:
         slope = 2 + 2 * F.cos(2 * t)
         return F.when(slope < 1e-12, t).otherwise(t - (2 * t + F.sin(2 * t) - wanted) / slope)
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(NEWTON_STEPS)), start, step)
+    wanted = F.array_repeat(F.lit(math.pi) * F.sin(F.radians(lat)), NEWTON_STEPS)
+    return F.aggregate(wanted, F.asin(_unit(F.sin(F.radians(lat)))), step)
 
 
-def mollweide(central: float = 0.0, radius: float = RADIUS) -> Projection:
+def _mollweide_xy(away: Column, lat: Column, radius: float) -> Column:
+    wide = 2 * ROOT2 * radius / math.pi
+    return _let(lambda v: F.struct((v["turn"] * wide * F.cos(v["t"])).alias("x"), (F.lit(ROOT2 * radius) * F.sin(v["t"])).alias("y")),
+                t=_mollweide_angle(lat), turn=F.radians(away))
+
+
+def _mollweide_place(x: Column, y: Column, radius: float, use: Callable[[Column], Column]) -> Column:
+    """``use`` of ``lat`` and ``away``."""
     wide = 2 * ROOT2 * radius / math.pi
 
-    def forward(lon: Column, lat: Column) -> tuple[Column, Column]:
-        t = _mollweide_angle(lat)
-        return F.radians(lon - central) * wide * F.cos(t), F.lit(ROOT2 * radius) * F.sin(t)
+    def of_angle(v: Column) -> Column:
+        lat = F.degrees(F.asin(_unit((2 * v["t"] + F.sin(2 * v["t"])) / math.pi)))
+        away = F.when(v["c"] < 1e-12, 0.0).otherwise(F.degrees(v["x"] / (F.lit(wide) * v["c"])))
+        return _let(use, lat=lat, away=away)
+
+    def of_sine(v: Column) -> Column:
+        t = F.asin(F.when(F.abs(v["sine"]) <= 1 + EDGE, _unit(v["sine"])))
+        return _let(of_angle, t=t, c=F.cos(t), x=v["x"])
+
+    return _let(of_sine, sine=y / (ROOT2 * radius), x=x)
+
 
-    def inverse(x: Column, y: Column) -> tuple[Column, Column]:
-        sine = y / (ROOT2 * radius)
-        t = F.asin(F.when(F.abs(sine) <= 1 + EDGE, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), sine))))
-        lat = F.degrees(F.asin(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), (2 * t + F.sin(2 * t)) / math.pi))))
-        away = F.when(F.cos(t) < 1e-12, 0.0).otherwise(F.degrees(x / (F.lit(wide) * F.cos(t))))
-        return _on_map(away + central, lat, away)
+def mollweide(central: float = 0.0, radius: float = RADIUS) -> Projection:
+    def forward(lon: Column, lat: Column) -> Column:
+        return _mollweide_xy(lon - central, lat, radius)
+
+    def inverse(x: Column, y: Column) -> Column:
+        return _mollweide_place(x, y, radius, lambda v: _place(central, v))
 
     return Projection(forward, inverse)
 
@@ -87,38 +116,44 @@ def joint_shift() -> float:
     return RADIUS * (ROOT2 * math.sin(t) - math.radians(JOINT))
 
 
+def _lobe(north: Column, at: Column, scale: float) -> Column:
+    """(west, east, central) of the lobe that a lon, or an easting with ``scale`` metres a degree, falls into."""
+    def pick(parts: tuple) -> Column:
+        picked = None
+        for west, east, central in reversed(parts):
+            here = F.struct(F.lit(west).alias("west"), F.lit(east).alias("east"), F.lit(central).alias("central"))
+            picked = here if picked is None else F.when(at <= east * scale, here).otherwise(picked)
+        return picked
+
+    return F.when(north, pick(NORTH)).otherwise(pick(SOUTH))
+
+
 def homolosine() -> Projection:
     """The interrupted homolosine; of two lobes that meet in a meridian, the western one takes it."""
     shift, metres = joint_shift(), RADIUS * math.pi / 180
 
-    def forward(lon: Column, lat: Column) -> tuple[Column, Column]:
-        def lobe(parts: tuple) -> Column:
-            out = F.lit(None).cast("double")
-            for _, east, central in reversed(parts):
-                out = F.when(lon <= east, F.lit(central)).otherwise(out)
-            return out
-
-        central = F.when(lat >= 0, lobe(NORTH)).otherwise(lobe(SOUTH))
-        polar = F.abs(lat) > JOINT
-        (x0, y0), (x1, y1) = sinusoidal().forward(lon - central, lat), mollweide().forward(lon - central, lat)
-        x = F.when(polar, x1).otherwise(x0) + F.radians(central) * RADIUS
-        return x, F.when(polar, y1 - F.signum(lat) * shift).otherwise(y0)
-
-    def inverse(x: Column, y: Column) -> tuple[Column, Column]:
-        def lobe(parts: tuple) -> tuple[Column, Column, Column]:
-            """West end, east end and central meridian of the lobe that an easting falls into."""
-            picked = None
-            for part in reversed(parts):
-                here = [F.lit(v) for v in part]
-                picked = here if picked is None else [F.when(x <= part[1] * metres, h).otherwise(p) for h, p in zip(here, picked, strict=True)]
-            return tuple(picked)
-
-        west, east, central = (F.when(y >= 0, n).otherwise(s) for n, s in zip(lobe(NORTH), lobe(SOUTH), strict=True))
-        polar = F.abs(y) > JOINT * metres
-        (lon0, lat0), (lon1, lat1) = (
-            p.inverse(x - central * metres, v) for p, v in ((sinusoidal(), y), (mollweide(), y + F.signum(y) * shift)))
-        lon, lat = F.when(polar, lon1).otherwise(lon0) + central, F.when(polar, lat1).otherwise(lat0)
-        inside = (lon >= west - EDGE) & (lon <= east + EDGE)
-        return F.when(inside, lon), F.when(inside, lat)
+    def forward(lon: Column, lat: Column) -> Column:
+        def of_place(v: Column) -> Column:
+            away = v["lon"] - v["lobe"]["central"]
+            sinu, moll = sinusoidal().forward(away, v["lat"]), _mollweide_xy(away, v["lat"], RADIUS)
+            shifted = _let(lambda m: F.struct(m["p"]["x"].alias("x"), (m["p"]["y"] - F.signum(v["lat"]) * shift).alias("y")), p=moll)
+            at = _let(lambda m: m["p"], p=F.when(F.abs(v["lat"]) > JOINT, shifted).otherwise(sinu))
+            return _let(lambda m: F.struct((m["p"]["x"] + F.radians(v["lobe"]["central"]) * RADIUS).alias("x"), m["p"]["y"].alias("y")), p=at)
+
+        return _let(of_place, lon=lon, lat=lat, lobe=_lobe(lat >= 0, lon, 1.0))
+
+    def inverse(x: Column, y: Column) -> Column:
+        def of_point(v: Column) -> Column:
+            def inside(p: Column) -> Column:
+                lon, kept = p["away"] + v["lobe"]["central"], (F.abs(p["away"]) <= 180 + EDGE) & (F.abs(p["lat"]) <= 90 + EDGE)
+                kept &= (lon >= v["lobe"]["west"] - EDGE) & (lon <= v["lobe"]["east"] + EDGE)
+                return F.struct(F.when(kept, lon).alias("lon"), F.when(kept, p["lat"]).alias("lat"))
+
+            across = v["x"] - v["lobe"]["central"] * metres
+            sinu = _let(inside, **_sinusoidal_place(across, v["y"], metres))
+            moll = _mollweide_place(across, v["y"] + F.signum(v["y"]) * shift, RADIUS, inside)
+            return F.when(F.abs(v["y"]) > JOINT * metres, moll).otherwise(sinu)
+
+        return _let(of_point, x=x, y=y, lobe=_lobe(y >= 0, x, metres))
 
     return Projection(forward, inverse)

@@ -33,12 +33,8 @@ def degree_bounds(items: DataFrame, projection: Projection, points: int = POINTS
     The edges are looked at in ``points`` places, since they are curves in degrees; places off the map do not count.  A box across the
     180th meridian becomes two rows; one that touches the map nowhere, or lacks a bound, has NULLs.
     """
-    def degrees(p: Column) -> Column:
-        lon, lat = projection.inverse(p["x"], p["y"])
-        return F.struct(lon.alias("lon"), lat.alias("lat"))
-
     whole = reduce(and_, [F.col(c).isNotNull() for c in PROJECTED])
-    on_map = F.filter(F.transform(_edges(points), degrees), lambda p: p["lon"].isNotNull() & p["lat"].isNotNull())
+    on_map = F.filter(F.transform(_edges(points), lambda p: projection.inverse(p["x"], p["y"])), lambda p: p["lon"].isNotNull() & p["lat"].isNotNull())
     seen = items.withColumn("_p", F.when(whole, on_map))
     for name, pick, field in zip(BOUNDS, (F.array_min, F.array_min, F.array_max, F.array_max), ("lon", "lat", "lon", "lat"), strict=True):
         seen = seen.withColumn(name, pick(F.col(f"_p.{field}")))

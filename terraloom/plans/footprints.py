@@ -99,10 +99,10 @@ def projection_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     lon, lat = F.col("c_custkey") * 7919 % 35999 / 100.0 - 179.99, F.col("c_acctbal") / 70 - 55
     out = table(spark, sf, "customer").select("c_custkey", lon.alias("lon"), lat.alias("lat"))
     for name, p in (("sinusoidal", projections.sinusoidal(20.0)), ("mollweide", projections.mollweide()), ("homolosine", projections.homolosine())):
-        x, y = p.forward(F.col("lon") + 20 if name == "sinusoidal" else F.col("lon"), F.col("lat"))
-        out = out.withColumn("_x", x).withColumn("_y", y)
-        back = p.inverse(F.col("_x"), F.col("_y"))
-        out = out.withColumn(f"{name}_lon", snap(back[0] - 20 if name == "sinusoidal" else back[0])).withColumn(f"{name}_lat", snap(back[1])).drop("_x", "_y")
+        turn = 20 if name == "sinusoidal" else 0
+        out = out.withColumn("_p", p.forward(F.col("lon") + turn, F.col("lat")))
+        out = out.withColumn("_q", p.inverse(F.col("_p.x"), F.col("_p.y")))
+        out = out.withColumn(f"{name}_lon", snap(F.col("_q.lon") - turn)).withColumn(f"{name}_lat", snap(F.col("_q.lat"))).drop("_p", "_q")
     return out.drop("lon", "lat")
 
 
