@@ -2,9 +2,10 @@
 
 Symbols are the most frequent training tokens, up to ``HEAD``, an end mark, and ``CLASSES`` classes of all other tokens by their last bytes.  A token
 outside the head has the probability of its class times its own smoothed share of the class, so every token of the corpus counts as what
-it is; the head bounds what tasks hold in memory, and the counts of all other tokens are joined by shuffle.  Every round of
-Baum-Welch runs over every training document, until the log-likelihood settles: each task adds up expected counts, blocks of which
-are summed in a shuffle.  The scaled forward recursion gives the exact likelihood.
+it is; the head bounds what tasks hold in memory, and the counts of all other tokens are joined by shuffle.  Baum-Welch first runs over
+one in ``SHARE`` training documents, which gives the states a start, and then over every one, each time until the log-likelihood
+settles: each task adds up expected counts, blocks of which are summed in a shuffle.  The scaled forward recursion gives the exact
+likelihood of whole documents.
 """
 
 from __future__ import annotations
@@ -13,12 +14,13 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from terraloom.llm.common import hashed_sample, record_batches, stored, text_bytes
+from terraloom.llm.common import record_batches, stored, text_bytes
 
 STATES = 8
 HEAD = 50_000
@@ -28,11 +30,12 @@ LONGEST = 64  # bytes of a head token, which bounds the head's size
 ADDED = 0.1  # to every count
 PULL = 200.0  # pseudo-tokens by which each state is drawn to the corpus distribution
 SETTLED = 1e-3  # gain of a round, as a share of the log-likelihood, below which it is the last
-SAMPLE = 4000  # documents of early rounds, where a caller asks for such
+SHARE = 8  # one in so many training documents is read by the rounds that give the states a start
+RUN = 1024  # tokens trained on in a row; the rest of a longer document is the next sequence
 HELD_OUT = (10, 0)
 COUNTED_WORDS = 150_000
 ENCODED_ROWS = 1000  # documents encoded as one record batch
-GROUP_WORDS = 500_000  # tokens that advance side by side
+GROUP_WORDS = 1_000_000  # tokens that advance side by side
 BLOCK = 2048  # symbols summed as one record
 END = b""  # the end mark; no word is empty
 SEED = 11
@@ -157,6 +160,10 @@ class Model:
     step: np.ndarray  # (from, to)
     emit: np.ndarray  # (symbol, state)
 
+    @cached_property
+    def by_state(self) -> np.ndarray:
+        return np.ascontiguousarray(self.emit.T)
+
 
 def first_model(unigram: np.ndarray, states: int) -> Model:
     """States that differ from the corpus distribution by reproducible noise, and tend to stay."""
@@ -184,50 +191,70 @@ def by_step(values: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return values[starts[place] + step], order, active, at
 
 
-def forward(model: Model, values: np.ndarray, active: np.ndarray, at: np.ndarray, keep: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Scaled forward recursion: per document its log-likelihood; with ``keep`` also state probabilities and scales per token."""
+def forward(
+    model: Model, values: np.ndarray, active: np.ndarray, at: np.ndarray, keep: bool,
+) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray, np.ndarray] | None]:
+    """Scaled forward recursion: log-likelihood of each document; with ``keep`` also emissions and state probabilities (state, token), and scales.
+
+    States are rows, so that a step works on whole runs of documents.  Likelihoods are worked out in double precision, what is kept in single.
+    """
     documents = int(active[0]) if len(active) else 0
-    like = np.zeros(documents)
-    alphas = np.empty((len(values), len(model.start)), np.float32) if keep else None
-    scales = np.empty(len(values)) if keep else None
-    alpha = np.broadcast_to(model.start, (documents, len(model.start)))
-    for t, n in enumerate(active):
+    kind = np.float32 if keep else np.float64
+    emit, step = model.by_state.astype(kind, copy=False), model.step.T.astype(kind)
+    scales = np.empty(len(values), kind)
+    emissions = np.take(emit, values, axis=1) if keep else None
+    alphas = np.empty((len(model.start), len(values)), kind) if keep else None
+    alpha = np.repeat(model.start.astype(kind)[:, None], documents, axis=1)
+    for t, n in enumerate(active.tolist()):
         rows = slice(at[t], at[t + 1])
-        alpha = (alpha if t == 0 else alpha[:n] @ model.step) * model.emit[values[rows]]
-        scale = alpha.sum(axis=1)
-        alpha = alpha / scale[:, None]
-        like[:n] += np.log(scale)
+        alpha = (alpha if t == 0 else step @ alpha[:, :n]) * (emissions[:, rows] if keep else np.take(emit, values[rows], axis=1))
+        scale = alpha.sum(axis=0)
+        alpha /= scale
+        scales[rows] = scale
         if keep:
-            alphas[rows], scales[rows] = alpha, scale
-    return like, alphas, scales
+            alphas[:, rows] = alpha
+    place = np.arange(len(values)) - np.repeat(at[:-1], active)
+    like = np.bincount(place, np.log(scales.astype(float)), documents)
+    return like, (emissions, alphas, scales) if keep else None
 
 
 def expected_counts(model: Model, values: np.ndarray, sizes: np.ndarray, into: list[np.ndarray]) -> float:
     """Add a group's expected starts, steps and emissions to ``into``; returns its log-likelihood."""
     values, _, active, at = by_step(values, sizes)
-    like, alphas, scales = forward(model, values, active, at, True)
-    starts, steps, emissions = into
-    states = len(model.start)
-    beta = np.ones((int(active[-1]) if len(active) else 0, states))
+    like, (emissions, alphas, scales) = forward(model, values, active, at, True)
+    starts, steps, emitted = into
+    states, step = len(model.start), model.step.astype(np.float32)
+    moved = np.zeros((states, states))
+    active = active.tolist()
+    beta = np.ones((states, active[-1] if active else 0), np.float32)
     for t in range(len(active) - 1, -1, -1):
         n, rows = active[t], slice(at[t], at[t + 1])
-        if len(beta) < n:  # documents that end here
-            beta = np.concatenate([beta, np.ones((n - len(beta), states))])
-        before = alphas[rows].astype(float)
-        gamma = before * beta
-        gamma /= gamma.sum(axis=1, keepdims=True)
-        if t == 0:
-            starts += gamma.sum(axis=0)
+        if beta.shape[1] < n:  # documents that end here
+            beta = np.concatenate([beta, np.ones((states, n - beta.shape[1]), np.float32)], axis=1)
+        if t:
+            weighted = emissions[:, rows] * beta
+            weighted /= scales[rows]
+            moved += alphas[:, at[t - 1]: at[t - 1] + n] @ weighted.T
+        alphas[:, rows] *= beta
+        if t:
+            beta = step @ weighted
         else:
-            weighted = model.emit[values[rows]] * beta / scales[rows][:, None]
-            steps += model.step * (alphas[at[t - 1]: at[t - 1] + n].astype(float).T @ weighted)
-            beta = weighted @ model.step.T
-        alphas[rows] = gamma
+            starts += alphas[:, rows].sum(axis=1)
+    steps += model.step * moved
     for state in range(states):
-        emissions[:, state] += np.bincount(values, alphas[:, state], len(emissions))
+        emitted[:, state] += np.bincount(values, alphas[state], len(emitted))
     return float(like.sum())
 
 
+def training_runs(values: np.ndarray, sizes: np.ndarray, longest: int) -> np.ndarray:
+    """Sizes of the sequences that are trained on: documents, in runs of at most ``longest`` tokens; every token is in one."""
+    whole, last = np.divmod(sizes, longest)
+    runs = np.full((whole + (last > 0)).sum(), longest, np.int64)
+    ends = np.cumsum(whole + (last > 0)) - 1
+    runs[ends[last > 0]] = last[last > 0]
+    return runs
+
+
 def groups(batch: pa.RecordBatch, column: str = "symbols") -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Runs of rows of about ``GROUP_WORDS`` symbols: first row, end row, symbols, sizes."""
     sizes = batch.column("n_tokens").to_numpy()
@@ -250,7 +277,7 @@ def baum_welch(rows: DataFrame, model: Model, unigram: np.ndarray) -> tuple[Mode
         like, seen = 0.0, False
         for batch in batches:
             for _, _, values, sizes in groups(batch):
-                like, seen = like + expected_counts(sent.value, values, sizes, into), True
+                like, seen = like + expected_counts(sent.value, values, training_runs(values, sizes, RUN), into), True
         if seen:
             rest = np.concatenate([[like], into[0], into[1].ravel()])
             yield from record_batches(_BLOCKS, [(-1, rest.tobytes())])
@@ -281,28 +308,27 @@ def baum_welch(rows: DataFrame, model: Model, unigram: np.ndarray) -> tuple[Mode
 _BLOCKS = pa.schema([("block", pa.int32()), ("sums", pa.binary())])
 
 
-def train(
-    rows: DataFrame, unigram: np.ndarray, states: int = STATES, early: int = 0, full: int | None = None, sample: int = SAMPLE, settled: float = SETTLED,
-) -> Model:
-    """Rounds over all training documents until the log-likelihood settles, or ``full`` of them.
+def train(rows: DataFrame, unigram: np.ndarray, states: int = STATES, share: int = SHARE, settled: float = SETTLED, most: int | None = None) -> Model:
+    """Rounds over all training documents until the log-likelihood settles, after rounds over one in ``share`` have done so.
 
-    A caller may have ``early`` rounds over at most ``sample`` documents start the states; the operator has none.
+    The first rounds only give the states a start; which documents they read is decided by a hash, so their number grows with the input.
+    ``most`` bounds the rounds of either kind, where a caller wants that.
     """
     training = rows.where("NOT held_out")
     model = first_model(unigram, states)
-    if early:
-        picked = hashed_sample(training.select(F.col("rid").alias("_picked")), "_picked", sample)  # ids first: texts stay where they are
-        some = training.select("rid", "n_tokens", "symbols").join(F.broadcast(picked), F.col("rid") == F.col("_picked"), "left_semi")
-        some = stored(some.repartition(8), "hmm-sample")
-        for _ in range(early):
-            model, _ = baum_welch(some, model, unigram)
-    before, done = -np.inf, 0
-    while full is None or done < full:
-        model, like = baum_welch(training, model, unigram)
-        done += 1
-        if full is None and like - before <= settled * abs(like):  # no training documents: 0 after the second round
-            break
-        before = like
+    some = training.where(F.pmod(F.xxhash64("rid"), F.lit(share)) == 0) if share > 1 else None
+    for data in (some, training):
+        if data is None:
+            continue
+        if data is some:
+            data = stored(data.select("n_tokens", "symbols"), "hmm-start")
+        before, done = -np.inf, 0
+        while most is None or done < most:
+            model, like = baum_welch(data, model, unigram)
+            done += 1
+            if like - before <= settled * abs(like):  # no training documents: 0 after the second round
+                break
+            before = like
     return model
 
 
@@ -318,7 +344,7 @@ def likelihoods(rows: DataFrame, model: Model, known: Symbols) -> DataFrame:
             for first, end, values, sizes in groups(batch):
                 stepped, order, active, at = by_step(values, sizes)
                 like = np.empty(end - first)
-                like[order], _, _ = forward(sent.value, stepped, active, at, False)
+                like[order], _ = forward(sent.value, stepped, active, at, False)
                 starts = np.cumsum(sizes) - sizes
                 yield pa.RecordBatch.from_arrays([
                     *(batch.column(c).slice(first, end - first) for c in ("rid", "key", "held_out", "n_tokens")), pa.array(like / np.log(10)),

@@ -72,7 +72,7 @@ def check_base(out, rows):
 
 def test_whole_table(sf_docs):
     """A small head sends most words through the join; counts and base scores stay exact, and held-out text gets likelier."""
-    out = hmm.scores(sf_docs, head=300, early=6, full=1, sample=60).collect()
+    out = hmm.scores(sf_docs, head=300).collect()
     check_base(out, [(r.doc_id, r.text) for r in sf_docs.collect()])
     held = [r for r in out if r.held_out]
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
@@ -81,15 +81,15 @@ def test_whole_table(sf_docs):
 @pytest.mark.parametrize("head", [0, 2, 100])
 def test_awkward_rows(make_docs, awkward, head):
     rows = [*awkward, (11, "Alpha BETA gamma É"), (12, "y" * 5000), (30, "never seen words")]
-    out = hmm.scores(make_docs(rows, True), head=head, early=2, full=1, sample=5).collect()
+    out = hmm.scores(make_docs(rows, True), head=head, most=2).collect()
     check_base(out, rows)
     assert all(r.score < 0 for r in out)
 
 
 def test_empty_tables(make_docs):
-    assert hmm.scores(make_docs([]), early=1).count() == 0
+    assert hmm.scores(make_docs([]), most=1).count() == 0
     held = [i for i in range(99) if zlib.crc32(str(i).encode()) % 10 == 0][:2]
-    out = hmm.scores(make_docs([(held[0], "a b"), (held[1], None)]), early=1).collect()
+    out = hmm.scores(make_docs([(held[0], "a b"), (held[1], None)])).collect()
     assert [(r.n_tokens, r.n_known, r.train_tokens) for r in sorted(out)] in ([(3, 0, 0), (1, 0, 0)], [(1, 0, 0), (3, 0, 0)])
 
 
@@ -113,14 +113,56 @@ def test_rounds_raise_the_likelihood(spark, sf_docs):
     assert known.unigram.sum() == pytest.approx(1) and model.emit.sum(axis=0) == pytest.approx(np.ones(4))
 
 
-def test_every_round_reads_every_training_document_until_it_settles(spark, monkeypatch):
+@pytest.mark.parametrize("share", [1, 8])
+def test_last_rounds_read_every_training_document_until_they_settle(spark, monkeypatch, share):
     rows = spark.range(5000).selectExpr("id AS rid", "id % 10 = 0 AS held_out", "1L AS n_tokens", "unhex('00000000') AS symbols")
-    read, likes = [], iter([-100.0, -60.0, -50.0, -49.99, -1.0])
+    read, likes = [], iter([-9.0, -9.0] * (share > 1) + [-100.0, -60.0, -50.0, -49.99, -1.0])
 
     def round_of(data, model, unigram):
         read.append(data.count())
         return model, next(likes)
 
     monkeypatch.setattr(hmm, "baum_welch", round_of)
-    hmm.train(rows, np.array([0.5, 0.5]), 2)
-    assert read == [4500] * 4
+    hmm.train(rows, np.array([0.5, 0.5]), 2, share)
+    assert read[-4:] == [4500] * 4 and len(read) == 4 + 2 * (share > 1)
+    assert all(400 < n < 700 for n in read[:-4])
+
+
+def test_scores_are_those_of_the_model(spark, sf_docs):
+    """The operator's score of each text is the forward recursion of its own model over classes, times each rare token's share of its class."""
+    fitted = {}
+    original = hmm.train
+
+    def keep(*args, **kwargs):
+        fitted["model"] = original(*args, **kwargs)
+        return fitted["model"]
+
+    docs = [(r.doc_id, r.text) for r in sf_docs.limit(60).collect()]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    hmm.train, out = keep, None
+    try:
+        out = {r.doc_id: r.score for r in hmm.scores(frame, head=40).collect()}
+    finally:
+        hmm.train = original
+    model = fitted["model"]
+    counts = Counter(x for k, t in docs if zlib.crc32(str(k).encode()) % 10 for x in tokens(t))
+    kept = hmm.symbols(hmm.token_counts(frame.where(~hmm.held_out(frame.doc_id)).selectExpr("cast(text AS binary) AS data")), 40)
+    for key, text in docs:
+        alpha, total = model.start, 0.0
+        for i, token in enumerate(tokens(text)):
+            raw = b"" if token is None else token.encode()
+            number = kept.numbers.get(raw)
+            if number is None:
+                at = hmm.class_of(raw)
+                total += math.log10((counts[token] + hmm.ADDED) / kept.class_totals[at])
+                number = len(kept.counts) + at
+            alpha = (alpha if i == 0 else alpha @ model.step) * model.emit[number]
+            total += math.log10(alpha.sum())
+            alpha = alpha / alpha.sum()
+        assert out[key] == pytest.approx(total, abs=1e-6)
+
+
+def test_runs_cover_every_token():
+    for sizes in ([1], [3, 8, 16, 17, 1], [4, 4], [40]):
+        runs = hmm.training_runs(np.zeros(sum(sizes), int), np.array(sizes), 8)
+        assert runs.sum() == sum(sizes) and runs.max() <= 8 and set(np.cumsum(sizes)) <= set(np.cumsum(runs))
