@@ -9,6 +9,7 @@ resolved by exact integer products.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -18,19 +19,20 @@ from pyspark.sql import DataFrame, Window, functions as F
 BLOCK = 8192  # rows of an index block
 CHUNK = 2048  # queries that meet a block at once
 LOW_BITS = 4  # slices left out of the sums
-LIMIT = 2**26  # quantised components from here on have no exact 64-bit products
+LIMIT = 2**57  # of quantised components; scores of up to 2048 such fit into 38 digits
+LONGS = (-(2**63), 2**63 - 1)
 
 BLOCKS = "block int, dim int, ids binary, values binary, slices binary, bits int, low bigint"
 QUERIES = "dim int, q_ids binary, q_values binary"
-FOUND = "query_id bigint, vec_id bigint, score bigint"
+FOUND = "query_id bigint, vec_id bigint, score decimal(38,0)"
 
 
 def quantised(vectors: DataFrame, key: str, vector: str, unit: int) -> DataFrame:
-    """``id`` and integer ``values``; vectors that are null, empty, hold null, non-finite or huge components, or lack an id drop out."""
+    """``id`` and integer ``values``; vectors that are null, hold null, non-finite or boundless components, or lack an id drop out."""
     x = F.col(vector).cast("array<double>")
     sound = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float(LIMIT // unit))))
-    return vectors.where(F.col(key).isNotNull() & F.col(vector).isNotNull()).where(F.coalesce(sound, F.lit(False)) & (F.size(x) > 0)).select(
-        F.col(key).cast("bigint").alias("id"), F.transform(x, lambda v: F.floor(v * F.lit(float(unit))).cast("int")).alias("values"))
+    return vectors.where(F.col(key).isNotNull() & F.col(vector).isNotNull()).where(F.coalesce(sound, F.lit(False))).select(
+        F.col(key).cast("bigint").alias("id"), F.transform(x, lambda v: F.floor(v * F.lit(float(unit))).cast("bigint")).alias("values"))
 
 
 def _by_dim(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -49,15 +51,24 @@ def _by_dim(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray
 
 def slice_block(matrix: np.ndarray) -> tuple[np.ndarray, int, int]:
     """Bitmaps (dim, bit, word) of the values above the block's lowest value, number of bits, lowest value."""
-    low = int(matrix.min())
+    low = int(matrix.min(initial=0))
     above = (matrix - low).T.astype(np.int64)
-    bits = max(1, int(above.max()).bit_length())
+    bits = max(1, int(above.max(initial=0)).bit_length())
     rows = np.zeros((above.shape[0], -(-above.shape[1] // 64) * 64), np.int64)
     rows[:, : above.shape[1]] = above
     planes = [np.packbits((rows >> b & 1).astype(np.uint8), axis=1, bitorder="little").view(np.uint64) for b in range(bits)]
     return np.stack(planes, axis=1), bits, low
 
 
+def _packed(matrix: np.ndarray) -> bytes:
+    """Four bytes a component where they suffice, else eight."""
+    return matrix.astype(np.int32 if np.abs(matrix).max(initial=0) < 2**31 else np.int64).tobytes()
+
+
+def _unpacked(data: bytes, rows: int, dim: int) -> np.ndarray:
+    return np.frombuffer(data, np.int64 if dim and len(data) == 8 * rows * dim else np.int32).reshape(rows, dim).astype(np.int64)
+
+
 def index_blocks(vectors: DataFrame, blocks: int) -> DataFrame:
     """The index: one row per block and dimension, every vector in exactly one."""
     def build(batches):
@@ -67,7 +78,7 @@ def index_blocks(vectors: DataFrame, blocks: int) -> DataFrame:
             ids, matrix = ids[order], matrix[order]
             slices, bits, low = slice_block(matrix)
             yield pa.RecordBatch.from_pylist([{
-                "block": block, "dim": dim, "ids": ids.astype(np.int64).tobytes(), "values": matrix.astype(np.int32).tobytes(),
+                "block": block, "dim": dim, "ids": ids.astype(np.int64).tobytes(), "values": _packed(matrix),
                 "slices": slices.tobytes(), "bits": bits, "low": low}], schema=_BLOCK_SCHEMA)
     return vectors.repartition(blocks).mapInArrow(build, BLOCKS)
 
@@ -76,14 +87,14 @@ _BLOCK_SCHEMA = pa.schema([
     ("block", pa.int32()), ("dim", pa.int32()), ("ids", pa.binary()), ("values", pa.binary()), ("slices", pa.binary()),
     ("bits", pa.int32()), ("low", pa.int64())])
 _QUERY_SCHEMA = pa.schema([("dim", pa.int32()), ("q_ids", pa.binary()), ("q_values", pa.binary())])
-_FOUND_SCHEMA = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+_FOUND_SCHEMA = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.decimal128(38, 0))])
 
 
 def query_chunks(vectors: DataFrame, chunks: int) -> DataFrame:
     def pack(batches):
         for dim, ids, matrix in _by_dim(batches):
             yield pa.RecordBatch.from_pylist(
-                [{"dim": dim, "q_ids": ids.astype(np.int64).tobytes(), "q_values": matrix.astype(np.int32).tobytes()}], schema=_QUERY_SCHEMA)
+                [{"dim": dim, "q_ids": ids.astype(np.int64).tobytes(), "q_values": _packed(matrix)}], schema=_QUERY_SCHEMA)
     return vectors.repartition(chunks).mapInArrow(pack, QUERIES)
 
 
@@ -121,7 +132,7 @@ def scaled_sums(slices: np.ndarray, bits: int, query: np.ndarray, low_bits: int)
         if len(chosen):
             for bit in range(chosen.shape[1]):
                 columns.setdefault(power + bit, []).append(chosen[:, bit])
-    return add_bitmaps(columns), int(size.sum()) * ((1 << shift) - 1), shift
+    return add_bitmaps(columns), sum(size.tolist()) * ((1 << shift) - 1), shift
 
 
 def top_value(planes: list, alive: np.ndarray, k: int) -> int:
@@ -165,8 +176,12 @@ def search_block(ids, matrix, slices, bits, query_id, query, k, low_bits=LOW_BIT
         floor = top_value(planes, alive, k) - scaled_error
         alive = at_least(planes, alive, floor)
     rows = np.flatnonzero(np.unpackbits(alive.view(np.uint8), bitorder="little"))
-    scores = matrix[rows].astype(np.int64) @ query.astype(np.int64)
-    best = np.lexsort((ids[rows], -scores))[:k]
+    most = bits + int(np.abs(query).max(initial=0)).bit_length() + len(query).bit_length() + 1
+    if most + int(np.abs(matrix).max(initial=0)).bit_length() - bits < 63:
+        scores = matrix[rows].astype(np.int64) @ query.astype(np.int64)
+    else:  # whole numbers of any size
+        scores = matrix[rows].astype(object) @ query.astype(object)
+    best = sorted(range(len(rows)), key=lambda i: (-scores[i], ids[rows[i]]))[:k] if scores.dtype == object else np.lexsort((ids[rows], -scores))[:k]
     return ids[rows][best], scores[best]
 
 
@@ -176,8 +191,9 @@ def top_k(
 ) -> DataFrame:
     """The k vectors with the highest integer inner product for each query: ``query_id``, ``rank`` from 1, ``vec_id``, ``score``.
 
-    ``queries`` has the columns of ``vectors``.  Components are floor(unit * x).  Vectors without an id, and null, empty or unsound ones, take no
-    part on either side; only vectors of one length are compared; a vector never finds its own id, repeated rows included; repeated
+    ``queries`` has the columns of ``vectors``.  Components are floor(unit * x).  Vectors without an id, and null ones or such with null,
+    non-finite or boundless (2^57 and more) components take no part on either side; a score that a 64-bit number cannot hold counts as it is
+    and is shown as the nearest one that it can; empty vectors score 0 with each other; only vectors of one length are compared; a vector never finds its own id, repeated rows included; repeated
     rows of another id are found as often as they occur; equal scores go to the smaller id; no vectors or no queries give no rows.
     Index blocks and query chunks of bounded size are paired, and each pair returns at most k rows a query.
     """
@@ -191,19 +207,20 @@ def top_k(
         for batch in batches:
             for row in batch.to_pylist():
                 dim, ids = row["dim"], np.frombuffer(row["ids"], np.int64)
-                matrix = np.frombuffer(row["values"], np.int32).reshape(-1, dim)
-                slices = np.frombuffer(row["slices"], np.uint64).reshape(dim, row["bits"], -1)
+                matrix = _unpacked(row["values"], len(ids), dim)
+                slices = np.frombuffer(row["slices"], np.uint64).reshape(dim, row["bits"], -(-len(ids) // 64))
                 asked_ids = np.frombuffer(row["q_ids"], np.int64)
-                asked_values = np.frombuffer(row["q_values"], np.int32).reshape(-1, dim)
+                asked_values = _unpacked(row["q_values"], len(asked_ids), dim)
                 for query_id, query in zip(asked_ids, asked_values, strict=True):
                     found, scores = search_block(ids, matrix, slices, row["bits"], query_id, query, k)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(found), query_id)), pa.array(found), pa.array(scores)], schema=_FOUND_SCHEMA)
+                        [pa.array(np.full(len(found), query_id)), pa.array(found), pa.array([Decimal(int(x)) for x in scores], pa.decimal128(38, 0))], schema=_FOUND_SCHEMA)
 
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return (
         pairs.mapInArrow(search, FOUND).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-        .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+        .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", F.greatest(
+            F.lit(LONGS[0]), F.least(F.lit(LONGS[1]), F.col("score"))).cast("bigint").alias("score"))
     )
 
 
