@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from terraloom.llm.common import WORD, broadcast_if_small, stored
+from terraloom.operators.keys import attach_row_ids
 
 WEIGHTS = (3, 1, 2)  # fixed values: the weights of the sources in code point order, repeating
 SHARE = 1.5
@@ -29,8 +30,29 @@ def uniform(key: Column, seed: str = SEED) -> Column:
     return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint").cast("double") + F.lit(0.5)) / F.lit(float(2**52))
 
 
+def _running(df: DataFrame, order: list, sums: dict[str, str], few: int) -> DataFrame:
+    """Add ``place`` from 1 in the given order, and for each name the sum of a column over all rows before.
+
+    Up to ``few`` rows are ordered in one task; more are placed by ranges, and summed in blocks of that many rows and over blocks.
+    """
+    if df.count() <= few:
+        before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        return df.select("*", F.row_number().over(Window.orderBy(*order)).cast("bigint").alias("place"), *[
+            F.coalesce(F.sum(c).over(before), F.lit(0)).alias(name) for name, c in sums.items()])
+    placed = attach_row_ids(df, order, "place").withColumn("_block", F.floor(F.col("place") / few))
+    if not sums:
+        return placed.withColumn("place", F.col("place") + 1).drop("_block")
+    blocks = placed.groupBy("_block").agg(*[F.sum(c).alias(f"_{name}") for name, c in sums.items()])
+    earlier = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    totals = blocks.select("_block", F.lit(0).alias("_none"), *[F.coalesce(F.sum(f"_{name}").over(earlier), F.lit(0)).alias(f"_{name}") for name in sums])
+    within = Window.partitionBy("_block").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    found = placed.join(totals, "_block").select("*", *[
+        (F.col(f"_{name}") + F.coalesce(F.sum(c).over(within), F.lit(0))).alias(name) for name, c in sums.items()])
+    return found.withColumn("place", F.col("place") + 1).drop("_block", "_none", *[f"_{name}" for name in sums])
+
+
 def source_targets(
-    sizes: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most: int = MOST_COPIES,
+    sizes: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most: int = MOST_COPIES, few: int = SMALL,
 ) -> DataFrame:
     """Words wanted of each source, given one row per source with ``source`` and ``source_size``.
 
@@ -38,21 +60,17 @@ def source_targets(
     ``most`` times its source's size; the rest is shared by the others.  With the sources ordered by cap per weight, the level that
     remains when all earlier ones are full rises as long as sources fill up and falls after that, so the highest one holds.
     """
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
-    everything = Window.partitionBy(F.lit(0))
-    by_cap = Window.partitionBy(F.lit(0)).orderBy(F.col("cap") / F.col("weight"), "place")
-    before = by_cap.rowsBetween(Window.unboundedPreceding, -1)
-    wanted = F.lit(float(share)) * F.sum("source_size").over(everything).cast("double")
-    left = wanted - F.coalesce(F.sum("cap").over(before), F.lit(0)).cast("double")
-    free = F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0))
+    named = stored(_running(sizes.select("source", "source_size"), [F.col("source").asc_nulls_last()], {}, few), "mix-named")
     turn = ((F.col("place") - 1) % len(weights) + 1).cast("int")
+    weighed = named.select(
+        "source", "source_size", F.col("place").alias("named"),
+        F.element_at(F.array(*[F.lit(w).cast("bigint") for w in weights]), turn).alias("weight"), (F.col("source_size") * most).alias("cap"))
+    every, free = weighed.agg(F.coalesce(F.sum("source_size"), F.lit(0)), F.coalesce(F.sum("weight"), F.lit(0))).first()
+    ordered = stored(_running(weighed, [F.col("cap") / F.col("weight"), F.col("named")], {"full": "cap", "taken": "weight"}, few), "mix-caps")
+    wanted = F.lit(float(share)) * F.lit(every).cast("double")
+    level = ordered.agg(F.max((wanted - F.col("full").cast("double")) / (F.lit(free) - F.col("taken")).cast("double"))).first()[0]
     return (
-        sizes.select("source", "source_size", F.row_number().over(by_name).alias("place"))
-        .withColumn("weight", F.element_at(F.array(*[F.lit(w).cast("bigint") for w in weights]), turn))
-        .withColumn("cap", F.col("source_size") * most)
-        .withColumn("level", left / free.cast("double"))
-        .withColumn("level", F.max("level").over(everything))
-        .withColumn("target", F.least(F.col("cap").cast("double"), F.col("weight").cast("double") * F.col("level")))
+        ordered.withColumn("target", F.least(F.col("cap").cast("double"), F.col("weight").cast("double") * F.lit(level)))
         .withColumn("each", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)))
         .withColumn("whole", F.floor("each"))
         .withColumn("lack", F.col("target") - (F.col("whole") * F.col("source_size")).cast("double"))
@@ -61,6 +79,21 @@ def source_targets(
     )
 
 
+def with_draws(docs: DataFrame, key: str) -> DataFrame:
+    """Documents with ``_draw``, a number in (0, 1) from their key.
+
+    Where any key repeats, or more than one row has none, a document's number comes from its key, a hash of its whole row and, among equal
+    rows, its turn; equal rows are counted before they meet and unfolded again, so they are decided one by one and never gathered.
+    """
+    keys = docs.groupBy(F.col(key).alias("_key")).count().where("count > 1")
+    if keys.isEmpty():
+        return docs.withColumn("_draw", uniform(F.col(key)))
+    quoted = [F.col(f"`{c}`") for c in docs.columns]
+    each = docs.groupBy(*quoted).agg(F.count("*").alias("_n")).withColumn("_turn", F.explode(F.sequence(F.lit(1).cast("bigint"), "_n")))
+    name = F.concat_ws(":", F.coalesce(F.col(key).cast("string"), F.lit("")), F.xxhash64(*quoted).cast("string"), F.col("_turn").cast("string"))
+    return each.select(*quoted, uniform(name).alias("_draw"))
+
+
 def by_source(df: DataFrame, sources: DataFrame) -> DataFrame:
     """Attach the row of each source, the null source included."""
     named = sources.withColumnRenamed("source", "_named")
@@ -73,9 +106,8 @@ def pareto_rank(draw: Column, chance: Column) -> Column:
 
 
 def _sized(docs: DataFrame, key: str, text: str, source: str) -> DataFrame:
-    return docs.select(
-        F.col(key).alias("key"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"),
-    ).withColumn("draw", uniform(F.col("key")))
+    return with_draws(docs, key).select(
+        F.col(key).alias("key"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), F.col("_draw").alias("draw"))
 
 
 def mixture(
@@ -84,8 +116,8 @@ def mixture(
 ) -> tuple[DataFrame, DataFrame]:
     """The sized documents, and per source its target, whole copies and the last rank that is taken once more.
 
-    Both are stored.  A null text has size 0; a null source is a source of its own; a null key draws as an empty one; rows of
-    one key and source share one draw and so one decision; empty documents are ranked but take nothing; no documents give two
+    Both are stored.  A null text has size 0; a null source is a source of its own; rows of one key, or without one, are
+    decided one by one; empty documents are ranked but take nothing; no documents give two
     empty tables.  A histogram of ranks over ``BINS`` bins finds the bin where the lacking words are reached, and only its
     documents are ordered, so no source, however large, is sorted in one task.
     """
@@ -144,9 +176,9 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
 def mixed_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
     """The documents themselves, each repeated as often as it is taken; documents without a word are not in the mix."""
     _, limits = mixture(docs, key, text, source, **options)
-    whole = docs.select(
+    whole = with_draws(docs, key).select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(key).alias("key"),
-        F.col(source).alias("source"), uniform(F.col(key)).alias("draw"), word_count(F.col(text)).alias("size"))
+        F.col(source).alias("source"), F.col("_draw").alias("draw"), word_count(F.col(text)).alias("size"))
     return (
         taken_copies(whole, limits).where((F.col("copies") > 0) & (F.col("size") > 0))
         .select("row", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies"))).select("row.*")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from terraloom.llm import mixing
 from tests.compare import connect, differences
@@ -48,6 +49,26 @@ def test_takes_near_the_target(spark):
     assert sorted(mixing.mix(docs).collect()) == sorted(out)
 
 
+@pytest.mark.parametrize("few", [1, 2, 3])
+def test_many_sources_are_placed_by_ranges(spark, few):
+    rng = random.Random(few)
+    sizes = {s: rng.choice([0, 1, 7, 1000, 50_000]) * rng.randint(1, 9) for s in [None, "", "a", "B", "é", "z9", "zz", "b", "c"]}
+    df = spark.createDataFrame(list(sizes.items()), "source string, source_size bigint")
+    assert {r.source: r.target for r in mixing.source_targets(df, few=few).collect()} == pytest.approx(plain_targets(sizes))
+
+
+def test_rows_of_one_key_are_decided_one_by_one(spark):
+    """Ten thousand rows without a key, a third of them equal, and as many of one key: every source comes near its target."""
+    rows = [(None, "w " * (1 + i % 7), None, "a") for i in range(7000)] + [(None, "w w w", None, "a")] * 3000 + [(5, "x " * 10, None, "b")] * 10_000
+    rows += [(i, "y " * 10, None, "c") for i in range(10, 3000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").withColumn("row", F.lit("x"))
+    out = mixing.mix(docs).groupBy("target").agg(F.sum("taken").alias("taken"), F.count("*").alias("n")).collect()
+    assert sorted(r.n for r in out) == [2990, 10_000, 10_000] and all(abs(r.taken - r.target) <= 10 for r in out)
+    again = mixing.mixed_documents(docs.repartition(7))
+    words = again.groupBy("source").agg(F.sum(mixing.word_count(F.col("text"))).alias("n")).collect()
+    assert again.columns == docs.columns and sorted(r.n for r in words) == sorted(r.taken for r in out)
+
+
 def test_awkward_rows(make_docs, awkward):
     rows = [(*r, None, ["s", None, ""][i % 3]) for i, r in enumerate(awkward)]
     out = mixing.mix(make_docs(rows, True)).collect()
