@@ -96,6 +96,7 @@ NAMES = {
         for tail in (("", " only") if kind == "only" else (" or later", " or any later version"))))
      for short, long, versions in (("gpl", "", ("2.0", "3.0")), ("lgpl", "lesser ", ("2.1", "3.0")), ("agpl", "affero ", ("3.0",)))
      for v in versions for kind in ("only", "or-later")}
+UNKNOWN = "spdx-unknown"  # identifier of an SPDX name that is not in the table
 SPDX = {n.lower(): ident for n, (ident, *_) in NAMES.items()} | {
     old: NAMES[n][0] for n in NAMES if n.startswith(("GPL", "LGPL", "AGPL"))
     for old in [n.lower().removesuffix("-only") if n.endswith("-only") else n.lower().removesuffix("-or-later") + "+"]}
@@ -103,10 +104,10 @@ RULES = BASE_RULES + tuple(
     (f"{name.upper()}-{v if '.' in v else v + '.0'}-or-later", wanted) for name, versions in _GNU.values() for v in versions
     for wanted in (("gpl-free", f"{name}-{v}-later"), ("gpl-free", f"{name}-terms", f"later-{v}")) if (name, len(wanted)) != ("gpl", 2)
 ) + (("ISC", ("isc-grant",)), ("MPL-2.0", ("mpl-2-form",)), ("Unlicense", ("unlicense-grant",))) + tuple(
-    (name, (ident,)) for name, (ident, *_) in NAMES.items() if (name, (ident,)) not in BASE_RULES)
+    (name, (ident,)) for name, (ident, *_) in NAMES.items() if (name, (ident,)) not in BASE_RULES) + (("LicenseRef-unknown", (UNKNOWN,)),)
 LEAD = (
     "^(?:(?:this|the)(?: [a-z0-9./+-]+){1,4} (?:is|are) )?(?:hereby |also |dual )?(?:released|licensed|distributed|available|made available|published|provided)"
-    " under (?:the )?(?:terms of the )?")
+    " under (?:either(?: of)? |both )?(?:the )?(?:terms of (?:either(?: of)? |both )?(?:the )?)?")
 TAIL = "(?: see (?:the )?(?:file )?licen[sc]e.*)$"
 TAG = "spdx-license-identifier "
 # Before cutting: comment and list marks at line starts go, and an SPDX line is a sentence of its own.
@@ -114,6 +115,14 @@ MARKS = r"(?m)^[ \t]*(?:(?://+[!/]?|/\*+!?|\*+/?|#+|--+|;+|%+|<!--|[-+\u2022])(?
 SPDX_LINE = r"(?i)SPDX-License-Identifier:[ \t]*([^\r\n]*)"
 # A licence's name may be wrapped before a capitalised word.
 WRAPPED = r"(GNU|Lesser|Affero|General|Public|Free|Software|Mozilla|Apache)[ \t]*\r?\n[ \t]*(Lesser|Affero|General|Public|License|Software|Foundation)\b"
+# A line that ends with one of these goes on in the next, whatever that begins with.
+GOES_ON = r"(?i)\b(the|this|of|in|and|or|to|a|an|any|all|under|for|with|without|by|from|that|which)[ \t]*\r?\n[ \t]*(?=\p{Lu})"
+# Names that a licence leaves to its user: what stands there is replaced by what the known sentence has.
+SLOTS = (
+    ("^neither the names? of .+ nor the names of (?:its|any|the|their) contributors may be used",
+     "neither the name of the copyright holder nor the names of its contributors may be used"),
+    ("^this software is provided by .+ as is and any express", "this software is provided by the copyright holders and contributors as is and any express"),
+)
 # A sentence ends with a mark before white space or the end, at an empty line, and at a line end before a capitalised word; other line ends are
 # wraps.  Replacements of those by CUT, in order:
 CUT = "\x01"
@@ -125,11 +134,15 @@ BETWEEN = "((?:<[^>]*>)*?)"
 def sentences(text: Column) -> Column:
     """Normalised sentences of a text in order, empty ones included; a null text is one empty sentence."""
     marked = F.regexp_replace(F.coalesce(text, F.lit("")), MARKS, "")
-    marked = F.regexp_replace(marked, WRAPPED, "$1 $2")
+    marked = F.regexp_replace(F.regexp_replace(marked, WRAPPED, "$1 $2"), GOES_ON, "$1 ")
     marked = F.regexp_replace(marked, SPDX_LINE, f"{CUT}{TAG}$1{CUT}")
     for pattern, cut in ENDS:
         marked = F.regexp_replace(marked, pattern, cut.format("$1"))
-    return F.transform(F.split(marked, CUT), lambda s: F.regexp_replace(F.trim(F.regexp_replace(F.lower(s), NOISE, " ")), "(?: [/+-]+)+$", ""))
+    plain = F.transform(F.split(marked, CUT), lambda s: F.regexp_replace(F.trim(F.regexp_replace(F.lower(s), NOISE, " ")), "(?: [/+-]+)+$", ""))
+    for pattern, wanted in SLOTS:
+        start = pattern.strip("^").split(" ", 1)[0]  # most sentences begin otherwise
+        plain = F.transform(plain, lambda s: F.when(s.startswith(start), F.regexp_replace(s, pattern, wanted)).otherwise(s))
+    return plain
 
 
 def identifiers(text: Column, known: dict[str, str]) -> Column:
@@ -140,10 +153,14 @@ def identifiers(text: Column, known: dict[str, str]) -> Column:
     names = {n: ident for ident, *others in NAMES.values() for n in others} | SPDX
 
     def one(s: Column) -> Column:
-        named = F.when(s.rlike(LEAD), lookup(names, F.regexp_replace(F.regexp_replace(s, LEAD, ""), TAIL, "")))
-        whole = F.array(F.coalesce(lookup(known, s), named))
-        listed = F.transform(F.split(F.substring(s, len(TAG) + 1, 10_000), " (?:or|and) "), lambda x: lookup(SPDX, F.regexp_replace(x, " with .*$", "")))
-        return F.when(s.startswith(TAG), listed).otherwise(whole)
+        name = F.regexp_replace(F.regexp_replace(s, LEAD, ""), TAIL, "")
+        # One name, "or later" included, or several of which each is known or not.
+        several = F.transform(F.split(name, " (?:or|and|and/or) (?:under )?(?:the )?(?:terms of the )?"), lambda x: lookup(names, x))
+        named = F.when(lookup(names, name).isNotNull(), F.array(lookup(names, name))).otherwise(several)
+        whole = F.when(lookup(known, s).isNotNull(), F.array(lookup(known, s))).when(s.rlike(LEAD), named)
+        listed = F.transform(F.split(F.substr(s, F.lit(len(TAG) + 1)), " (?:or|and) "), lambda x: F.coalesce(
+            lookup(SPDX, F.regexp_replace(x, " with .*$", "")), F.lit(UNKNOWN)))
+        return F.coalesce(F.when(s.startswith(TAG), listed).otherwise(whole), F.array().cast("array<string>"))
 
     return F.array_compact(F.flatten(F.transform(sentences(text), one)))
 

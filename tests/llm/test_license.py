@@ -95,5 +95,16 @@ def test_marked_lines_and_more_licences(make_docs):
         "- Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
         "documentation and/or other materials provided with the distribution.": "BSD-2-Clause",
     }
+    bsd = next(t for t, found in want.items() if found == "BSD-2-Clause")
+    want |= {
+        bsd + "\n- Neither the name of the University of Somewhere nor the names of its contributors may be used to endorse or promote products "
+        "derived from this software without specific prior written permission.": "BSD-3-Clause",
+        MIT.replace("copy of this software", "copy of\nthis software").replace('to deal in the Software', 'to deal in the\nSoftware').replace("copies of the Software,", "copies of the\n  Software,"): "MIT",
+        "// SPDX-License-Identifier: BSL-1.0": "LicenseRef-unknown",
+        "SPDX-License-Identifier: " + "MIT OR " * 2000 + "ISC": "MIT,ISC",
+        "This project is licensed under the terms of the MIT license and the Apache License, Version 2.0.": "MIT,Apache-2.0",
+        "Licensed under either of Apache License, Version 2.0 or MIT license.": "MIT,Apache-2.0",
+        "This work is licensed under the GNU General Public License version 2 or later.": "GPL-2.0-or-later",
+    }
     out = {r.doc_id: r.licences for r in license.licences(make_docs(list(enumerate(want)))).collect()}
     assert {t: out[i] for i, t in enumerate(want)} == want
