@@ -38,10 +38,10 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write a step to the shared folder and read it back: its lineage ends there, and lost executors cost nothing."""
     path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -51,6 +51,12 @@ def forget(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def forget_stored(df: DataFrame) -> None:
+    """The same for what ``stored`` returned."""
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        forget(df.sparkSession, folder)
+
+
 def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
     """Broadcast a stored table of at most ``rows`` short rows; a larger one is joined by shuffle."""
     return F.broadcast(df) if df.count() <= rows else df
