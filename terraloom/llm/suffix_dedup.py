@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from terraloom.llm.common import as_batch, forget, record_batches, shared_path, stored, text_bytes
+from terraloom.llm.common import as_batch, forget, forget_stored, record_batches, shared_path, stored, text_bytes
 
 LENGTH = 200
 GRAM = 32  # bytes hashed at each position
@@ -30,6 +30,8 @@ BUCKET_BYTES = 16 << 20
 BATCH = 40_000  # documents of a shard built together, whole anchor groups
 HOT = 50_000  # occurrences of an anchor above which its strings are counted one by one
 SEND_BYTES = 4 << 20
+BITS = 26  # of a slot number of the table of repeated anchors: 8 MB
+BLOCK = 1 << 16  # bytes of that table sent as one
 # Odd multipliers.
 MIX = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD))
 
@@ -70,6 +72,24 @@ def anchors(data: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray,
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
+def without_repeats(data: bytes, found: tuple[np.ndarray, ...], length: int = LENGTH) -> tuple[tuple[np.ndarray, ...], np.ndarray, np.ndarray]:
+    """Anchors without those whose strings are, byte for byte, those of the anchor before, and the first and last starts of all such strings.
+
+    A stretch of short period thus keeps one anchor for each of its parts, however long it is.
+    """
+    at, lo, hi, h = found
+    alike = np.flatnonzero((h[1:] == h[:-1]) & (np.diff(hi - lo) == 0) & (np.diff(at - lo) == 0))
+    same = [i for i in alike.tolist() if data[lo[i]: hi[i] + length] == data[lo[i + 1]: hi[i + 1] + length]]
+    if not same:
+        return found, lo[:0], hi[:0]
+    again = np.zeros(len(at) + 1, bool)
+    again[np.array(same) + 1] = True
+    either = again[:-1] | again[1:]
+    first, last = lo[either], hi[either]
+    opens = np.flatnonzero(np.concatenate([[True], first[1:] > last[:-1] + 1]))
+    return tuple(x[~again[:-1]] for x in found), first[opens], last[np.append(opens[1:], len(first)) - 1]
+
+
 def repeated_starts(documents: list[bytes], places: np.ndarray, length: int = LENGTH) -> np.ndarray:
     """(document, start) flags: whether the string from a start on is found at the same place of another document's anchor.
 
@@ -189,20 +209,64 @@ class Texts:
 
 _ANCHORS = pa.schema([(c, pa.int64()) for c in ("k1", "k2", "h", "at", "lo", "hi")])
 _CONTEXTS = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("h", pa.int64()), ("place", pa.int32()), ("lo", pa.int64()), ("context", pa.binary())])
+_BITS = pa.schema([("block", pa.int32()), ("bits", pa.binary())])
 _SPANS = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("first", pa.int64()), ("last", pa.int64())])
 
 
-def all_anchors(texts: DataFrame, length: int) -> DataFrame:
+def all_anchors(texts: DataFrame, length: int, wanted: np.ndarray | None = None) -> DataFrame:
+    """Anchors of all texts; with a table of bits only those whose hash may be wanted, and as rows without a hash the starts that repeat within a stretch."""
+    sent = texts.sparkSession.sparkContext.broadcast(wanted)
+
     def find(batches):
         for batch in batches:
             for k1, k2, data in zip(*(batch.column(c) for c in ("k1", "k2", "data")), strict=True):
-                at, lo, hi, h = anchors(data.as_py(), length)
+                data = data.as_py()
+                (at, lo, hi, h), first, last = without_repeats(data, anchors(data, length), length)
+                known = np.zeros(len(at), bool)
+                if sent.value is not None:
+                    kept = is_set(sent.value, slots(h))
+                    at, lo, hi, h = (np.concatenate([x[kept], y]) for x, y in ((at, first), (lo, first), (hi, last), (h, np.zeros(len(first), np.int64))))
+                    known = np.arange(len(at)) >= kept.sum()
                 if len(at):
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(at), k.as_py())) for k in (k1, k2)] + [pa.array(x) for x in (h, at, lo, hi)], schema=_ANCHORS)
+                        [pa.array(np.full(len(at), k.as_py())) for k in (k1, k2)] + [pa.array(h, mask=known)] + [pa.array(x) for x in (at, lo, hi)],
+                        schema=_ANCHORS)
     return texts.select("k1", "k2", "data").mapInArrow(find, "k1 bigint, k2 bigint, h bigint, at bigint, lo bigint, hi bigint")
 
 
+def slots(hashes: np.ndarray) -> np.ndarray:
+    return (hashes.view(np.uint64) >> np.uint64(64 - BITS)).astype(np.int64)
+
+
+def is_set(table: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return table[at >> 3] >> (at & 7).astype(np.uint8) & 1 == 1
+
+
+def slot_table(hashes: DataFrame) -> np.ndarray:
+    """A table of bits, of fixed size, in which the slots of all hashes ``h`` are set; tasks send the blocks that they touch."""
+    def mark(batches):
+        table = np.zeros(1 << (BITS - 3), np.uint8)
+        for batch in batches:
+            at = slots(batch.column("h").to_numpy(zero_copy_only=False))
+            np.bitwise_or.at(table, at >> 3, (1 << (at & 7)).astype(np.uint8))
+        blocks = table.reshape(-1, BLOCK)
+        yield from record_batches(_BITS, [(int(b), blocks[b].tobytes()) for b in np.flatnonzero(blocks.any(axis=1))], 64)
+
+    def merge(batches):
+        found: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, raw in zip(batch.column("block").to_pylist(), batch.column("bits"), strict=True):
+                part = np.frombuffer(raw.as_py(), np.uint8)
+                found[block] = found[block] | part if block in found else part
+        yield from record_batches(_BITS, [(b, x.tobytes()) for b, x in found.items()], 64)
+
+    table = np.zeros(1 << (BITS - 3), np.uint8)
+    marked = hashes.select("h").mapInArrow(mark, "block int, bits binary").repartition("block").mapInArrow(merge, "block int, bits binary")
+    for block, raw in marked.collect():  # 8 MB at most
+        table[block * BLOCK: (block + 1) * BLOCK] = np.frombuffer(raw, np.uint8)
+    return table
+
+
 def contexts(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """The bytes of all strings of each wanted anchor."""
     lists = wanted.groupBy("k1", "k2").agg(F.collect_list(F.struct("h", "at", "lo", "hi")).alias("anchors"))
@@ -257,7 +321,7 @@ def shard_spans(cuts: DataFrame, length: int, batch_size: int = BATCH) -> DataFr
 def counted_spans(cuts: DataFrame, length: int) -> DataFrame:
     """The same for contexts of very frequent anchors: every string by digest, counted before and split after the shuffle."""
     strings = cuts.select("k1", "k2", "lo", "context", F.explode(F.sequence(F.lit(0), F.octet_length("context") - length)).alias("i")).select(
-        "k1", "k2", (F.col("lo") + F.col("i")).alias("first"), F.md5(F.substring("context", F.col("i") + 1, F.lit(length))).alias("digest"))
+        "k1", "k2", (F.col("lo") + F.col("i")).alias("first"), F.unhex(F.md5(F.substring("context", F.col("i") + 1, F.lit(length)))).alias("digest"))
     # Stored, so that both sides of the join are shuffled for it and a very common string can be split.
     again = stored(strings.groupBy("digest").count().where("count > 1").select("digest"), "strings")
     return strings.join(again, "digest").select("k1", "k2", "first", F.col("first").alias("last"))
@@ -284,11 +348,16 @@ def distinct_results(docs: DataFrame, text: str, length: int, hot: int, batch_si
     texts = Texts(docs, text)
     found = all_anchors(texts.table, length)
     repeated = stored(found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"), "anchors")
+    # Most anchors occur once: those that the table of bits does not know stay where they are.
+    near = all_anchors(texts.table, length, slot_table(repeated)).withColumn("_h", F.coalesce("h", F.xxhash64("k1", "k2", "lo")))
+    matched = near.join(repeated.select(F.col("h").alias("_h"), "n"), "_h", "left").where("n IS NOT NULL OR h IS NULL").drop("_h")
+    matched = stored(matched, "matched")
 
     def cuts(which):
-        return contexts(texts.table, found.join(repeated.where(which).select("h"), "h"), length)
+        return contexts(texts.table, matched.where(F.col("h").isNotNull() & which).drop("n"), length)
 
     spans = shard_spans(cuts(F.col("n") <= hot), length, batch_size)
+    spans = spans.unionByName(matched.where("h IS NULL").select("k1", "k2", F.col("lo").alias("first"), F.col("hi").alias("last")))
     if not repeated.where(F.col("n") > hot).isEmpty():
         spans = spans.unionByName(counted_spans(cuts(F.col("n") > hot), length))
     lists = spans.groupBy("k1", "k2").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
@@ -316,6 +385,7 @@ def distinct_results(docs: DataFrame, text: str, length: int, hot: int, batch_si
     results = stored(joined.mapInArrow(
         remove, "k1 bigint, k2 bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"), "kept")
     texts.forget()
+    forget_stored(repeated), forget_stored(matched)
     return results
 
 

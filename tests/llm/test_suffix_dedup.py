@@ -61,6 +61,18 @@ def test_made_texts(make_docs, seed, hot, batch):
     check(suffix_dedup.repeated_passages(make_docs(rows), hot=hot, batch_size=batch), rows)
 
 
+@pytest.mark.parametrize("unit", ["x", "abcdefgh", "0123456789" * 15])
+def test_stretches_of_a_short_period(make_docs, unit):
+    """A long stretch keeps few anchors, and its bytes go whether or not another text has them."""
+    data = (unit * (1_000_000 // len(unit))).encode()
+    found = suffix_dedup.anchors(data)
+    kept, first, last = suffix_dedup.without_repeats(data, found)
+    assert sum((hi - lo + 200) for lo, hi in zip(kept[1].tolist(), kept[2].tolist())) < 2000 + 4 * len(unit) * 200
+    assert len(first) <= 3 and (last - first + 1).sum() >= len(data) - 3 * 200 - 2 * len(unit)
+    rows = [(1, unit * (60_000 // len(unit))), (2, "start " + unit * (700 // len(unit)) + " end"), (3, "q" + unit * (199 // len(unit)))]
+    check(suffix_dedup.repeated_passages(make_docs(rows)), rows)
+
+
 def test_whole_table(sf_docs):
     check(suffix_dedup.repeated_passages(sf_docs), [(r.doc_id, r.text) for r in sf_docs.collect()])
 
