@@ -21,7 +21,7 @@ from terraloom.llm.common import record_batches, stored, text_bytes
 CAPACITY = 2048
 END_ID = 0
 STEPS = 400  # of the projected gradient
-CACHED_WORDS = 500_000  # per generation of a worker's word cache
+CACHED_WORDS = 800_000  # per generation of a worker's word cache
 LONG_WORD = 200  # bytes; longer words are not cached
 WORD_END = "</w>"  # fixed values: the vocabulary's mark of a word end, and stops that end a run of letters
 STOPS = ".,;:!?"
@@ -31,7 +31,8 @@ RANKED_ROWS = 100_000  # pieces ranked together, roughly
 class WordIds:
     """Token ids of words, as little-endian 32-bit bytes.
 
-    The vocabulary's normaliser and splitter never look across white space, so a text's ids are those of its words in a row.
+    The vocabulary's normaliser, splitter and added tokens never look across white space, so a text's ids are those of its words in a
+    row.  An added token that a word spells out is that token, as the plain call of the tokenizer has it.
     Words of letters, with at most one stop behind them, are encoded in one call: every run of letters or stops ends with a
     token that is marked as a word end, which tells the words apart again.  Two generations of at most ``CACHED_WORDS`` words
     bound the cache, which lives as long as its worker.
@@ -48,15 +49,19 @@ class WordIds:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True  # spares the search for added tokens in words that hold none
+        self.added = [token.content for token in self.plain.get_added_tokens_decoder().values()]
         self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
         self.ends[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(WORD_END)]] = True
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
-    def _encode(self, words: list[str]) -> list[bytes]:
-        return [array("I", one.ids).tobytes() for one in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+    def _encode(self, words: list[str], tokenizer=None) -> list[bytes]:
+        return [array("I", one.ids).tobytes() for one in (tokenizer or self.tokenizer).encode_batch_fast(words, add_special_tokens=False)]
+
+    def _encode_plainly(self, words: list[str]) -> list[bytes]:
+        return self._encode(words, self.plain)
 
     def _encode_together(self, words: list[str], runs: list[int]) -> list[bytes]:
         """Ids of words made of so many runs each; each run has one word end at least, so a total that fits fits everywhere."""
@@ -70,7 +75,7 @@ class WordIds:
 
     def learn(self, words: set[bytes]) -> dict[bytes, bytes]:
         """Ids of words that the young generation lacks."""
-        found, simple, runs, others = {}, [], [], []
+        found, simple, runs, others, marked = {}, [], [], [], []
         for word in words:
             ids = self.old.get(word)
             if ids is not None:
@@ -82,8 +87,8 @@ class WordIds:
             elif text[-1] in STOPS and text[:-1].isalpha():
                 simple.append((word, text)), runs.append(2)
             else:
-                others.append((word, text))
-        for group, encode in ((simple, lambda texts: self._encode_together(texts, runs)), (others, self._encode)):
+                (marked if any(token in text for token in self.added) else others).append((word, text))
+        for group, encode in ((simple, lambda texts: self._encode_together(texts, runs)), (others, self._encode), (marked, self._encode_plainly)):
             if group:
                 for (word, _), ids in zip(group, encode([text for _, text in group]), strict=True):
                     found[word] = ids

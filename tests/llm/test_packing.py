@@ -16,7 +16,6 @@ from terraloom.llm.queries import vocabulary
 def whole_ids(texts):
     from tokenizers import Tokenizer
     tokenizer = Tokenizer.from_file(vocabulary())
-    tokenizer.encode_special_tokens = True
     return [tokenizer.encode(t or "", add_special_tokens=False).ids + [0] for t in texts]
 
 
@@ -62,6 +61,12 @@ def test_words_tokenise_alone():
     assert [np.frombuffer(ids.text_ids(t.encode()), "<u4").tolist() + [0] for t in texts] == whole_ids(texts)
 
 
+def test_added_tokens_are_what_the_plain_call_makes_of_them(make_docs):
+    rows = [(1, "hello <|endoftext|> world"), (2, "a<|endoftext|>b <|startoftext|><|startoftext|>, x"), (3, "<|ENDOFTEXT|> <|endo ftext|>"), (4, "\u3000<|endoftext|>\u3000y.")]
+    assert whole_ids(["hello <|endoftext|> world"]) == [[3306, 49407, 1002, 0]]
+    check(packing.pack(make_docs(rows), vocabulary()), rows)
+
+
 def test_cache_is_bounded(monkeypatch):
     monkeypatch.setattr(packing, "CACHED_WORDS", 10)
     ids = packing.WordIds(vocabulary())
