@@ -19,7 +19,7 @@ HEADLINE = (
     "clean_master hash_encode_256 collision_audit dedup_keep_first upsert_new_wins latest_checkpoint checkpoint_summary "
     "enrich_incremental first_match_lookup widen_seasons attach_row_ids frame_diff sample_grid bbox_overlap links_extract "
     "crawl_depth select_tiles onehot onehot_inverse sparse_slots forward_noise recover_noise mse denoise box_summary bin_scatter "
-    "retry_missing season_files drained_weather mixed_headers bbox_overlap_mixed nearest_sample similar_lookup homolosine_bounds tree_diff "
+    "retry_missing season_files drained_weather mixed_headers bbox_overlap_mixed nearest_sample homolosine_bounds tree_diff "
     "sparse_roundtrip scatter_sample versioned_saves"
 ).split()
 RUNS = 3
