@@ -1,4 +1,5 @@
-"""Operators for training-data pipelines: near-duplicates, repeated passages, licences, archives, packing, quality, language, mixing, search, scoring."""
+"""Operators for training-data pipelines: near-duplicates, repeated passages, licences, archives, packing, quality, language, mixing, search, scoring,
+collocations, fingerprints and audits of filters."""
 
 from __future__ import annotations
 
