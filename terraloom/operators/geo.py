@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from terraloom.functions.urls import contains_any
 from terraloom.operators.enrich import first_per_key
-from terraloom.operators.skew import skew_join
+from terraloom.operators.skew import BLOCK_ROWS, MOST_PARTS, block_join, skew_join
 
 # Area of interest (west, south, east, north) in degrees, and the
 # tiles known to cover it.
@@ -20,7 +20,6 @@ KNOWN_TILES = (
     "tileSG-019-054", "tileSG-019-055", "tileSG-020-052", "tileSG-020-053", "tileSG-020-054", "tileSG-020-055",
 )
 BOUNDS = ("lon0", "lat0", "lon1", "lat1")
-HOT_CELL_ROWS = 200_000
 BOX_CELLS = 8  # of one box at its own level, at most
 LEVELS = (-12, 24)  # finest and coarsest cells of a box join are 2^level degrees wide
 
@@ -94,20 +93,25 @@ def _levelled(boxes: DataFrame, name: str, out: str, prefix: str) -> DataFrame:
         west, east, south, north = _spans(prefix, level)
         return (east - west + 1).cast("double") * (north - south + 1).cast("double") <= BOX_CELLS
 
-    return named.withColumn("_level", F.array_min(F.filter(F.sequence(F.lit(LEVELS[0]), F.lit(LEVELS[1] + 1)), few)))
+    # A box spans 32 cells or more five levels below its own size, and two at most a level above it; no other level need be tried.
+    size = F.greatest(F.col(f"{prefix}lon1") - F.col(f"{prefix}lon0"), F.col(f"{prefix}lat1") - F.col(f"{prefix}lat0"))
+    finest = F.greatest(F.lit(LEVELS[0]), F.floor(F.log2(size)).cast("int") - 4)  # of a point: the finest there is
+    tried = F.sequence(finest, F.least(F.lit(LEVELS[1] + 1), finest + 8))
+    return named.withColumn("_level", F.array_min(F.filter(tried, few)))
 
 
 def _cells(boxes: DataFrame, prefix: str, levels: Column) -> DataFrame:
-    """A row per cell of each box at the given levels: ``_at``, ``_cx``, ``_cy``; there are fewer at coarser levels."""
+    """A row per cell of each box at the given levels: ``_at``, ``_cx``, ``_cy``, and whether it is in the box's first column and row."""
     west, east, south, north = _spans(prefix, F.col("_at"))
     return (
-        boxes.withColumn("_at", F.explode(levels)).withColumn("_cx", F.explode(F.sequence(west, east)))
-        .withColumn("_cy", F.explode(F.sequence(south, north))).drop("_level")
+        boxes.withColumn("_at", F.explode(levels)).withColumns({"_w": west, "_s": south}).withColumn("_cx", F.explode(F.sequence(F.col("_w"), east)))
+        .withColumn("_cy", F.explode(F.sequence(F.col("_s"), north)))
+        .withColumns({f"{prefix}first_x": F.col("_cx") == F.col("_w"), f"{prefix}first_y": F.col("_cy") == F.col("_s")}).drop("_level", "_w", "_s")
     )
 
 
 def bbox_overlap_join(
-    items: DataFrame, areas: DataFrame, item_id: str, area_id: str, hot_rows: int = HOT_CELL_ROWS, salts: int = 64,
+    items: DataFrame, areas: DataFrame, item_id: str, area_id: str, hot_rows: int = BLOCK_ROWS, salts: int = MOST_PARTS,
 ) -> DataFrame:
     """(item, area) for every pair of overlapping boxes, whatever their sizes.
 
@@ -115,8 +119,8 @@ def bbox_overlap_join(
     overlap share a cell of the coarser one's level.  So items and their ancestors meet the areas' own cells, and the ancestors of
     finer areas meet the items' own.  Only ancestors at levels that the other side has are made, at most one short list of levels per
     side.  A pair that shares several cells is kept in the one holding the south-west corner of its intersection, so no distinct is
-    needed.  Crowded cells are salted.  Boxes that lack a bound overlap nothing; west > east or south > north is an error, as in
-    ``overlaps_area``, and so are bounds beyond 2^24.
+    needed.  A cell with more than ``hot_rows`` of a side is joined in blocks, at most ``salts`` by ``salts`` of them.  Boxes that lack a
+    bound overlap nothing; west > east or south > north is an error, as in ``overlaps_area``, and so are bounds beyond 2^24.
     """
     i, a = _levelled(items, item_id, "_item", "_i_"), _levelled(areas, area_id, "_area", "_a_")
     item_levels, area_levels = (sorted(r[0] for r in df.select("_level").distinct().collect()) for df in (i, a))
@@ -126,11 +130,12 @@ def bbox_overlap_join(
         return F.filter(known, lambda x: x >= F.col("_level") if equal else x > F.col("_level"))
 
     on, own = ["_at", "_cx", "_cy"], F.array("_level")
-    sized = {"hot_rows": hot_rows, "salts": salts}
-    finer_items = skew_join(_cells(i, "_i_", coarser(area_levels, True)), _cells(a, "_a_", own), on, "inner", F.col("_item"), **sized)
-    finer_areas = skew_join(_cells(a, "_a_", coarser(item_levels, False)), _cells(i, "_i_", own), on, "inner", F.col("_area"), **sized)
-    ib, ab, side = [F.col(f"_i_{c}") for c in BOUNDS], [F.col(f"_a_{c}") for c in BOUNDS], F.pow(F.lit(2.0), F.col("_at"))
-    corner = (F.floor(F.greatest(ib[0], ab[0]) / side) == F.col("_cx")) & (F.floor(F.greatest(ib[1], ab[1]) / side) == F.col("_cy"))
+    rows = F.struct("_item", *[f"_i_{c}" for c in BOUNDS]), F.struct("_area", *[f"_a_{c}" for c in BOUNDS])
+    finer_items = block_join(_cells(i, "_i_", coarser(area_levels, True)), _cells(a, "_a_", own), on, *rows, hot_rows, salts)
+    finer_areas = block_join(_cells(i, "_i_", own), _cells(a, "_a_", coarser(item_levels, False)), on, *rows, hot_rows, salts)
+    ib, ab = [F.col(f"_i_{c}") for c in BOUNDS], [F.col(f"_a_{c}") for c in BOUNDS]
+    # The corner is the first column and row of one of the boxes: both begin there or further to the south-west.
+    corner = (F.col("_i_first_x") | F.col("_a_first_x")) & (F.col("_i_first_y") | F.col("_a_first_y"))
     return finer_items.unionByName(finer_areas).where(boxes_overlap(ib, ab) & corner).select(
         F.col("_item").alias(item_id), F.col("_area").alias(area_id))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 
 import pytest
@@ -42,6 +43,39 @@ def test_cells_of_a_box_are_bounded(spark):
         geo.bbox_overlap_join(far, far.withColumnRenamed("id", "area"), "id", "area").collect()
 
 
+def test_pairs_of_a_crowded_cell_are_spread(spark):
+    """Few small items meet many large areas in one cell: no task makes all the pairs, and every pair is there."""
+    items = spark.range(90).selectExpr("CAST(id AS int) AS id", "2D AS lon0", "3D AS lat0", "10D AS lon1", "9D AS lat1")
+    areas = spark.range(4000).selectExpr("CAST(id AS int) AS area", "1D AS lon0", "1D AS lat0", "100D AS lon1", "60D AS lat1")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as between large tables
+    try:
+        pairs = geo.bbox_overlap_join(items, areas, "id", "area", 100)
+        shares = [r["count"] for r in pairs.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(shares) == 90 * 4000 and max(shares) < 0.6 * sum(shares)
+
+
+@pytest.mark.parametrize("block", [0, 3, 10**6])
+def test_block_join_is_a_join(spark, rows, block):
+    left = spark.createDataFrame([(None if i % 10 == 9 else i % 3, i // 2) for i in range(40)], "k int, a int")
+    right = spark.createDataFrame([(None if i % 7 == 6 else i % 4, i // 3) for i in range(30)], "k int, b int")
+    got = skew.block_join(left, right, ["k"], F.col("a"), F.col("b"), block)
+    assert rows(got) == rows(left.join(right, "k"))
+
+
+def test_levels_are_the_finest(spark):
+    """The few levels that are tried hold the finest at which a box has so many cells, whatever its size and shape."""
+    rng, rows = random.Random(4), []
+    for i in range(300):
+        x, y, w, h = rng.uniform(-180, 180), rng.uniform(-90, 90), 2 ** rng.uniform(-16, 10), 2 ** rng.uniform(-16, 10)
+        rows.append((i, x, y, x + (0 if i % 9 == 0 else w), y + (0 if i % 9 < 2 else h)))
+    got = {r._item: r._level for r in geo._levelled(spark.createDataFrame(rows, BOX), "id", "_item", "_i_").collect()}
+    for i, *b in rows:
+        spans = ((up, [math.floor(v / 2.0**up) for v in b]) for up in range(geo.LEVELS[0], geo.LEVELS[1] + 2))
+        assert got[i] == next(up for up, (w, s, e, n) in spans if (e - w + 1) * (n - s + 1) <= geo.BOX_CELLS)
+
+
 def test_area_of_interest(spark, rows):
     boxes = [(1, 70.0, 10.0, 71.0, 11.0), (2, 60.0, 0.0, 120.0, 60.0), (3, 97.0, 10.0, 99.0, 11.0), (4, 97.0, 37.0, 98.0, 38.0),
              (5, 97.1, 10.0, 99.0, 11.0), (6, 60.0, 10.0, 67.9, 11.0), (7, 70.0, 37.1, 71.0, 38.0), (8, 70.0, 0.0, 71.0, 7.9)]
