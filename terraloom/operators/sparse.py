@@ -71,21 +71,35 @@ def recover(noisy: DataFrame, key: str, noise: Noise | None = None) -> DataFrame
 
 
 def best_slots(rows: DataFrame, keys: Sequence[str], value: str = "value") -> DataFrame:
-    """(keys, col, idx) with the largest value of each block, the first slot on ties; each task keeps one row per block."""
-    return rows.groupBy(*keys, "col").agg(F.max(F.struct(F.col(value).alias("v"), (-F.col("idx")).alias("i"))).alias("_best")).select(
-        *keys, "col", (-F.col("_best.i")).alias("idx"), F.col("_best.v").alias("value"))
+    """(keys, col, idx) with the largest value of each block, the first slot on ties; each task keeps one row per block.
+
+    The first slot of each value comes first, so the largest has no ties: both folds are of plain numbers, which are kept in a hash table.
+    The largest pair would have every row sorted.
+    """
+    first = rows.groupBy(*keys, "col", F.col(value).alias("_v")).agg(F.min("idx").alias("_i"))
+    slot = F.when(F.max("_v").isNull(), F.min("_i")).otherwise(F.max_by("_i", "_v"))
+    return first.groupBy(*keys, "col").agg(slot.alias("idx"), F.max("_v").alias("value"))
 
 
 def noisy_best(noisy: DataFrame, key: str, widths: DataFrame, noise: Noise | None = None) -> DataFrame:
     """``best_slots`` of noisy blocks, all of whose slots take part.
 
-    A slot without a triple is noise alone; it is made where it is compared and goes no further than the task.  This looks at every
+    A slot without a triple is noise alone; it is made where it is compared and its row keeps the best one only.  This looks at every
     slot of a block, so it is for categories of a moderate width; ``widths`` holds (col, width), a row per column.
     """
     blocks = noisy.select(key, "step", "signal", "spread", "col", F.col("idx").alias("_at"), F.col("value").alias("_x")).join(F.broadcast(widths), "col")
-    every = blocks.withColumn("idx", F.explode(F.sequence(F.lit(0), F.col("width").cast("int") - 1)))
-    there = F.when(F.col("idx") == F.col("_at"), F.col("signal") * F.col("_x")).otherwise(0.0)
-    return best_slots(every.withColumn("value", there + F.col("spread") * _noise(noise or hashed_noise(), key)), [key, "step"])
+
+    def better(best: Column, idx: Column) -> Column:
+        there = F.when(idx == F.col("_at"), F.col("signal") * F.col("_x")).otherwise(0.0)
+        drawn = (noise or hashed_noise())(F.col(key), F.col("step"), F.col("col"), idx)
+        slot = F.struct((there + F.col("spread") * drawn).alias("value"), idx.alias("idx"))
+        above = F.coalesce(slot["value"] > best["value"], best["value"].isNull() & slot["value"].isNotNull())
+        return F.when(best["idx"].isNull() | above, slot).otherwise(best)
+
+    none = F.struct(F.lit(None).cast("double").alias("value"), F.lit(None).cast("int").alias("idx"))
+    best = F.aggregate(F.sequence(F.lit(0), F.col("width").cast("int") - 1), none, better)
+    # A generator's row: it is folded once, not for each of its fields.
+    return best_slots(blocks.select(key, "step", "col", F.inline(F.array(best))), [key, "step"])
 
 
 def decode(

@@ -47,6 +47,17 @@ def test_noisy_best_looks_at_every_slot(people, spark):
     assert got.keys() == want.keys() and all(got[k][0] == want[k][0] and got[k][1] == pytest.approx(want[k][1]) for k in want)
 
 
+def test_best_slots_hold_numbers_only(spark, rows):
+    """The first slot of equal values, nulls last, and no task sorts the rows to find it."""
+    triples = [(1, "a", 4, 2.0), (1, "a", 3, 2.0), (1, "a", 2, 1.0), (1, "a", 9, None), (2, "a", 7, None), (2, "a", 6, None), (2, "b", 5, -1.0), (None, "a", 8, 0.5), (None, "a", 8, 0.5)]
+    df = spark.createDataFrame(triples, "id int, col string, idx int, value double")
+    best = sparse.best_slots(df, ["id"])
+    assert rows(best, "id", "col", "idx", "value") == rows(spark.createDataFrame([(1, "a", 3, 2.0), (2, "a", 6, None), (2, "b", 5, -1.0), (None, "a", 8, 0.5)], df.schema))
+    noisy = sparse.add_noise(df, "id", 3)
+    plan = sparse.noisy_best(noisy, "id", df.select("col", F.lit(3).alias("width")).distinct())._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+
+
 def test_unseen_category(people):
     scaler, vocabulary = encode.fit_scaler(people, ["age"]), encode.fit_vocabulary(people.where("id < 5"), ["name"])
     with pytest.raises(Exception, match="unseen category"):
