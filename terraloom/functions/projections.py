@@ -7,10 +7,10 @@ Mollweide beyond it, cut into lobes with a central meridian each.  A place that
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 RADIUS = 6_378_137.0  # fixed value: metres, the sphere of the raster files
 JOINT = 40 + 44 / 60 + 11.8 / 3600  # fixed value: degrees of the parallel where the homolosine changes
@@ -22,15 +22,40 @@ NEWTON_STEPS = 40
 ROOT2 = math.sqrt(2.0)
 
 
+Step = Mapping[str, Callable[[Mapping[str, Column]], Column]]
+
+
 @dataclass(frozen=True)
 class Projection:
     """``forward`` takes degrees to a struct (x, y) and ``inverse`` metres to a struct (lon, lat).
 
-    Lons are not wrapped, so a map around 180 goes on beyond.
+    ``steps`` lead from ``x`` and ``y`` to ``lon`` and ``lat``; each names values by those before it.  Lons are not wrapped, so a map
+    around 180 goes on beyond.
     """
 
     forward: Callable[[Column, Column], Column]
-    inverse: Callable[[Column, Column], Column]
+    steps: Sequence[Step]
+
+    def inverse(self, x: Column, y: Column) -> Column:
+        """One expression, for use within arrays too."""
+        def after(i: int, known: tuple) -> Callable:
+            def use(v: Column) -> Column:
+                if i == len(self.steps):
+                    return F.struct(v["lon"].alias("lon"), v["lat"].alias("lat"))
+                found = {k: v[k] for k in known} | {k: f(v) for k, f in self.steps[i].items()}
+                return _let(after(i + 1, tuple(found)), **found)
+            return use
+
+        return _let(after(0, ("x", "y")), x=x, y=y)
+
+    def to_degrees(self, points: DataFrame, x: str, y: str, prefix: str = "_") -> DataFrame:
+        """Rows with ``lon`` and ``lat`` behind the prefix, by plain columns, which are compiled: for many points."""
+        names, kept = {"x": x, "y": y}, points.columns
+        for step in self.steps:
+            known = {k: F.col(c) for k, c in names.items()}
+            points = points.withColumns({f"{prefix}{k}": f(known) for k, f in step.items()})
+            names |= {k: f"{prefix}{k}" for k in step}
+        return points.select(*kept, f"{prefix}lon", f"{prefix}lat")
 
 
 def _let(use: Callable[[Column], Column], **values: Column) -> Column:
@@ -42,16 +67,29 @@ def _unit(value: Column) -> Column:
     return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), value))
 
 
-def _place(central: Column | float, v: Column) -> Column:
-    """(lon, lat) of ``v.lat`` and ``v.away`` degrees from the central meridian, NULLs further out than the map goes."""
-    there = (F.abs(v["away"]) <= 180 + EDGE) & (F.abs(v["lat"]) <= 90 + EDGE)
-    lat = F.greatest(F.lit(-90.0), F.least(F.lit(90.0), v["lat"]))
-    return F.struct(F.when(there, v["away"] + central).alias("lon"), F.when(there, lat).alias("lat"))
+def _place_step(central: float) -> Step:
+    """lon and lat of ``lat`` and ``away`` degrees from the central meridian, NULLs further out than the map goes."""
+    def there(v: Mapping[str, Column]) -> Column:
+        return (F.abs(v["away"]) <= 180 + EDGE) & (F.abs(v["lat"]) <= 90 + EDGE)
+
+    return {"lon": lambda v: F.when(there(v), v["away"] + central),
+            "lat": lambda v: F.when(there(v), F.greatest(F.lit(-90.0), F.least(F.lit(90.0), v["lat"])))}
+
+
+def _sinusoidal_away(across: Column, lat: Column, metres: float) -> Column:
+    return F.when(F.abs(lat) >= 90, 0.0).otherwise(across / (F.lit(metres) * F.cos(F.radians(lat))))
 
 
-def _sinusoidal_place(x: Column, y: Column, metres: float) -> dict[str, Column]:
-    lat = y / metres
-    return {"lat": lat, "away": F.when(F.abs(lat) >= 90, 0.0).otherwise(x / (F.lit(metres) * F.cos(F.radians(lat))))}
+def _mollweide_lat(t: Column) -> Column:
+    return F.degrees(F.asin(_unit((2 * t + F.sin(2 * t)) / math.pi)))
+
+
+def _mollweide_away(across: Column, c: Column, radius: float) -> Column:
+    return F.when(c < 1e-12, 0.0).otherwise(F.degrees(across / (F.lit(2 * ROOT2 * radius / math.pi) * c)))
+
+
+def _angle(sine: Column) -> Column:
+    return F.asin(F.when(F.abs(sine) <= 1 + EDGE, _unit(sine)))
 
 
 def sinusoidal(central: float = 0.0, radius: float = RADIUS) -> Projection:
@@ -60,10 +98,8 @@ def sinusoidal(central: float = 0.0, radius: float = RADIUS) -> Projection:
     def forward(lon: Column, lat: Column) -> Column:
         return F.struct(((lon - central) * metres * F.cos(F.radians(lat))).alias("x"), (lat * metres).alias("y"))
 
-    def inverse(x: Column, y: Column) -> Column:
-        return _let(lambda v: _place(central, v), **_sinusoidal_place(x, y, metres))
-
-    return Projection(forward, inverse)
+    return Projection(forward, (
+        {"lat": lambda v: v["y"] / metres}, {"away": lambda v: _sinusoidal_away(v["x"], v["lat"], metres)}, _place_step(central)))
 
 
 def _mollweide_angle(lat: Column) -> Column:
@@ -82,30 +118,13 @@ def _mollweide_xy(away: Column, lat: Column, radius: float) -> Column:
                 t=_mollweide_angle(lat), turn=F.radians(away))
 
 
-def _mollweide_place(x: Column, y: Column, radius: float, use: Callable[[Column], Column]) -> Column:
-    """``use`` of ``lat`` and ``away``."""
-    wide = 2 * ROOT2 * radius / math.pi
-
-    def of_angle(v: Column) -> Column:
-        lat = F.degrees(F.asin(_unit((2 * v["t"] + F.sin(2 * v["t"])) / math.pi)))
-        away = F.when(v["c"] < 1e-12, 0.0).otherwise(F.degrees(v["x"] / (F.lit(wide) * v["c"])))
-        return _let(use, lat=lat, away=away)
-
-    def of_sine(v: Column) -> Column:
-        t = F.asin(F.when(F.abs(v["sine"]) <= 1 + EDGE, _unit(v["sine"])))
-        return _let(of_angle, t=t, c=F.cos(t), x=v["x"])
-
-    return _let(of_sine, sine=y / (ROOT2 * radius), x=x)
-
-
 def mollweide(central: float = 0.0, radius: float = RADIUS) -> Projection:
     def forward(lon: Column, lat: Column) -> Column:
         return _mollweide_xy(lon - central, lat, radius)
 
-    def inverse(x: Column, y: Column) -> Column:
-        return _mollweide_place(x, y, radius, lambda v: _place(central, v))
-
-    return Projection(forward, inverse)
+    return Projection(forward, (
+        {"sine": lambda v: v["y"] / (ROOT2 * radius)}, {"t": lambda v: _angle(v["sine"])}, {"c": lambda v: F.cos(v["t"])},
+        {"lat": lambda v: _mollweide_lat(v["t"]), "away": lambda v: _mollweide_away(v["x"], v["c"], radius)}, _place_step(central)))
 
 
 def joint_shift() -> float:
@@ -142,18 +161,16 @@ def homolosine() -> Projection:
 
         return _let(of_place, lon=lon, lat=lat, lobe=_lobe(lat >= 0, lon, 1.0))
 
-    def inverse(x: Column, y: Column) -> Column:
-        def of_point(v: Column) -> Column:
-            def inside(p: Column) -> Column:
-                lon, kept = p["away"] + v["lobe"]["central"], (F.abs(p["away"]) <= 180 + EDGE) & (F.abs(p["lat"]) <= 90 + EDGE)
-                kept &= (lon >= v["lobe"]["west"] - EDGE) & (lon <= v["lobe"]["east"] + EDGE)
-                return F.struct(F.when(kept, lon).alias("lon"), F.when(kept, p["lat"]).alias("lat"))
-
-            across = v["x"] - v["lobe"]["central"] * metres
-            sinu = _let(inside, **_sinusoidal_place(across, v["y"], metres))
-            moll = _mollweide_place(across, v["y"] + F.signum(v["y"]) * shift, RADIUS, inside)
-            return F.when(F.abs(v["y"]) > JOINT * metres, moll).otherwise(sinu)
-
-        return _let(of_point, x=x, y=y, lobe=_lobe(y >= 0, x, metres))
-
-    return Projection(forward, inverse)
+    def kept(v: Mapping[str, Column]) -> Column:
+        on_map = (F.abs(v["away"]) <= 180 + EDGE) & (F.abs(v["lat"]) <= 90 + EDGE)
+        return on_map & (v["lon"] >= v["west"] - EDGE) & (v["lon"] <= v["east"] + EDGE)
+
+    return Projection(forward, (
+        {end: lambda v, end=end: _lobe(v["y"] >= 0, v["x"], metres)[end] for end in ("west", "east", "central")}
+        | {"polar": lambda v: F.abs(v["y"]) > JOINT * metres},
+        {"across": lambda v: v["x"] - v["central"] * metres,
+         "t": lambda v: F.when(v["polar"], _angle((v["y"] + F.signum(v["y"]) * shift) / (ROOT2 * RADIUS)))},
+        {"c": lambda v: F.cos(v["t"]), "lat": lambda v: F.when(v["polar"], _mollweide_lat(v["t"])).otherwise(v["y"] / metres)},
+        {"away": lambda v: F.when(v["polar"], _mollweide_away(v["across"], v["c"], RADIUS)).otherwise(_sinusoidal_away(v["across"], v["lat"], metres))},
+        {"lon": lambda v: v["away"] + v["central"]},
+        {"lon": lambda v: F.when(kept(v), v["lon"]), "lat": lambda v: F.when(kept(v), v["lat"])}))

@@ -67,3 +67,13 @@ def test_edges_are_curves(spark):
     row = [(-100e3, -5e6, 900e3, 5e6)]
     corners, some, many = (boxes(spark, row, projections.homolosine(), n)[0] for n in (0, 21, 400))
     assert some[1:] == pytest.approx(many[1:], abs=0.05) and corners[4] == pytest.approx(many[4])
+
+
+def test_places_are_rows(spark):
+    """Places are plain columns, no arrays of structs, and the items that make them are spread over the tasks."""
+    df = spark.range(64).selectExpr("id % 8 AS id", "id * 1e5 AS x0", "id * 1e5 AS y0", "if(id = 5, null, id * 1e5 + 2e5) AS x1", "id * 1e5 + 2e5 AS y1").coalesce(1)
+    seen = footprints.degree_bounds(df, projections.homolosine())
+    plan = seen._jdf.queryExecution().executedPlan().toString()
+    assert "lambda" not in plan
+    assert seen.groupBy(F.spark_partition_id()).count().count() > 1
+    assert seen.count() == 64 and seen.where("lon0 IS NULL AND lat0 IS NULL AND lon1 IS NULL AND lat1 IS NULL").count() == 1
