@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from terraloom.operators import diffuse, encode
+from terraloom.operators import diffuse, encode, keys
 from terraloom.plans.common import snap, sql_snap, table
 
 NUMS = ["p_size", "p_retailprice"]
@@ -131,8 +131,10 @@ def _noise(features: str):
 
 
 def _diffused(spark: SparkSession, sf: str) -> DataFrame:
+    """Every part once per step; a part makes hundreds of values a step, so the parts are spread first."""
     part, scaler, vocabulary = _fit(spark, sf)
-    encoded = encode.encode(part, NUMS, CATS, scaler, vocabulary).select("p_partkey", "features")
+    spread = keys.spread_rows(part.select("p_partkey", *NUMS, *CATS))
+    encoded = encode.encode(spread, NUMS, CATS, scaler, vocabulary).select("p_partkey", "features")
     return diffuse.forward_diffuse(encoded, "features", STEPS, noise=_noise("features"))
 
 

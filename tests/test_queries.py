@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
 from terraloom.plans import registered
@@ -56,3 +57,9 @@ def test_noise_needs_no_shuffle(spark):
     """Steps are unfolded in place: the only exchanges belong to the small fitted tables."""
     body = plan_of(spark, "forward_noise").split("Subquery")[0]
     assert "Exchange" not in body
+
+
+def test_noise_is_made_by_many_tasks(spark):
+    """The parts come from one small file; the tasks that make their noise share them."""
+    shares = [r["count"] for r in registered()["forward_noise"][0](spark, SF_DIR).groupBy(F.spark_partition_id()).count().collect()]
+    assert len(shares) > 1 and max(shares) < 0.6 * sum(shares)
